@@ -1,0 +1,21 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Row bound under which a dimension side is broadcast.  The bound is checked
+# on the data (a LIMIT-ed count), never assumed; past it the join is left to
+# the planner (sort-merge, or AQE's runtime broadcast conversion).
+BROADCAST_MAX_ROWS = 200_000
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.  Reads at most
+    ``max_rows + 1`` rows, so the check is cheap for small and big inputs."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
