@@ -1,10 +1,11 @@
 """Layer-to-layer reconciliation (row counts and key integrity).
 
 The reference computes every figure as its own scalar subquery (5 table reads
-per bronze→silver pair, 7 per silver→gold entity).  Here each pair is ONE
-keyed aggregation: the key columns of both sides are unioned with a side tag
-and grouped by key, with map-side partial counts, so each table is read once
-and one shuffle of (key, side, count) rows produces every figure:
+per bronze→silver pair, 7 per silver→gold entity: 172 reads).  Here the
+whole report is ONE keyed aggregation: the key columns of both sides of every
+pair are unioned with a pair/side tag and grouped by (pair, key), with
+map-side partial counts, so each table is read once per pair and a single
+shuffle of (pair, key, side) rows produces every figure:
 
 * counts per side = sum of the per-key counts;
 * missing = upstream rows whose key is NULL or absent downstream;
@@ -41,73 +42,78 @@ REPORT_COLUMNS = (
 ).split()
 
 
-def key_profile(up: DataFrame, up_key: str, down: DataFrame, down_key: str) -> DataFrame:
-    """One row: up_rows, down_rows, missing_down (up rows without a down key),
-    dup_down (down rows − distinct non-NULL down keys)."""
-    keys = up.select(F.col(up_key).alias("_k"), F.lit(1).alias("_u"), F.lit(0).alias("_d")).unionByName(
-        down.select(F.col(down_key).alias("_k"), F.lit(0).alias("_u"), F.lit(1).alias("_d"))
-    )
-    per_key = keys.groupBy("_k").agg(F.sum("_u").alias("_u"), F.sum("_d").alias("_d"))
-    missing = F.when(F.col("_k").isNull() | (F.col("_d") == 0), F.col("_u")).otherwise(F.lit(0))
-    distinct_down = F.when(F.col("_k").isNotNull() & (F.col("_d") > 0), F.lit(1)).otherwise(F.lit(0))
-    return per_key.agg(
-        F.coalesce(F.sum("_u"), F.lit(0)).cast("bigint").alias("up_rows"),
-        F.coalesce(F.sum("_d"), F.lit(0)).cast("bigint").alias("down_rows"),
-        F.coalesce(F.sum(missing), F.lit(0)).cast("bigint").alias("missing_down"),
-        (F.coalesce(F.sum("_d"), F.lit(0)) - F.coalesce(F.sum(distinct_down), F.lit(0))).cast("bigint")
-        .alias("dup_down"),
+def _sides(df: DataFrame, pair: int, key: str | None, side: str) -> DataFrame:
+    k = F.col(key).cast("string") if key else F.lit(None).cast("string")
+    return df.select(
+        F.lit(pair).alias("_p"), k.alias("_k"),
+        *[F.lit(1 if s == side else 0).alias(f"_{s}") for s in ("src", "mid", "tgt")],
     )
 
 
-def dup_profile(df: DataFrame, key: str) -> DataFrame:
-    per_key = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
-        (F.coalesce(F.sum("_n"), F.lit(0)) - F.count("_k")).cast("bigint").alias("dups"),
+def reconciliation_rows(m, b2s: list[str], s2g: list[tuple[str, str, str, str]]) -> DataFrame:
+    """Reconciliation rows for bronze→silver tables ``b2s`` and silver→gold
+    entities ``s2g`` (bronze table, silver table, gold table, key).
+
+    ONE keyed aggregation for all pairs: each pair contributes
+    ``(pair, key, side)`` rows (bronze = src, silver = mid, gold = tgt;
+    bronze rows of a silver→gold pair carry a NULL key because only their
+    count is needed), grouped by ``(pair, key)`` with map-side partial sums,
+    then summed per pair and labelled from a small broadcast table."""
+    rows, meta = [], []
+    for t in b2s:
+        k = SPECS[t].pk
+        i = len(meta)
+        rows += [_sides(m.bronze(t), i, k, "src"), _sides(m.silver(t), i, k, "mid")]
+        meta.append((i, f"B2S::{t}", "BRONZE_TO_SILVER", t, f"silver_{t}"))
+    for b, s, g, k in s2g:
+        i = len(meta)
+        rows += [_sides(m.bronze(b), i, None, "src"), _sides(m.silver(s), i, k, "mid"), _sides(m.gold(g), i, k, "tgt")]
+        meta.append((i, f"S2G::{g}", "SILVER_TO_GOLD", s, g))
+
+    per_key = reduce(DataFrame.unionByName, rows).groupBy("_p", "_k").agg(
+        *[F.sum(f"_{s}").alias(f"_{s}") for s in ("src", "mid", "tgt")]
+    )
+    keyed = F.col("_k").isNotNull()
+    per_pair = per_key.groupBy("_p").agg(
+        F.sum("_src").alias("src_rows"),
+        F.sum("_mid").alias("mid_rows"),
+        F.sum("_tgt").alias("tgt_rows"),
+        # upstream rows whose key is NULL or absent downstream
+        F.sum(F.when(~keyed | (F.col("_mid") == 0), F.col("_src")).otherwise(0)).alias("src_missing"),
+        F.sum(F.when(~keyed | (F.col("_tgt") == 0), F.col("_mid")).otherwise(0)).alias("mid_missing"),
+        # distinct non-NULL keys per side
+        F.count_if(keyed & (F.col("_mid") > 0)).alias("mid_keys"),
+        F.count_if(keyed & (F.col("_tgt") > 0)).alias("tgt_keys"),
+    )
+    labels = m.spark.createDataFrame(
+        meta, "_p int, reconciliation_id string, reconciliation_scope string, source_table string, target_table string"
+    )
+    j = F.broadcast(labels).join(per_pair, "_p", "left")
+    b2s_scope = F.col("reconciliation_scope") == "BRONZE_TO_SILVER"
+    n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
+    only_s2g = lambda c: F.when(~b2s_scope, c).cast("bigint")
+    return j.select(
+        "reconciliation_id", "reconciliation_scope", "source_table", "target_table",
+        n("src_rows").alias("source_count"),
+        n("mid_rows").alias("intermediate_count"),
+        only_s2g(n("tgt_rows")).alias("target_count"),
+        F.when(b2s_scope, n("src_missing")).cast("bigint").alias("missing_in_intermediate"),
+        only_s2g(n("mid_missing")).alias("missing_in_target"),
+        (n("mid_rows") - n("mid_keys")).alias("duplicate_intermediate_keys"),
+        only_s2g(n("tgt_rows") - n("tgt_keys")).alias("duplicate_target_keys"),
     )
 
 
-def reconcile_bronze_to_silver(m, table: str, key: str) -> DataFrame:
-    p = key_profile(m.bronze(table), key, m.silver(table), key)
-    return p.select(
-        F.lit(f"B2S::{table}").alias("reconciliation_id"),
-        F.lit("BRONZE_TO_SILVER").alias("reconciliation_scope"),
-        F.lit(table).alias("source_table"),
-        F.lit(f"silver_{table}").alias("target_table"),
-        F.col("up_rows").alias("source_count"),
-        F.col("down_rows").alias("intermediate_count"),
-        F.lit(None).cast("bigint").alias("target_count"),
-        F.col("missing_down").alias("missing_in_intermediate"),
-        F.lit(None).cast("bigint").alias("missing_in_target"),
-        F.col("dup_down").alias("duplicate_intermediate_keys"),
-        F.lit(None).cast("bigint").alias("duplicate_target_keys"),
-    )
+def reconcile_bronze_to_silver(m, table: str) -> DataFrame:
+    return reconciliation_rows(m, [table], [])
 
 
 def reconcile_silver_to_gold(m, bronze_table: str, silver_table: str, gold_table: str, key: str) -> DataFrame:
-    bronze_rows = m.bronze(bronze_table).agg(F.count(F.lit(1)).cast("bigint").alias("source_count"))
-    p = key_profile(m.silver(silver_table), key, m.gold(gold_table), key)
-    s_dups = dup_profile(m.silver(silver_table), key)
-    # Three one-row aggregates side by side (scalar subqueries of the reference).
-    return bronze_rows.crossJoin(p).crossJoin(s_dups).select(
-        F.lit(f"S2G::{gold_table}").alias("reconciliation_id"),
-        F.lit("SILVER_TO_GOLD").alias("reconciliation_scope"),
-        F.lit(silver_table).alias("source_table"),
-        F.lit(gold_table).alias("target_table"),
-        "source_count",
-        F.col("up_rows").alias("intermediate_count"),
-        F.col("down_rows").alias("target_count"),
-        F.lit(None).cast("bigint").alias("missing_in_intermediate"),
-        F.col("missing_down").alias("missing_in_target"),
-        F.col("dups").alias("duplicate_intermediate_keys"),
-        F.col("dup_down").alias("duplicate_target_keys"),
-    )
+    return reconciliation_rows(m, [], [(bronze_table, silver_table, gold_table, key)])
 
 
 def medallion_reconciliation_report(m) -> DataFrame:
-    rows = [reconcile_bronze_to_silver(m, t, SPECS[t].pk) for t in RECON_ORDER]
-    rows += [reconcile_silver_to_gold(m, *args) for args in S2G]
-    allr = reduce(DataFrame.unionByName, rows)
+    allr = reconciliation_rows(m, list(RECON_ORDER), S2G)
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     b2s_ok = (F.col("source_count") == F.col("intermediate_count")) & (z("missing_in_intermediate") == 0) & (
         z("duplicate_intermediate_keys") == 0

@@ -1,11 +1,9 @@
 """Referential checks between silver tables (FK orphan counts).
 
-Plan: every child is first reduced to ``(fk, row_count)`` with a map-side
-partial aggregate, so a hot or NULL key is one row per task.  The checks that
-share a parent are unioned and meet the parent's distinct keys in ONE
-left-anti join (each parent's key set is shuffled once, however many children
-point at it).  A left-anti join keeps NULL child keys, which is the
-"counted as orphan" behaviour; checks that exclude NULLs filter them first.
+Plan: all checks of a report run as ONE keyed aggregation (see
+:func:`orphan_counts`): a NULL child key never meets a parent key, which is
+the "counted as orphan" behaviour; checks that exclude NULLs filter them
+first.
 """
 
 from __future__ import annotations
@@ -15,7 +13,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 
 @dataclass(frozen=True)
@@ -66,43 +63,46 @@ def declared_checks() -> list[FkCheck]:
 
 
 def orphan_counts(m, checks: list[FkCheck]) -> DataFrame:
-    """``(check_no, orphaned_count)`` for every check (0 included)."""
-    spark = m.spark
-    by_parent: dict[tuple[str, str], list[tuple[int, FkCheck]]] = {}
+    """``(check metadata…, orphaned_count)`` for every check, 0 included.
+
+    One shuffle for all checks: child FK values and parent keys are unioned
+    as ``(parent_group, key, check_no)`` rows (each parent's keys once, however
+    many checks point at it) and grouped by ``(parent_group, key)`` with one
+    counter per check.  Partial aggregation runs map-side, so hot or NULL
+    keys cost one row per task.  A key group is orphaned when no parent row
+    fell into it (NULL keys never match)."""
+    groups: dict[tuple[str, str], int] = {}
+    for c in checks:
+        groups.setdefault((c.parent, c.pk), len(groups))
+
+    rows = []
+    for (parent, pk), g in groups.items():
+        rows.append(
+            m.silver(parent).select(F.lit(g).alias("_g"), F.col(pk).cast("string").alias("_k"), F.lit(-1).alias("_c"))
+            .where(F.col("_k").isNotNull())
+        )
     for i, c in enumerate(checks):
-        by_parent.setdefault((c.parent, c.pk), []).append((i, c))
-
-    parts = []
-    for (parent, pk), group in by_parent.items():
-        child_keys = []
-        for i, c in group:
-            ch = m.silver(c.child).select(F.col(c.fk).alias("_k"))
-            if c.skip_null:
-                ch = ch.where(F.col("_k").isNotNull())
-            child_keys.append(
-                ch.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).select(F.lit(i).alias("check_no"), "_k", "_n")
-            )
-        keys = reduce(DataFrame.unionByName, child_keys)
-        parent_keys = m.silver(parent).select(F.col(pk).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-        parts.append(keys.join(parent_keys, "_k", "left_anti").groupBy("check_no").agg(F.sum("_n").alias("_orphans")))
-    found = reduce(DataFrame.unionByName, parts)
-
-    meta_schema = StructType([
-        StructField("check_no", IntegerType(), False),
-        StructField("child_table", StringType(), False),
-        StructField("fk_column", StringType(), False),
-        StructField("parent_table", StringType(), False),
-        StructField("pk_column", StringType(), False),
-        StructField("skip_null", BooleanType(), False),
-        StructField("cardinality", StringType(), False),
-    ])
-    meta = spark.createDataFrame(
-        [(i, f"silver_{c.child}", c.fk, f"silver_{c.parent}", c.pk, c.skip_null, c.cardinality)
-         for i, c in enumerate(checks)],
-        meta_schema,
+        ch = m.silver(c.child).select(
+            F.lit(groups[(c.parent, c.pk)]).alias("_g"), F.col(c.fk).cast("string").alias("_k"), F.lit(i).alias("_c")
+        )
+        rows.append(ch.where(F.col("_k").isNotNull()) if c.skip_null else ch)
+    keyed = reduce(DataFrame.unionByName, rows)
+    per_key = keyed.groupBy("_g", "_k").agg(
+        F.max((F.col("_c") == -1).cast("int")).alias("_hp"),
+        *[F.count_if(F.col("_c") == i).alias(f"_n{i}") for i in range(len(checks))],
     )
-    return F.broadcast(meta).join(found, "check_no", "left").select(
-        *meta.columns, F.coalesce(F.col("_orphans"), F.lit(0)).cast("bigint").alias("orphaned_count")
+    orphan = F.col("_hp") == 0
+    totals = per_key.agg(
+        *[F.coalesce(F.sum(F.when(orphan, F.col(f"_n{i}"))), F.lit(0)).alias(f"_o{i}") for i in range(len(checks))]
+    )
+    entries = ", ".join(
+        f"'silver_{c.child}', '{c.fk}', 'silver_{c.parent}', '{c.pk}', {str(c.skip_null).lower()}, "
+        f"'{c.cardinality}', CAST(_o{i} AS BIGINT)"
+        for i, c in enumerate(checks)
+    )
+    return totals.selectExpr(
+        f"stack({len(checks)}, {entries}) AS (child_table, fk_column, parent_table, pk_column, skip_null, "
+        "cardinality, orphaned_count)"
     )
 
 
