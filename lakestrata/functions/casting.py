@@ -43,3 +43,13 @@ def safe_cast(col: Column, label: str, source_type: DataType | None = None) -> C
 def cast_failed(raw: Column, typed: Column) -> Column:
     """True when a non-NULL raw value did not convert."""
     return raw.isNotNull() & typed.isNull()
+
+
+def safe_cast_sql(col_sql: str, label: str, source_type: DataType | None = None) -> str:
+    """SQL-expression form of :func:`safe_cast` (for ``selectExpr`` plans)."""
+    target = SPARK_TYPES[label]
+    if source_type is None or isinstance(source_type, StringType):
+        return f"CASE WHEN {col_sql} RLIKE r'{GUARDS[label]}' THEN try_cast({col_sql} AS {target}) END"
+    if label == "INT64" and source_type.typeName() in ("double", "float", "decimal"):
+        return f"try_cast(round({col_sql}) AS {target})"
+    return f"try_cast({col_sql} AS {target})"

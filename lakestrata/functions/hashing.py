@@ -28,3 +28,17 @@ def _hash_field(df: DataFrame, name: str) -> Column:
 def record_hash(df: DataFrame, cols: list[str] | tuple[str, ...]) -> Column:
     """``sha256(to_json(struct(cols)))`` as lowercase hex, over ``df``'s columns."""
     return F.sha2(F.to_json(F.struct(*[_hash_field(df, c) for c in cols]), _JSON_OPTS), 256)
+
+
+def record_hash_sql(df: DataFrame, cols: list[str] | tuple[str, ...]) -> str:
+    """SQL-expression form of :func:`record_hash`."""
+    fields = []
+    for name in cols:
+        dt = df.schema[name].dataType
+        ref = f"`{name}`"
+        if isinstance(dt, (DoubleType, FloatType)):
+            ref = f"CAST({ref} AS DECIMAL(18,4))"
+        elif isinstance(dt, (TimestampType, TimestampNTZType)):
+            ref = f"date_format({ref}, 'yyyy-MM-dd HH:mm:ss')"
+        fields.append(f"'{name}', {ref}")
+    return f"sha2(to_json(named_struct({', '.join(fields)}), map('ignoreNullFields', 'false')), 256)"

@@ -167,50 +167,69 @@ def _table(m, name: str) -> DataFrame:
     return m.gold(name) if name.startswith("gold_") else m.silver(name)
 
 
-def _summary_row(model: str, col: str, test: str, failures) -> DataFrame:
-    return failures.select(
-        F.lit(f"{test}:{model}.{col}").alias("test_id"), F.lit(model).alias("model_name"),
-        F.lit(col).alias("column_name"), F.lit(test).alias("test_type"),
-        F.col("failures").cast("bigint").alias("failures"),
-    )
-
-
 def schema_test_results(m, models: list[str]) -> DataFrame:
+    """One row per declared test: ``test_id, model_name, column_name,
+    test_type, failures, status``.
+
+    Per table, every not_null / accepted_values test is one aggregate pass
+    (unpivoted with ``stack``); all unique tests share ONE keyed aggregation
+    over ``(model, key)``; all relationships tests share the single grouped
+    anti-join of :func:`orphan_counts`."""
     parts = []
-    fk_checks: list[tuple[str, str, FkCheck]] = []
-    for model in models:
+    uniq = []
+    fk_checks: list[FkCheck] = []
+    for mi, model in enumerate(models):
         t = SCHEMA_TESTS[model]
         df = _table(m, model)
         nn = t.get("not_null", "").split()
         acc = t.get("accepted", {})
         if nn or acc:
-            # One pass: NULL counts and accepted-value violations of the table.
-            aggs = [F.count_if(F.col(c).isNull()).alias(f"nn_{i}") for i, c in enumerate(nn)]
+            aggs = [f"count_if(`{c}` IS NULL) AS f{i}" for i, c in enumerate(nn)]
             aggs += [
-                F.count_distinct(F.when(~F.col(c).isin(v), F.col(c))).alias(f"av_{i}")
-                for i, (c, v) in enumerate(acc.items())
+                f"count(DISTINCT CASE WHEN `{c}` NOT IN ({', '.join(repr(v) for v in vals)}) THEN `{c}` END) "
+                f"AS f{len(nn) + i}"
+                for i, (c, vals) in enumerate(acc.items())
             ]
-            one = df.agg(*aggs)
-            parts += [_summary_row(model, c, "not_null", one.select(F.col(f"nn_{i}").alias("failures")))
-                      for i, c in enumerate(nn)]
-            parts += [_summary_row(model, c, "accepted_values", one.select(F.col(f"av_{i}").alias("failures")))
-                      for i, c in enumerate(acc)]
+            tests = [("not_null", c) for c in nn] + [("accepted_values", c) for c in acc]
+            entries = ", ".join(
+                f"'{kind}:{model}.{c}', '{model}', '{c}', '{kind}', CAST(f{i} AS BIGINT)"
+                for i, (kind, c) in enumerate(tests)
+            )
+            parts.append(df.selectExpr(*aggs).selectExpr(
+                f"stack({len(tests)}, {entries}) AS (test_id, model_name, column_name, test_type, failures)"
+            ))
         if t.get("unique"):
-            u = assert_unique(df, t["unique"]).agg(F.count(F.lit(1)).alias("failures"))
-            parts.append(_summary_row(model, t["unique"], "unique", u))
+            uniq.append((mi, model, t["unique"]))
         for col, parent, field in t.get("rel", []):
-            fk_checks.append((model, col, FkCheck(model, col, parent, field, skip_null=True)))
+            fk_checks.append(FkCheck(model, col, parent, field, skip_null=True))
+    if uniq:
+        keys = reduce(DataFrame.unionByName, [
+            _table(m, model).select(F.lit(mi).alias("_m"), F.col(c).cast("string").alias("_k"))
+            .where(F.col("_k").isNotNull())
+            for mi, model, c in uniq
+        ])
+        dup_values = (
+            keys.groupBy("_m", "_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+            .groupBy("_m").agg(F.count(F.lit(1)).alias("_dups"))
+        )
+        labels = m.spark.createDataFrame(
+            [(mi, f"unique:{model}.{c}", model, c) for mi, model, c in uniq],
+            "_m int, test_id string, model_name string, column_name string",
+        )
+        parts.append(F.broadcast(labels).join(dup_values, "_m", "left").select(
+            "test_id", "model_name", "column_name", F.lit("unique").alias("test_type"),
+            F.coalesce(F.col("_dups"), F.lit(0)).cast("bigint").alias("failures"),
+        ))
     if fk_checks:
-        counts = orphan_counts(_Prefixless(m), [c for _, _, c in fk_checks])
-        rel = counts.select(
-            F.concat(F.lit("relationships:"), F.expr("substr(child_table, 8)"), F.lit("."), F.col("fk_column"))
-            .alias("test_id"),
-            F.expr("substr(child_table, 8)").alias("model_name"),
+        counts = orphan_counts(_Prefixless(m), fk_checks)
+        model = F.expr("substr(child_table, 8)")
+        parts.append(counts.select(
+            F.concat(F.lit("relationships:"), model, F.lit("."), F.col("fk_column")).alias("test_id"),
+            model.alias("model_name"),
             F.col("fk_column").alias("column_name"),
             F.lit("relationships").alias("test_type"),
             F.col("orphaned_count").alias("failures"),
-        )
-        parts.append(rel)
+        ))
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
 

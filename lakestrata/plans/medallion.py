@@ -66,6 +66,33 @@ class Medallion:
         self._overrides[key] = df
         self._memo.pop(key, None)
 
+    def materialize(self, keys: list[str], threads: int = 8) -> None:
+        """Cut lineage below ``keys`` (``silver_x`` / ``gold_x``).
+
+        Each table is written once as parquet into a fresh folder under the
+        session's ``spark.checkpoint.dir`` (shared storage on a cluster; it
+        survives executor loss) and served from there, so downstream plans
+        start from small scans.  Silver tables are written concurrently, then
+        gold tables (which read the written silver)."""
+        import uuid
+
+        from lakestrata.plans.parallel import run_all
+        from lakestrata.session import ensure_checkpoint_dir
+
+        base = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/lakestrata-layers/{uuid.uuid4().hex}"
+        for layer in ("silver_", "gold_"):
+            todo = [k for k in keys if k.startswith(layer) and k not in self._overrides]
+
+            def write(key: str) -> str:
+                df = self.gold(key) if key.startswith("gold_") else self.silver(key)
+                path = f"{base}/{key}"
+                df.write.mode("overwrite").parquet(path)
+                return path
+
+            paths = run_all({k: (lambda k=k: write(k)) for k in todo}, threads)
+            for k, path in paths.items():
+                self.use_table(k, self.spark.read.parquet(path))
+
     # -- dimension sides ----------------------------------------------------
     def dim(self, key: str, df: DataFrame) -> DataFrame:
         """Broadcast ``df`` only when its size is checked to be small."""

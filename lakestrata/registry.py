@@ -21,9 +21,18 @@ from lakestrata.sources.testdata import TestdataBronze
 from lakestrata.specs import SPECS
 
 
+_MEDALLIONS: dict[tuple[int, str], Medallion] = {}
+
+
 def medallion_for(spark: SparkSession, sf_dir: str) -> Medallion:
-    apply_engine_conf(spark)
-    return Medallion(spark, TestdataBronze(spark, sf_dir), RunContext.fixed())
+    """One lazily planned medallion per (session, dataset): every registered
+    query over the same tables shares its bronze/silver/gold plans (plans
+    are immutable, so sharing is safe; nothing is cached in memory)."""
+    key = (spark._jsparkSession.hashCode(), sf_dir.rstrip("/"))
+    if key not in _MEDALLIONS:
+        apply_engine_conf(spark)
+        _MEDALLIONS[key] = Medallion(spark, TestdataBronze(spark, sf_dir), RunContext.fixed())
+    return _MEDALLIONS[key]
 
 
 def _on_medallion(fn: Callable[[Medallion], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -50,24 +59,38 @@ SILVER_MODELS = [f"silver_{t}" for t in SPECS] + ["silver_relationship_dq_result
 GOLD_MODELS = list(ENTITY_BUILDERS)
 
 
+def _layers_first(fn: Callable[[Medallion], DataFrame], gold: bool = True) -> Callable[[Medallion], DataFrame]:
+    """Wide reports read materialised layers, as they do in production."""
+
+    def run(m: Medallion) -> DataFrame:
+        m.materialize([f"silver_{t}" for t in SPECS] + (GOLD_MODELS if gold else []))
+        return fn(m)
+
+    return run
+
+
 def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[Medallion], DataFrame]] = {}
     for t in SPECS:
         q[f"silver_{t}"] = _silver(t)
-    q["dq_summary"] = _dq_summary_all
-    q["silver_relationship_dq_results"] = silver_relationship_dq_results
-    q["fk_orphans_declared"] = fk_orphans_declared
+    q["dq_summary"] = _layers_first(_dq_summary_all, gold=False)
+    q["silver_relationship_dq_results"] = _layers_first(silver_relationship_dq_results, gold=False)
+    q["fk_orphans_declared"] = _layers_first(fk_orphans_declared, gold=False)
     for name, fn in CTE_BUILDERS.items():
         q[name] = fn
     for name in ENTITY_BUILDERS:
         q[name] = _gold(name)
-    q["gold_data_quality_report"] = gold_data_quality_report
-    q["medallion_reconciliation_report"] = medallion_reconciliation_report
-    q["silver_schema_tests"] = lambda m: assertions.schema_test_results(m, SILVER_MODELS)
-    q["gold_schema_tests"] = lambda m: assertions.schema_test_results(m, GOLD_MODELS)
-    q["assert_gold_dq_no_critical"] = lambda m: assertions.assert_gold_dq_no_critical(gold_data_quality_report(m))
-    q["assert_reconciliation_clean"] = lambda m: assertions.assert_reconciliation_clean(
-        medallion_reconciliation_report(m)
+    q["gold_data_quality_report"] = _layers_first(gold_data_quality_report)
+    q["medallion_reconciliation_report"] = _layers_first(medallion_reconciliation_report)
+    q["silver_schema_tests"] = _layers_first(lambda m: assertions.schema_test_results(m, SILVER_MODELS), gold=False)
+    q["gold_schema_tests"] = _layers_first(lambda m: assertions.schema_test_results(m, GOLD_MODELS))
+    q["assert_gold_dq_no_critical"] = _layers_first(
+        lambda m: assertions.assert_gold_dq_no_critical(gold_data_quality_report(m))
+    )
+    q["assert_reconciliation_clean"] = _layers_first(
+        lambda m: assertions.assert_reconciliation_clean(medallion_reconciliation_report(m))
+    )
+    q["assert_no_fk_orphans"] = _layers_first(
+        lambda m: assertions.assert_no_fk_orphans(silver_relationship_dq_results(m)), gold=False
     )
-    q["assert_no_fk_orphans"] = lambda m: assertions.assert_no_fk_orphans(silver_relationship_dq_results(m))
     return {k: _on_medallion(v) for k, v in q.items()}
