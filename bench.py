@@ -25,6 +25,7 @@ from lakestrata.operators.quality import gold_data_quality_report  # noqa: E402
 from lakestrata.operators.reconcile import medallion_reconciliation_report  # noqa: E402
 from lakestrata.operators.relationships import fk_orphans_declared, silver_relationship_dq_results  # noqa: E402
 from lakestrata.plans.medallion import GOLD_ENTITIES, Medallion  # noqa: E402
+from lakestrata.plans.parallel import run_all  # noqa: E402
 from lakestrata.plans.sinks import PARTITIONED_GOLD, write_layer_table, write_partitioned  # noqa: E402
 from lakestrata.session import local_session  # noqa: E402
 from lakestrata.sources.fixture_sql import BRONZE  # noqa: E402
@@ -61,8 +62,8 @@ def main() -> None:
     m = Medallion(spark, bronze, ctx)
 
     def silver_build() -> None:
-        for t in SPECS:
-            write_layer_table(m.silver(t), root, f"silver_{t}")
+        # The 26 silver tables are independent: submit their jobs concurrently.
+        run_all({t: (lambda t=t: write_layer_table(m.silver(t), root, f"silver_{t}")) for t in SPECS}, cpus)
 
     timed("silver_build_26", silver_build)
     for t in SPECS:
@@ -73,8 +74,8 @@ def main() -> None:
     for g in GOLD_ENTITIES:
         def build_gold(g=g) -> None:
             if g in PARTITIONED_GOLD:
-                date_col, cluster = PARTITIONED_GOLD[g]
-                write_partitioned(m.gold(g), root, g, date_col, cluster)
+                date_col, cluster, key = PARTITIONED_GOLD[g]
+                write_partitioned(m.gold(g), root, g, date_col, cluster, tiebreak=key)
             else:
                 write_layer_table(m.gold(g), root, g)
 

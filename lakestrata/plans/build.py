@@ -13,28 +13,32 @@ from lakestrata.operators.quality import gold_data_quality_report
 from lakestrata.operators.reconcile import medallion_reconciliation_report
 from lakestrata.operators.relationships import silver_relationship_dq_results
 from lakestrata.plans.medallion import GOLD_ENTITIES, Medallion
+from lakestrata.plans.parallel import run_all
 from lakestrata.plans.sinks import PARTITIONED_GOLD, write_layer_table, write_partitioned
 from lakestrata.sources.layers import layer_path
 from lakestrata.specs import SPECS
 
 
-def build_all(spark: SparkSession, bronze, root: str, ctx: RunContext | None = None) -> dict[str, str]:
+def build_all(spark: SparkSession, bronze, root: str, ctx: RunContext | None = None, threads: int = 8) -> dict[str, str]:
     m = Medallion(spark, bronze, ctx or RunContext())
     written: dict[str, str] = {}
-    for t in SPECS:
-        name = f"silver_{t}"
-        written[name] = write_layer_table(m.silver(t), root, name)
-        m.use_table(name, spark.read.parquet(written[name]))
+    silver = run_all({f"silver_{t}": (lambda t=t: write_layer_table(m.silver(t), root, f"silver_{t}")) for t in SPECS},
+                     threads)
+    for name, path in silver.items():
+        written[name] = path
+        m.use_table(name, spark.read.parquet(path))
     written["silver_relationship_dq_results"] = write_layer_table(
         silver_relationship_dq_results(m), root, "silver_relationship_dq_results"
     )
-    for g in GOLD_ENTITIES:
+    def write_gold(g: str) -> str:
         if g in PARTITIONED_GOLD:
-            date_col, cluster = PARTITIONED_GOLD[g]
-            written[g] = write_partitioned(m.gold(g), root, g, date_col, cluster)
-        else:
-            written[g] = write_layer_table(m.gold(g), root, g)
-        m.use_table(g, spark.read.parquet(written[g]))
+            date_col, cluster, key = PARTITIONED_GOLD[g]
+            return write_partitioned(m.gold(g), root, g, date_col, cluster, tiebreak=key)
+        return write_layer_table(m.gold(g), root, g)
+
+    for g, path in run_all({g: (lambda g=g: write_gold(g)) for g in GOLD_ENTITIES}, threads).items():
+        written[g] = path
+        m.use_table(g, spark.read.parquet(path))
     written["gold_data_quality_report"] = write_layer_table(gold_data_quality_report(m), root,
                                                             "gold_data_quality_report", "ops")
     written["medallion_reconciliation_report"] = write_layer_table(

@@ -33,6 +33,7 @@ def write_partitioned(
     cluster_by: tuple[str, ...] = (),
     layer: str | None = None,
     max_records_per_file: int = 5_000_000,
+    tiebreak: str | None = None,
 ) -> str:
     """Overwrite ``table`` partitioned by month of ``date_col`` and clustered
     by ``cluster_by`` within each partition.
@@ -40,11 +41,13 @@ def write_partitioned(
     Range partitioning on (month, cluster keys) gives each writer task a
     contiguous key range: it writes into one or two month directories (few
     files), a hot month is split over several tasks by the sampled range
-    bounds, and rows come out sorted by the cluster keys."""
+    bounds, and rows come out sorted by the cluster keys.  ``tiebreak`` (the
+    entity key) ends the range key so that even a single hot (month, cluster
+    key) value is spread over several writers instead of one."""
     path = layer_path(root, table, layer)
     part = partition_column(date_col)
     staged = df.withColumn(part, F.date_format(F.col(date_col), "yyyy-MM"))
-    keys = [F.col(part)] + [F.col(c) for c in cluster_by]
+    keys = [F.col(part)] + [F.col(c) for c in cluster_by] + ([F.col(tiebreak)] if tiebreak else [])
     (
         staged.repartitionByRange(*keys)
         .sortWithinPartitions(part, *cluster_by)
@@ -56,8 +59,9 @@ def write_partitioned(
     return path
 
 
-# The two partitioned gold tables (date column, cluster keys).
+# The two partitioned gold tables (date column, cluster keys,
+# entity key used as range tie-break).
 PARTITIONED_GOLD = {
-    "gold_transaction_360": ("transaction_date", ("customer_id", "merchant_id")),
-    "gold_account_financial_summary": ("opened_date", ()),
+    "gold_transaction_360": ("transaction_date", ("customer_id", "merchant_id"), "transaction_id"),
+    "gold_account_financial_summary": ("opened_date", (), "account_id"),
 }
