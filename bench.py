@@ -69,7 +69,10 @@ def main() -> None:
     for t in SPECS:
         m.use_table(f"silver_{t}", spark.read.parquet(layer_path(root, f"silver_{t}")))
 
-    timed("silver_relationship_dq_results", lambda: silver_relationship_dq_results(m).collect())
+    timed("silver_relationship_dq_results", lambda: write_layer_table(
+        silver_relationship_dq_results(m), root, "silver_relationship_dq_results"))
+    m.use_table("silver_relationship_dq_results",
+                spark.read.parquet(layer_path(root, "silver_relationship_dq_results")))
     timed("fk_orphans_declared", lambda: fk_orphans_declared(m).collect())
     for g in GOLD_ENTITIES:
         def build_gold(g=g) -> None:

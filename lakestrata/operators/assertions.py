@@ -160,6 +160,8 @@ def assert_relationships(child: DataFrame, col: str, parent: DataFrame, field: s
 
 # -- layer summary ----------------------------------------------------------
 def _table(m, name: str) -> DataFrame:
+    if name in getattr(m, "_overrides", {}):
+        return m._overrides[name]
     if name == "silver_relationship_dq_results":
         from lakestrata.operators.relationships import silver_relationship_dq_results
 

@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming source, event-time window, watermark or
+stateful operator; every layer is a batch full rebuild.  Nothing here is
+needed to cover it (see README, "Re-aimed or not built")."""
