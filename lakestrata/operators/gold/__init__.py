@@ -32,6 +32,7 @@ CTE_BUILDERS = {
     "g2b_fraud_flag": transaction_360.g2b_fraud_flag,
     "g2c_dispute_flag": transaction_360.g2c_dispute_flag,
     "g2d_velocity_flag": transaction_360.g2d_velocity_flag,
+    "g3a_mcc_lookup": merchant_performance.g3a_mcc_lookup,
     "g3b_txn_agg": merchant_performance.g3b_txn_agg,
     "g3c_dispute_agg": merchant_performance.g3c_dispute_agg,
     "g3d_chargeback_agg": merchant_performance.g3d_chargeback_agg,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.aggregates import count_if
 from lakestrata.functions.numeric import nullif0, round_half_up, safe_divide
-from lakestrata.operators.gold.common import card_bridge, with_gold_audit, zero
+from lakestrata.operators.gold.common import card_bridge, left_join_on_key, with_gold_audit, zero
 from lakestrata.operators.gold.customer_360 import card_totals
 
 
@@ -93,16 +93,10 @@ def g4g_payments_agg(m) -> DataFrame:
 
 
 def build(m) -> DataFrame:
-    j = (
-        m.silver("accounts")
-        .join(g4a_cards_agg(m), "account_id", "left")
-        .join(g4b_stmt_agg(m), "account_id", "left")
-        .join(g4c_fees_agg(m), "account_id", "left")
-        .join(g4d_current_rate(m), "account_id", "left")
-        .join(g4e_current_limit(m), "account_id", "left")
-        .join(g4f_emi_agg(m), "account_id", "left")
-        .join(g4g_payments_agg(m), "account_id", "left")
-    )
+    j = left_join_on_key(m.silver("accounts"), "account_id", [
+        g4a_cards_agg(m), g4b_stmt_agg(m), g4c_fees_agg(m), g4d_current_rate(m), g4e_current_limit(m),
+        g4f_emi_agg(m), g4g_payments_agg(m),
+    ])
     missed = zero("missed_payment_count")
     out = j.select(
         "account_id", "customer_id", "account_type", "account_number", "sort_code", "currency",

@@ -36,3 +36,16 @@ def zero(c: str, default=0) -> Column:
 def card_bridge(m, *cols: str) -> DataFrame:
     """The card → account/customer bridge, pruned to the needed columns."""
     return m.silver("credit_cards").select("card_id", *cols)
+
+
+def left_join_on_key(spine: DataFrame, key: str, sides: list[DataFrame]) -> DataFrame:
+    """``spine LEFT JOIN side USING (key)`` for every side.
+
+    Spine rows with a NULL key can never match; they bypass the joins (their
+    side columns are NULL) instead of all hashing into one shuffle partition,
+    so a NULL key holding a large share of the rows cannot skew the join."""
+    nn = F.col(key).isNotNull()
+    keyed = spine.where(nn)
+    for side in sides:
+        keyed = keyed.join(side.where(nn), key, "left")
+    return keyed.unionByName(spine.where(~nn), allowMissingColumns=True)

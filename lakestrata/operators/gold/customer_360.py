@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.aggregates import count_if
 from lakestrata.functions.numeric import nullif0, round_half_up, safe_divide
-from lakestrata.operators.gold.common import card_bridge, top1, with_gold_audit, zero
+from lakestrata.operators.gold.common import card_bridge, left_join_on_key, top1, with_gold_audit, zero
 
 ADDRESS_COLS = ["address_line1", "address_line2", "city", "county", "postcode", "country"]
 
@@ -88,15 +88,10 @@ def g1g_missed_payments(m) -> DataFrame:
 
 def build(m) -> DataFrame:
     c = m.silver("customers")
-    j = (
-        c.join(g1a_primary_address(m), "customer_id", "left")
-        .join(g1b_accounts_agg(m), "customer_id", "left")
-        .join(g1c_cards_agg(m), "customer_id", "left")
-        .join(g1d_rewards_agg(m), "customer_id", "left")
-        .join(g1e_kyc_status(m), "customer_id", "left")
-        .join(g1f_contact_agg(m), "customer_id", "left")
-        .join(g1g_missed_payments(m), "customer_id", "left")
-    )
+    j = left_join_on_key(c, "customer_id", [
+        g1a_primary_address(m), g1b_accounts_agg(m), g1c_cards_agg(m), g1d_rewards_agg(m), g1e_kyc_status(m),
+        g1f_contact_agg(m), g1g_missed_payments(m),
+    ])
     out = j.select(
         "customer_id", "first_name", "last_name",
         F.concat("first_name", F.lit(" "), "last_name").alias("full_name"),

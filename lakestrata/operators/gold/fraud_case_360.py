@@ -66,11 +66,17 @@ def build(m) -> DataFrame:
         "merchant_id", "merchant_name", "merchant_city", "merchant_country"
     ))
     nn = F.col("transaction_id").isNotNull()
-    j = (
-        fa.join(t.where(nn), "transaction_id", "left")
+    # Alerts without a transaction can never match a transaction-keyed side;
+    # they bypass those joins instead of piling into one hash partition.
+    keyed = (
+        fa.where(nn)
+        .join(t.where(nn), "transaction_id", "left")
         .join(g5b_dispute_flag(m).where(nn), "transaction_id", "left")
         .join(g5c_chargeback_flag(m).where(nn), "transaction_id", "left")
         .join(g5d_velocity_agg(m).where(nn), "transaction_id", "left")
+    )
+    j = (
+        keyed.unionByName(fa.where(~nn), allowMissingColumns=True)
         .join(cards, "card_id", "left")
         .join(customers, "customer_id", "left")
         .join(merchants, "merchant_id", "left")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.aggregates import count_if
 from lakestrata.functions.numeric import nullif0, round_half_up, safe_divide
-from lakestrata.operators.gold.common import top1, with_gold_audit, zero
+from lakestrata.operators.gold.common import left_join_on_key, top1, with_gold_audit, zero
 
 
 def g3a_mcc_lookup(m) -> DataFrame:
@@ -74,14 +74,9 @@ def g3e_blacklist(m) -> DataFrame:
 
 
 def build(m) -> DataFrame:
-    j = (
-        m.silver("merchants")
-        .join(m.dim("dim_merchant_categories", g3a_mcc_lookup(m)), "mcc_code", "left")
-        .join(g3b_txn_agg(m), "merchant_id", "left")
-        .join(g3c_dispute_agg(m), "merchant_id", "left")
-        .join(g3d_chargeback_agg(m), "merchant_id", "left")
-        .join(g3e_blacklist(m), "merchant_id", "left")
-    )
+    spine = m.silver("merchants").join(m.dim("dim_merchant_categories", g3a_mcc_lookup(m)), "mcc_code", "left")
+    j = left_join_on_key(spine, "merchant_id", [g3b_txn_agg(m), g3c_dispute_agg(m), g3d_chargeback_agg(m),
+                                                g3e_blacklist(m)])
     dispute_rate = round_half_up(safe_divide(zero("dispute_count"), nullif0(zero("total_transactions"))), 4)
     blacklisted = F.coalesce(F.col("blacklist_is_active"), F.lit(False))
     out = j.select(

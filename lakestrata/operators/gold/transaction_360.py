@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.aggregates import count_if
 from lakestrata.functions.hashing import record_hash
+from lakestrata.operators.gold.common import left_join_on_key
 
 
 def g2b_fraud_flag(m) -> DataFrame:
@@ -69,19 +70,13 @@ def build(m) -> DataFrame:
     mcc = m.dim("dim_merchant_categories", m.silver("dim_merchant_categories").select(
         F.col("mcc_code").alias("transaction_mcc_code"), "category_name", "category_group"
     ))
-    fa = g2b_fraud_flag(m).where(F.col("transaction_id").isNotNull())
-    d = g2c_dispute_flag(m).where(F.col("transaction_id").isNotNull())
-    v = g2d_velocity_flag(m).where(F.col("transaction_id").isNotNull())
-
-    j = (
+    enriched = (
         t.join(cards, "card_id", "inner")
         .join(merchants, "merchant_id", "left")
         .join(txn_types, "txn_type_id", "left")
         .join(mcc, "transaction_mcc_code", "left")
-        .join(fa, "transaction_id", "left")
-        .join(d, "transaction_id", "left")
-        .join(v, "transaction_id", "left")
     )
+    j = left_join_on_key(enriched, "transaction_id", [g2b_fraud_flag(m), g2c_dispute_flag(m), g2d_velocity_flag(m)])
     j = j.select(
         "transaction_id", "card_id", "customer_id", "merchant_id", "txn_type_id", "transaction_date",
         "posting_date", "amount", "currency", "original_amount", "original_currency", "fx_rate", "description",

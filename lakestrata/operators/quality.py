@@ -114,6 +114,21 @@ def finish(rows: DataFrame) -> DataFrame:
     )
 
 
+def dq_check_pk(df: DataFrame, model: str, pk: str) -> DataFrame:
+    """One PK_UNIQUE report row for ``model``."""
+    return finish(pk_and_not_null(df, model, pk, ()))
+
+
+def dq_check_not_null(df: DataFrame, model: str, column: str) -> DataFrame:
+    """One NOT_NULL report row for ``model.column``."""
+    return finish(pk_and_not_null(df, model, None, (column,)))
+
+
+def dq_check_fk(child: DataFrame, model: str, fk: str, parent: DataFrame, parent_model: str, pk: str) -> DataFrame:
+    """One FK_REFERENTIAL_INTEGRITY report row (LEFT JOIN semantics)."""
+    return finish(fk_integrity(child, model, fk, parent, parent_model, pk))
+
+
 def table_checks(m, spec: TableChecks) -> list[DataFrame]:
     df = m.gold(spec.table) if spec.table.startswith("gold_") else m.silver(spec.table)
     parts = [pk_and_not_null(df, spec.table, spec.pk, spec.not_null)]
