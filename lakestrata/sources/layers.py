@@ -31,14 +31,21 @@ def layer_path(root: str, table: str, layer: str | None = None) -> str:
 
 class ParquetBronze:
     """Bronze provider reading ``<root>/bronze/<table>`` (all columns, no filter;
-    Catalyst prunes columns and pushes filters into the scan)."""
+    Catalyst prunes columns and pushes filters into the scan).
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``schemas`` optionally declares a table's schema (no footer inference, and
+    a stable column order/type contract for the silver specs)."""
+
+    def __init__(self, spark: SparkSession, root: str, schemas: dict | None = None):
         self.spark = spark
         self.root = root
+        self.schemas = schemas or {}
         self._memo: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._memo:
-            self._memo[name] = self.spark.read.parquet(layer_path(self.root, name, "bronze"))
+            reader = self.spark.read
+            if name in self.schemas:
+                reader = reader.schema(self.schemas[name])
+            self._memo[name] = reader.parquet(layer_path(self.root, name, "bronze"))
         return self._memo[name]
