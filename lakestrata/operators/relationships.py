@@ -66,43 +66,54 @@ def orphan_counts(m, checks: list[FkCheck]) -> DataFrame:
     """``(check metadata…, orphaned_count)`` for every check, 0 included.
 
     One shuffle for all checks: child FK values and parent keys are unioned
-    as ``(parent_group, key, check_no)`` rows (each parent's keys once, however
-    many checks point at it) and grouped by ``(parent_group, key)`` with one
-    counter per check.  Partial aggregation runs map-side, so hot or NULL
-    keys cost one row per task.  A key group is orphaned when no parent row
-    fell into it (NULL keys never match)."""
-    groups: dict[tuple[str, str], int] = {}
-    for c in checks:
-        groups.setdefault((c.parent, c.pk), len(groups))
+    as ``(parent_group, key, slot)`` rows (each parent's keys once, however
+    many checks point at it) and grouped by ``(parent_group, key)``.  Each
+    check owns a counter *slot within its parent group*, so a shuffled key row
+    is only as wide as the largest group, not the number of checks.  Partial
+    aggregation runs map-side, so hot or NULL keys cost one row per task.  A
+    key group is orphaned when no parent row fell into it (NULL keys never
+    match)."""
+    groups: dict[tuple[str, str], list[int]] = {}
+    for i, c in enumerate(checks):
+        groups.setdefault((c.parent, c.pk), []).append(i)
+    gid = {g: n for n, g in enumerate(groups)}
+    slot = {i: s for members in groups.values() for s, i in enumerate(members)}
+    width = max(len(v) for v in groups.values())
 
     rows = []
-    for (parent, pk), g in groups.items():
+    for (parent, pk), g in gid.items():
         rows.append(
-            m.silver(parent).select(F.lit(g).alias("_g"), F.col(pk).cast("string").alias("_k"), F.lit(-1).alias("_c"))
+            m.silver(parent).select(F.lit(g).alias("_g"), F.col(pk).cast("string").alias("_k"), F.lit(-1).alias("_s"))
             .where(F.col("_k").isNotNull())
         )
     for i, c in enumerate(checks):
         ch = m.silver(c.child).select(
-            F.lit(groups[(c.parent, c.pk)]).alias("_g"), F.col(c.fk).cast("string").alias("_k"), F.lit(i).alias("_c")
+            F.lit(gid[(c.parent, c.pk)]).alias("_g"), F.col(c.fk).cast("string").alias("_k"), F.lit(slot[i]).alias("_s")
         )
         rows.append(ch.where(F.col("_k").isNotNull()) if c.skip_null else ch)
-    keyed = reduce(DataFrame.unionByName, rows)
-    per_key = keyed.groupBy("_g", "_k").agg(
-        F.max((F.col("_c") == -1).cast("int")).alias("_hp"),
-        *[F.count_if(F.col("_c") == i).alias(f"_n{i}") for i in range(len(checks))],
+    per_key = reduce(DataFrame.unionByName, rows).groupBy("_g", "_k").agg(
+        F.max((F.col("_s") == -1).cast("int")).alias("_hp"),
+        *[F.count_if(F.col("_s") == s).alias(f"_n{s}") for s in range(width)],
     )
     orphan = F.col("_hp") == 0
-    totals = per_key.agg(
-        *[F.coalesce(F.sum(F.when(orphan, F.col(f"_n{i}"))), F.lit(0)).alias(f"_o{i}") for i in range(len(checks))]
+    per_group = per_key.groupBy("_g").agg(
+        *[F.sum(F.when(orphan, F.col(f"_n{s}")).otherwise(F.lit(0))).alias(f"_o{s}") for s in range(width)]
+    )
+    per_slot = per_group.selectExpr(
+        "_g", f"stack({width}, {', '.join(f'{s}, _o{s}' for s in range(width))}) AS (_s, _orphans)"
     )
-    entries = ", ".join(
-        f"'silver_{c.child}', '{c.fk}', 'silver_{c.parent}', '{c.pk}', {str(c.skip_null).lower()}, "
-        f"'{c.cardinality}', CAST(_o{i} AS BIGINT)"
-        for i, c in enumerate(checks)
+    meta = m.spark.createDataFrame(
+        [(i, gid[(c.parent, c.pk)], slot[i], f"silver_{c.child}", c.fk, f"silver_{c.parent}", c.pk, c.skip_null,
+          c.cardinality) for i, c in enumerate(checks)],
+        "_i int, _g int, _s int, child_table string, fk_column string, parent_table string, pk_column string, "
+        "skip_null boolean, cardinality string",
     )
-    return totals.selectExpr(
-        f"stack({len(checks)}, {entries}) AS (child_table, fk_column, parent_table, pk_column, skip_null, "
-        "cardinality, orphaned_count)"
+    return (
+        F.broadcast(meta).join(per_slot, ["_g", "_s"], "left")
+        .select(
+            "child_table", "fk_column", "parent_table", "pk_column", "skip_null", "cardinality",
+            F.coalesce(F.col("_orphans"), F.lit(0)).cast("bigint").alias("orphaned_count"),
+        )
     )
 
 

@@ -55,7 +55,9 @@ def test_top1_is_an_aggregate_not_a_window(m):
 
 def test_fk_report_is_one_keyed_shuffle(m):
     ex = hash_exchanges(plan(silver_relationship_dq_results(m)))
-    assert len(ex) == 1 and "_g" in ex[0] and "_k" in ex[0], ex
+    keyed = [e for e in ex if "_k" in e]
+    # one shuffle of key rows for all checks; the rest only moves per-group totals
+    assert len(keyed) == 1 and "_g" in keyed[0], ex
 
 
 def test_reconciliation_is_one_keyed_shuffle(m):
