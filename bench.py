@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
+import uuid
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,7 +27,7 @@ from lakestrata.operators.relationships import fk_orphans_declared, silver_relat
 from lakestrata.plans.medallion import GOLD_ENTITIES, Medallion  # noqa: E402
 from lakestrata.plans.parallel import run_all  # noqa: E402
 from lakestrata.plans.sinks import PARTITIONED_GOLD, write_layer_table, write_partitioned  # noqa: E402
-from lakestrata.session import local_session  # noqa: E402
+from lakestrata.session import ensure_checkpoint_dir, local_session  # noqa: E402
 from lakestrata.sources.fixture_sql import BRONZE  # noqa: E402
 from lakestrata.sources.layers import ParquetBronze, layer_path  # noqa: E402
 from lakestrata.sources.testdata import TestdataBronze  # noqa: E402
@@ -39,7 +39,9 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     reps = int(os.environ.get("BENCH_REPS", "2"))
     spark = local_session(cpus, shuffle_partitions=max(8, cpus * 2), app="lakestrata-bench")
-    root = tempfile.mkdtemp(prefix="lakestrata-bench-", dir="/tmp")
+    # Scratch tables go to a fresh folder under the session's checkpoint dir
+    # (the cluster's shared folder; a local one is set only when unset).
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakestrata-bench-{uuid.uuid4().hex}"
     ctx = RunContext.fixed()
 
     # Untimed: materialise bronze from the driver tables.
