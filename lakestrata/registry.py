@@ -21,14 +21,14 @@ from lakestrata.sources.testdata import TestdataBronze
 from lakestrata.specs import SPECS
 
 
-_MEDALLIONS: dict[tuple[int, str], Medallion] = {}
+_MEDALLIONS: dict[tuple[str, int, str], Medallion] = {}
 
 
 def medallion_for(spark: SparkSession, sf_dir: str) -> Medallion:
     """One lazily planned medallion per (session, dataset): every registered
     query over the same tables shares its bronze/silver/gold plans (plans
     are immutable, so sharing is safe; nothing is cached in memory)."""
-    key = (spark._jsparkSession.hashCode(), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf_dir.rstrip("/"))
     if key not in _MEDALLIONS:
         apply_engine_conf(spark)
         _MEDALLIONS[key] = Medallion(spark, TestdataBronze(spark, sf_dir), RunContext.fixed())
