@@ -8,40 +8,19 @@ spec order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.context import RunContext
-from lakestrata.functions.casting import cast_failed, safe_cast, safe_cast_sql
+from lakestrata.functions.casting import safe_cast_sql
 from lakestrata.functions.hashing import record_hash_sql
 from lakestrata.specs import SPECS, TableSpec
 
 
-def typed_columns(bronze: DataFrame, spec: TableSpec) -> list[Column]:
-    out = []
-    for name, label in spec.columns:
-        src = F.col(f"`{name}`")
-        if label:
-            out.append(safe_cast(src, label, bronze.schema[name].dataType).alias(name))
-        else:
-            out.append(src.alias(name))
-    return out
-
-
 def _raw(c: str) -> str:
     return f"_raw_{c}"
 
 
-def error_checks(spec: TableSpec) -> list[tuple[Column, str]]:
-    """(condition, code) pairs in code order, over the staged frame that
-    holds typed columns plus ``_raw_<col>`` copies of the cast inputs."""
-    checks = [(F.col(f"`{c}`").isNull(), f"REQUIRED_NULL:{c}") for c in spec.required]
-    checks += [
-        (cast_failed(F.col(_raw(c)), F.col(f"`{c}`")), f"CAST_FAILED:{c}:{label}") for c, label in spec.flagged_casts
-    ]
-    return checks
-
-
 def build_silver(bronze: DataFrame, spec: TableSpec | str, ctx: RunContext) -> DataFrame:
     """Typed, quality-flagged, audited silver table (one narrow projection).
 
