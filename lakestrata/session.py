@@ -14,6 +14,11 @@ ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # target post-shuffle partition size: at scale the cluster sets a high
+    # spark.sql.shuffle.partitions and AQE coalesces each stage towards this
+    # (with coalescePartitions.parallelismFirst=false on a cluster; left at
+    # its default here, where data is tiny and parallelism matters more)
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split skewed join partitions even when that costs an extra shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
