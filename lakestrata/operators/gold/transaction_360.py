@@ -40,16 +40,6 @@ def g2d_velocity_flag(m) -> DataFrame:
     )
 
 
-OUTPUT = (
-    "transaction_id card_id customer_id merchant_id txn_type_id transaction_date posting_date amount currency "
-    "original_amount original_currency fx_rate description transaction_status is_online is_international "
-    "transaction_mcc_code auth_code is_flagged cardholder_name credit_limit card_status txn_type_name is_credit "
-    "merchant_name merchant_city merchant_country merchant_is_online category_name category_group "
-    "has_fraud_alert max_fraud_risk_score is_confirmed_fraud has_dispute dispute_outcome disputed_amount "
-    "velocity_hit_count velocity_action gold_entity_name gold_created_ts gold_record_hash"
-).split()
-
-
 def build(m) -> DataFrame:
     t = m.silver("transactions").select(
         "transaction_id", "card_id", "merchant_id", "txn_type_id", "transaction_date", "posting_date", "amount",

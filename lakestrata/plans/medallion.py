@@ -3,8 +3,9 @@
 ``Medallion(bronze_provider, ctx)`` exposes ``bronze(t)``, ``silver(t)``,
 ``gold(name)`` and the ops reports.  Nothing executes until an action: each
 accessor returns a lazy DataFrame whose plan reaches back to the bronze scans,
-unless a layer was materialised with :meth:`build` (then downstream layers
-read the written tables, which also cuts lineage).
+unless a table was materialised (:meth:`materialize`, :meth:`use_table`,
+``plans.build.build_all``): then downstream layers read the written table,
+which also cuts lineage.
 """
 
 from __future__ import annotations
