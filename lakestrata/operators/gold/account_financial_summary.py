@@ -3,6 +3,8 @@ reaches the account through the card bridge (card_id → account_id)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,11 +94,90 @@ def g4g_payments_agg(m) -> DataFrame:
     )
 
 
+def bridged_aggregates(m) -> DataFrame:
+    """All card-bridged account aggregates (g4b…g4g) with ONE bridge join.
+
+    The six child tables are projected to one row shape tagged with their
+    kind and unioned, meet the card bridge (card_id → account_id) in a single
+    join, and are aggregated by ``(account_id, kind)``: the child key is the
+    only distinct aggregate (no Expand), and every other aggregate is scoped
+    to its kind.  A final aggregation by ``account_id`` folds the ≤ 6 kind rows
+    of each account into columns.  The bridge is shuffled once instead of
+    once per child table."""
+    def tagged(df: DataFrame, kind: str, key: str | None, **cols) -> DataFrame:
+        ident = F.col(key).cast("string") if key else F.lit(None).cast("string")
+        return df.select("card_id", F.lit(kind).alias("_kind"), ident.alias("_id"),
+                         *[c.alias(n) for n, c in cols.items()])
+
+    c = F.col
+    children = [
+        tagged(m.silver("statements"), "s", "statement_id", s_purchases=c("total_purchases"),
+               s_payments=c("total_payments"), s_fees=c("total_fees"), s_interest=c("total_interest"),
+               s_closing=c("closing_balance"), s_status=c("payment_status"), s_date=c("statement_date")),
+        tagged(m.silver("fees"), "f", "fee_id", f_amount=c("fee_amount"), f_waived=c("waived")),
+        tagged(m.silver("interest_rates"), "r", None, r_type=c("rate_type"), r_current=c("is_current"),
+               r_apr=c("apr")),
+        tagged(m.silver("credit_limit_history").where(c("is_current") == F.lit(True)), "l", None,
+               l_limit=c("new_limit")),
+        tagged(m.silver("emi_plans"), "e", "emi_plan_id", e_original=c("original_amount"),
+               e_payable=c("total_payable"), e_status=c("status")),
+        tagged(m.silver("payments"), "p", "payment_id", p_amount=c("amount"), p_date=c("payment_date"),
+               p_min_only=c("is_minimum_only"), p_status=c("status")),
+    ]
+    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), children)
+    joined = rows.join(card_bridge(m, "account_id"), "card_id")
+
+    kind = c("_kind")
+
+    def of(k: str, expr):
+        return F.when(kind == k, expr)
+
+    def r2sum(k: str, col: str):
+        return round_half_up(F.sum(of(k, c(col))), 2)
+
+    waived = c("f_waived")
+    per_kind = joined.groupBy("account_id", "_kind").agg(
+        F.count_distinct("_id").alias("_n"),
+        r2sum("s", "s_purchases").alias("total_purchases"),
+        r2sum("s", "s_payments").alias("total_payments"),
+        r2sum("s", "s_fees").alias("total_fees"),
+        r2sum("s", "s_interest").alias("total_interest"),
+        r2sum("s", "s_closing").alias("total_outstanding_balance"),
+        count_if(c("s_status") == "Missed").alias("missed_payment_count"),
+        count_if(c("s_status") == "Paid").alias("on_time_payment_count"),
+        count_if(c("s_status") == "Partial").alias("partial_payment_count"),
+        F.max("s_date").alias("latest_statement_date"),
+        r2sum("f", "f_amount").alias("total_fees_charged"),
+        round_half_up(F.sum(of("f", F.when(waived, c("f_amount")).otherwise(F.lit(0)))), 2).alias("total_fees_waived"),
+        round_half_up(F.sum(of("f", F.when(~waived, c("f_amount")).otherwise(F.lit(0)))), 2).alias("total_fees_paid"),
+        round_half_up(F.avg(F.when((c("r_type") == "Purchase") & c("r_current"), c("r_apr"))), 2).alias("purchase_apr"),
+        round_half_up(F.avg(F.when((c("r_type") == "Cash Advance") & c("r_current"), c("r_apr"))), 2)
+        .alias("cash_advance_apr"),
+        F.sum(of("l", c("l_limit"))).alias("current_total_limit"),
+        r2sum("e", "e_original").alias("total_emi_original_amount"),
+        r2sum("e", "e_payable").alias("total_emi_payable"),
+        count_if(c("e_status") == "Active").alias("active_emi_plans"),
+        r2sum("p", "p_amount").alias("total_amount_paid"),
+        round_half_up(F.min("p_amount"), 2).alias("min_payment_amount"),
+        round_half_up(F.max("p_amount"), 2).alias("max_payment_amount"),
+        round_half_up(F.avg("p_amount"), 2).alias("avg_payment_amount"),
+        F.max("p_date").alias("last_payment_date"),
+        count_if(c("p_min_only")).alias("minimum_only_payment_count"),
+        count_if(c("p_status") == "Completed").alias("completed_payment_count"),
+        count_if(c("p_status") == "Failed").alias("failed_payment_count"),
+    )
+    # Fold kind rows into columns: each column is non-NULL in one kind row only
+    # (counts are 0 elsewhere), so max() picks it.
+    value_cols = [x for x in per_kind.columns if x not in ("account_id", "_kind", "_n")]
+    counts = {"s": "statement_count", "f": "fee_event_count", "e": "emi_plan_count", "p": "payment_event_count"}
+    return per_kind.groupBy("account_id").agg(
+        *[F.max(F.when(kind == k, c("_n"))).alias(n) for k, n in counts.items()],
+        *[F.max(x).alias(x) for x in value_cols],
+    )
+
+
 def build(m) -> DataFrame:
-    j = left_join_on_key(m.silver("accounts"), "account_id", [
-        g4a_cards_agg(m), g4b_stmt_agg(m), g4c_fees_agg(m), g4d_current_rate(m), g4e_current_limit(m),
-        g4f_emi_agg(m), g4g_payments_agg(m),
-    ])
+    j = left_join_on_key(m.silver("accounts"), "account_id", [g4a_cards_agg(m), bridged_aggregates(m)])
     missed = zero("missed_payment_count")
     out = j.select(
         "account_id", "customer_id", "account_type", "account_number", "sort_code", "currency",

@@ -60,13 +60,15 @@ def build(m) -> DataFrame:
     mcc = m.dim("dim_merchant_categories", m.silver("dim_merchant_categories").select(
         F.col("mcc_code").alias("transaction_mcc_code"), "category_name", "category_group"
     ))
-    enriched = (
-        t.join(cards, "card_id", "inner")
+    # Flags first (transaction grain, NULL ids bypass the shuffle), then one
+    # card join over the combined rows, then broadcast lookups.
+    flagged = left_join_on_key(t, "transaction_id", [g2b_fraud_flag(m), g2c_dispute_flag(m), g2d_velocity_flag(m)])
+    j = (
+        flagged.join(cards, "card_id", "inner")
         .join(merchants, "merchant_id", "left")
         .join(txn_types, "txn_type_id", "left")
         .join(mcc, "transaction_mcc_code", "left")
     )
-    j = left_join_on_key(enriched, "transaction_id", [g2b_fraud_flag(m), g2c_dispute_flag(m), g2d_velocity_flag(m)])
     j = j.select(
         "transaction_id", "card_id", "customer_id", "merchant_id", "txn_type_id", "transaction_date",
         "posting_date", "amount", "currency", "original_amount", "original_currency", "fx_rate", "description",
