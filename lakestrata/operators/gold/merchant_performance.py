@@ -73,10 +73,58 @@ def g3e_blacklist(m) -> DataFrame:
     )
 
 
+def dispute_chargeback_aggregates(m) -> DataFrame:
+    """g3c and g3d with ONE join against the transactions' merchant map.
+
+    Dispute rows and chargeback rows (chargebacks resolved to their dispute's
+    transaction first) are tagged, unioned and meet ``(transaction_id,
+    merchant_id)`` once; aggregation is by ``(merchant_id, kind)`` so the
+    per-kind key is the only distinct aggregate, then folded per merchant."""
+    d = m.silver("disputes")
+    disputes = d.select(
+        "transaction_id", F.lit("d").alias("_kind"), F.col("dispute_id").alias("_id"),
+        F.col("disputed_amount").alias("_a"), F.col("refund_amount").alias("_b"), "outcome",
+    )
+    chargebacks = (
+        m.silver("chargeback_cases").select("chargeback_id", "dispute_id", "chargeback_amount", "recovery_amount")
+        .join(d.select("dispute_id", "transaction_id"), "dispute_id")
+        .select("transaction_id", F.lit("c").alias("_kind"), F.col("chargeback_id").alias("_id"),
+                F.col("chargeback_amount").alias("_a"), F.col("recovery_amount").alias("_b"),
+                F.lit(None).cast("string").alias("outcome"))
+    )
+    per_kind = (
+        disputes.unionByName(chargebacks)
+        .join(_txn_merchant(m), "transaction_id")
+        .groupBy("merchant_id", "_kind")
+        .agg(
+            F.count_distinct("_id").alias("_n"),
+            round_half_up(F.sum("_a"), 2).alias("_a"),
+            round_half_up(F.sum("_b"), 2).alias("_b"),
+            count_if(F.col("outcome") == "Upheld").alias("disputes_upheld"),
+            count_if(F.col("outcome") == "Rejected").alias("disputes_rejected"),
+        )
+    )
+    kind = F.col("_kind")
+
+    def pick(k: str, col: str):
+        return F.max(F.when(kind == k, F.col(col)))
+
+    return per_kind.groupBy("merchant_id").agg(
+        pick("d", "_n").alias("dispute_count"),
+        pick("d", "_a").alias("total_disputed_amount"),
+        pick("d", "_b").alias("total_refunded_amount"),
+        pick("d", "disputes_upheld").alias("disputes_upheld"),
+        pick("d", "disputes_rejected").alias("disputes_rejected"),
+        pick("c", "_n").alias("chargeback_count"),
+        pick("c", "_a").alias("total_chargeback_amount"),
+        pick("c", "_b").alias("total_recovered_amount"),
+    )
+
+
 def build(m) -> DataFrame:
-    spine = m.silver("merchants").join(m.dim("dim_merchant_categories", g3a_mcc_lookup(m)), "mcc_code", "left")
-    j = left_join_on_key(spine, "merchant_id", [g3b_txn_agg(m), g3c_dispute_agg(m), g3d_chargeback_agg(m),
-                                                g3e_blacklist(m)])
+    j = left_join_on_key(
+        m.silver("merchants"), "merchant_id", [g3b_txn_agg(m), dispute_chargeback_aggregates(m), g3e_blacklist(m)]
+    ).join(m.dim("dim_merchant_categories", g3a_mcc_lookup(m)), "mcc_code", "left")
     dispute_rate = round_half_up(safe_divide(zero("dispute_count"), nullif0(zero("total_transactions"))), 4)
     blacklisted = F.coalesce(F.col("blacklist_is_active"), F.lit(False))
     out = j.select(
