@@ -5,7 +5,7 @@ The bronze fixtures are derived from the driver tables and written once
 (untimed: in production bronze already exists).  Then every layer is built the
 way production runs it: silver tables written from bronze, gold entities
 from the written silver, ops reports and assertions over the written layers.
-Each step is timed (best of ``$BENCH_REPS`` runs) and one JSON line is
+Each step is timed (best of ``$BENCH_REPS`` runs, default 3) and one JSON line is
 printed.
 """
 
@@ -37,7 +37,7 @@ from lakestrata.specs import SPECS  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    reps = int(os.environ.get("BENCH_REPS", "2"))
+    reps = int(os.environ.get("BENCH_REPS", "3"))
     spark = local_session(cpus, shuffle_partitions=max(8, cpus * 2), app="lakestrata-bench")
     # Scratch tables go to a fresh folder under the session's checkpoint dir
     # (the cluster's shared folder; a local one is set only when unset).
