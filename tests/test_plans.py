@@ -70,3 +70,13 @@ def test_reconciliation_is_one_keyed_shuffle(m):
 def test_dq_report_has_no_fanout_join(m):
     p = plan(gold_data_quality_report(m))
     assert not any(f in p for f in FORBIDDEN)
+
+
+def test_broadcast_size_check(spark):
+    from lakestrata.operators.joins import fits_broadcast
+
+    small = spark.range(50)
+    big = spark.range(0, 5000, 1, 8)
+    assert fits_broadcast(small, max_rows=100) is True
+    assert fits_broadcast(big, max_rows=100) is False
+    assert fits_broadcast(spark.range(100), max_rows=100) is True
