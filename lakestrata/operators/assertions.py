@@ -3,9 +3,9 @@
 Generic column tests (``unique``, ``not_null``, ``accepted_values``,
 ``relationships``) follow the usual semantics: NULLs are ignored by unique,
 accepted_values and relationships.  Each test returns its failing rows; the
-summary runs every test of a layer with one fused aggregation per table
-(null and accepted-value checks share a single pass, unique is one keyed
-aggregation, relationships reuse the grouped anti-join of the FK report).
+summary runs each kind of test of a whole layer as one fused aggregation
+(null checks, accepted values, unique keys) plus the grouped anti-join of the
+FK report for relationships.
 """
 
 from __future__ import annotations
@@ -173,37 +173,68 @@ def schema_test_results(m, models: list[str]) -> DataFrame:
     """One row per declared test: ``test_id, model_name, column_name,
     test_type, failures, status``.
 
-    Per table, every not_null / accepted_values test is one aggregate pass
-    (unpivoted with ``stack``); all unique tests share ONE keyed aggregation
-    over ``(model, key)``; all relationships tests share the single grouped
-    anti-join of :func:`orphan_counts`."""
+    All not_null tests share ONE aggregation keyed by model (a NULL counter
+    slot per column, unpivoted with ``stack``); all accepted_values tests ONE
+    keyed aggregation over ``(test, failing value)``; all unique tests ONE
+    over ``(model, key)``; all relationships tests the single grouped
+    anti-join of :func:`orphan_counts`.  So a layer's tests are four keyed
+    aggregations, however many tables and tests it has."""
     parts = []
     uniq = []
+    not_null: list[tuple[int, str, list[str]]] = []
+    accepted: list[tuple[int, str, str, list[str]]] = []
     fk_checks: list[FkCheck] = []
     for mi, model in enumerate(models):
         t = SCHEMA_TESTS[model]
-        df = _table(m, model)
         nn = t.get("not_null", "").split()
-        acc = t.get("accepted", {})
-        if nn or acc:
-            aggs = [f"count_if(`{c}` IS NULL) AS f{i}" for i, c in enumerate(nn)]
-            aggs += [
-                f"count(DISTINCT CASE WHEN `{c}` NOT IN ({', '.join(repr(v) for v in vals)}) THEN `{c}` END) "
-                f"AS f{len(nn) + i}"
-                for i, (c, vals) in enumerate(acc.items())
-            ]
-            tests = [("not_null", c) for c in nn] + [("accepted_values", c) for c in acc]
-            entries = ", ".join(
-                f"'{kind}:{model}.{c}', '{model}', '{c}', '{kind}', CAST(f{i} AS BIGINT)"
-                for i, (kind, c) in enumerate(tests)
-            )
-            parts.append(df.selectExpr(*aggs).selectExpr(
-                f"stack({len(tests)}, {entries}) AS (test_id, model_name, column_name, test_type, failures)"
-            ))
+        if nn:
+            not_null.append((mi, model, nn))
+        accepted += [(len(accepted) + i, model, c, vals) for i, (c, vals) in enumerate(t.get("accepted", {}).items())]
         if t.get("unique"):
             uniq.append((mi, model, t["unique"]))
         for col, parent, field in t.get("rel", []):
             fk_checks.append(FkCheck(model, col, parent, field, skip_null=True))
+    if not_null:
+        # NULL counts of every not_null test: ONE aggregation keyed by model
+        # (one counter slot per tested column), so each map task emits at most
+        # one partial row per model and the shuffle stays tiny at any size.
+        width = max(len(nn) for _, _, nn in not_null)
+        nulls = reduce(DataFrame.unionByName, [
+            _table(m, model).select(F.lit(mi).alias("_m"), *[
+                (F.col(nn[j]).isNull().cast("long") if j < len(nn) else F.lit(0).cast("long")).alias(f"_n{j}")
+                for j in range(width)
+            ])
+            for mi, model, nn in not_null
+        ])
+        per_slot = nulls.groupBy("_m").agg(*[F.sum(f"_n{j}").alias(f"_n{j}") for j in range(width)]).selectExpr(
+            "_m", f"stack({width}, {', '.join(f'{j}, _n{j}' for j in range(width))}) AS (_j, _nulls)"
+        )
+        labels = m.spark.createDataFrame(
+            [(mi, j, f"not_null:{model}.{c}", model, c) for mi, model, nn in not_null for j, c in enumerate(nn)],
+            "_m int, _j int, test_id string, model_name string, column_name string",
+        )
+        parts.append(F.broadcast(labels).join(per_slot, ["_m", "_j"], "left").select(
+            "test_id", "model_name", "column_name", F.lit("not_null").alias("test_type"),
+            F.coalesce(F.col("_nulls"), F.lit(0)).cast("bigint").alias("failures"),
+        ))
+    if accepted:
+        # failures = distinct non-NULL values outside the list.  Only failing
+        # rows leave the scan; every test shares one keyed aggregation over
+        # (test, value), partial-aggregated map-side (no count-distinct Expand).
+        bad = reduce(DataFrame.unionByName, [
+            _table(m, model).where(F.col(c).isNotNull() & ~F.col(c).isin(vals))
+            .select(F.lit(ai).alias("_a"), F.col(c).cast("string").alias("_v"))
+            for ai, model, c, vals in accepted
+        ])
+        per_test = bad.distinct().groupBy("_a").agg(F.count(F.lit(1)).alias("_bad"))
+        labels = m.spark.createDataFrame(
+            [(ai, f"accepted_values:{model}.{c}", model, c) for ai, model, c, _ in accepted],
+            "_a int, test_id string, model_name string, column_name string",
+        )
+        parts.append(F.broadcast(labels).join(per_test, "_a", "left").select(
+            "test_id", "model_name", "column_name", F.lit("accepted_values").alias("test_type"),
+            F.coalesce(F.col("_bad"), F.lit(0)).cast("bigint").alias("failures"),
+        ))
     if uniq:
         keys = reduce(DataFrame.unionByName, [
             _table(m, model).select(F.lit(mi).alias("_m"), F.col(c).cast("string").alias("_k"))

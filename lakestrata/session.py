@@ -48,6 +48,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.startswith("local"):
+        # a machine-local folder is lost with its executor: on a cluster the
+        # shared folder must come from the session configuration
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage (HDFS, object store)")
     d = tempfile.mkdtemp(prefix="lakestrata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return d

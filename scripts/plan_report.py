@@ -1,6 +1,8 @@
 """Physical-plan summary of every gold entity and report, in the shape they
 take at scale: broadcasts disabled (no dimension passes the size check, no
-automatic broadcast), silver read from written parquet.
+automatic broadcast), every layer read from written parquet: gold entities
+from written silver, reports from written bronze, silver and gold (as the
+registered report queries run).
 
 Usage: python scripts/plan_report.py [sf_dir]   (default /root/testdata/sf0.01)
 Prints per plan: sort-merge / broadcast joins, hash exchanges (by key), and
@@ -24,6 +26,7 @@ from lakestrata.operators.relationships import fk_orphans_declared, silver_relat
 from lakestrata.plans.medallion import GOLD_ENTITIES, Medallion  # noqa: E402
 from lakestrata.plans.sinks import write_layer_table  # noqa: E402
 from lakestrata.session import ensure_checkpoint_dir, local_session  # noqa: E402
+from lakestrata.sources.fixture_sql import BRONZE  # noqa: E402
 from lakestrata.sources.layers import ParquetBronze, layer_path  # noqa: E402
 from lakestrata.sources.testdata import TestdataBronze  # noqa: E402
 from lakestrata.specs import SPECS  # noqa: E402
@@ -36,8 +39,12 @@ def main() -> None:
     spark = local_session(8, 16, app="lakestrata-plans")
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakestrata-plans-{uuid.uuid4().hex}"
     src = Medallion(spark, TestdataBronze(spark, sf_dir), RunContext.fixed())
+    for t in BRONZE:
+        write_layer_table(src.bronze(t), root, t, "bronze")
     for t in SPECS:
         write_layer_table(src.silver(t), root, f"silver_{t}")
+    for g in GOLD_ENTITIES:
+        write_layer_table(src.gold(g), root, g)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     m = Medallion(spark, ParquetBronze(spark, root), RunContext.fixed())
@@ -46,15 +53,21 @@ def main() -> None:
     for t in SPECS:
         m.use_table(f"silver_{t}", spark.read.parquet(layer_path(root, f"silver_{t}")))
     plans = {g: (lambda g=g: m.gold(g)) for g in GOLD_ENTITIES}
+    # reports read the written gold tables (after the entity plans above)
+    written_gold = lambda: [m.use_table(g, spark.read.parquet(layer_path(root, g))) for g in GOLD_ENTITIES]
     plans.update({
+        "_gold_written": written_gold,
         "silver_relationship_dq_results": lambda: silver_relationship_dq_results(m),
         "fk_orphans_declared": lambda: fk_orphans_declared(m),
         "gold_data_quality_report": lambda: gold_data_quality_report(m),
         "medallion_reconciliation_report": lambda: medallion_reconciliation_report(m),
         "silver_schema_tests": lambda: assertions.schema_test_results(m, [f"silver_{t}" for t in SPECS]),
+        "gold_schema_tests": lambda: assertions.schema_test_results(m, list(GOLD_ENTITIES)),
     })
     for name, make in plans.items():
         df = make()
+        if name.startswith("_"):
+            continue
         df.write.format("noop").mode("overwrite").save()  # final adaptive plan
         p = df._jdf.queryExecution().executedPlan().toString()
         keys = Counter(re.sub(r"#\d+", "", k) for k in re.findall(r"Exchange hashpartitioning\(([^,]*)", p))

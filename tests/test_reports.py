@@ -92,6 +92,18 @@ def test_schema_test_results_pass_and_fail(medallion):
     assert got["accepted_values:silver_customers.dq_status"] == (0, "PASS")
 
 
+def test_schema_test_accepted_values_count_distinct_failing_values(medallion):
+    base = dict(transaction_id="T", card_id="K", amount="1.0", currency="EUR")
+    m = medallion({"transactions": [dict(base, transaction_id=f"T{i}", status=s) for i, s in
+                                    enumerate(["Posted", "Bogus", "Bogus", "Odd", None, "Pending"])]})
+    res = assertions.schema_test_results(m, ["silver_transactions"])
+    got = {r["test_id"]: (r["failures"], r["status"]) for r in res.collect()}
+    # two distinct failing values (a repeated one counts once); NULL is ignored
+    assert got["accepted_values:silver_transactions.status"] == (2, "FAIL")
+    assert got["not_null:silver_transactions.status"] == (1, "FAIL")
+    assert "Expand" not in res._jdf.queryExecution().executedPlan().toString()
+
+
 def test_singular_assertions_filter_failures(spark):
     rep = spark.createDataFrame([("a", "t", "PK_UNIQUE", 1, "CRITICAL", "FAIL"), ("b", "t", "NOT_NULL", 1, "HIGH", "FAIL")],
                                 "check_id string, table_name string, check_type string, failed_rows long, "
