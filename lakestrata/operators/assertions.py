@@ -3,9 +3,9 @@
 Generic column tests (``unique``, ``not_null``, ``accepted_values``,
 ``relationships``) follow the usual semantics: NULLs are ignored by unique,
 accepted_values and relationships.  Each test returns its failing rows; the
-summary runs each kind of test of a whole layer as one fused aggregation
-(null checks, accepted values, unique keys) plus the grouped anti-join of the
-FK report for relationships.
+summary runs the tests of a whole layer as three fused aggregations: null
+checks; accepted values; unique keys together with relationships (the grouped
+anti-join of the FK report, which also counts duplicated parent keys).
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.operators.relationships import FkCheck, orphan_counts
+from lakestrata.operators.relationships import FkCheck, key_group_counts
 
 # ---------------------------------------------------------------------------
 # Generic tests declared on the silver and gold models.
@@ -175,10 +175,11 @@ def schema_test_results(m, models: list[str]) -> DataFrame:
 
     All not_null tests share ONE aggregation keyed by model (a NULL counter
     slot per column, unpivoted with ``stack``); all accepted_values tests ONE
-    keyed aggregation over ``(test, failing value)``; all unique tests ONE
-    over ``(model, key)``; all relationships tests the single grouped
-    anti-join of :func:`orphan_counts`.  So a layer's tests are four keyed
-    aggregations, however many tables and tests it has."""
+    keyed aggregation over ``(test, failing value)``; all unique and
+    relationships tests ONE over ``(key domain, key)``
+    (:func:`key_group_counts`: duplicated parent keys and orphaned child keys
+    from the same shuffle).  So a layer's tests are three keyed aggregations,
+    however many tables and tests it has."""
     parts = []
     uniq = []
     not_null: list[tuple[int, str, list[str]]] = []
@@ -235,40 +236,31 @@ def schema_test_results(m, models: list[str]) -> DataFrame:
             "test_id", "model_name", "column_name", F.lit("accepted_values").alias("test_type"),
             F.coalesce(F.col("_bad"), F.lit(0)).cast("bigint").alias("failures"),
         ))
-    if uniq:
-        keys = reduce(DataFrame.unionByName, [
-            _table(m, model).select(F.lit(mi).alias("_m"), F.col(c).cast("string").alias("_k"))
-            .where(F.col("_k").isNotNull())
-            for mi, model, c in uniq
-        ])
-        dup_values = (
-            keys.groupBy("_m", "_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-            .groupBy("_m").agg(F.count(F.lit(1)).alias("_dups"))
-        )
+    if uniq or fk_checks:
+        # unique and relationships tests share ONE keyed aggregation: a
+        # model's key column is shuffled once, as the parent side of the
+        # relationships pointing at it and as the input of its unique test.
+        # Its per-domain counts are unpivoted once (slot -1 = duplicated keys,
+        # slot s = orphans of check s) and labelled from one small table.
+        per_group, gid, slot, width = key_group_counts(_Prefixless(m), fk_checks, [(model, c) for _, model, c in uniq])
+        slots = ", ".join(["-1, _dups"] + [f"{s}, _o{s}" for s in range(width)])
+        per_slot = per_group.selectExpr("_g", f"stack({width + 1}, {slots}) AS (_s, _n)")
         labels = m.spark.createDataFrame(
-            [(mi, f"unique:{model}.{c}", model, c) for mi, model, c in uniq],
-            "_m int, test_id string, model_name string, column_name string",
+            [(gid[(model, c)], -1, f"unique:{model}.{c}", model, c, "unique") for _, model, c in uniq]
+            + [(gid[(fk.parent, fk.pk)], slot[i], f"relationships:{fk.child}.{fk.fk}", fk.child, fk.fk, "relationships")
+               for i, fk in enumerate(fk_checks)],
+            "_g int, _s int, test_id string, model_name string, column_name string, test_type string",
         )
-        parts.append(F.broadcast(labels).join(dup_values, "_m", "left").select(
-            "test_id", "model_name", "column_name", F.lit("unique").alias("test_type"),
-            F.coalesce(F.col("_dups"), F.lit(0)).cast("bigint").alias("failures"),
-        ))
-    if fk_checks:
-        counts = orphan_counts(_Prefixless(m), fk_checks)
-        model = F.expr("substr(child_table, 8)")
-        parts.append(counts.select(
-            F.concat(F.lit("relationships:"), model, F.lit("."), F.col("fk_column")).alias("test_id"),
-            model.alias("model_name"),
-            F.col("fk_column").alias("column_name"),
-            F.lit("relationships").alias("test_type"),
-            F.col("orphaned_count").alias("failures"),
+        parts.append(F.broadcast(labels).join(per_slot, ["_g", "_s"], "left").select(
+            "test_id", "model_name", "column_name", "test_type",
+            F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("failures"),
         ))
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
 
 
 class _Prefixless:
-    """Adapter so ``orphan_counts`` (which reads silver tables by bare name)
+    """Adapter so ``key_group_counts`` (which reads silver tables by bare name)
     can read any model by its full name."""
 
     def __init__(self, m):

@@ -67,6 +67,19 @@ def test_reconciliation_is_one_keyed_shuffle(m):
     assert not any(f in p for f in FORBIDDEN)
 
 
+def test_schema_tests_share_keyed_shuffles(m):
+    from lakestrata.operators.assertions import schema_test_results
+    from lakestrata.specs import SPECS
+
+    p = plan(schema_test_results(m, [f"silver_{t}" for t in SPECS]))
+    ex = hash_exchanges(p)
+    # unique + relationships: ONE shuffle of key rows for all tables
+    assert len([e for e in ex if "_k" in e]) == 1, ex
+    # accepted values: ONE shuffle of (test, failing value) rows
+    assert len([e for e in ex if "_v" in e]) == 1, ex
+    assert "Expand" not in p and not any(f in p for f in FORBIDDEN)
+
+
 def test_dq_report_has_no_fanout_join(m):
     p = plan(gold_data_quality_report(m))
     assert not any(f in p for f in FORBIDDEN)
