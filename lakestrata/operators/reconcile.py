@@ -2,10 +2,11 @@
 
 The reference computes every figure as its own scalar subquery (5 table reads
 per bronze→silver pair, 7 per silver→gold entity: 172 reads).  Here the
-whole report is ONE keyed aggregation: the key columns of both sides of every
-pair are unioned with a pair/side tag and grouped by (pair, key), with
-map-side partial counts, so each table is read once per pair and a single
-shuffle of (pair, key, side) rows produces every figure:
+whole report is ONE keyed aggregation: the key columns of every layer of a
+table domain (bronze, silver and, for the six entities, gold) are unioned
+with a domain/side tag and grouped by (domain, key), with map-side partial
+counts, so each table is read once (58 scans for the 32 rows) and a single
+shuffle of (domain, key, side) rows produces every figure:
 
 * counts per side = sum of the per-key counts;
 * missing = upstream rows whose key is NULL or absent downstream;
@@ -54,27 +55,42 @@ def reconciliation_rows(m, b2s: list[str], s2g: list[tuple[str, str, str, str]])
     """Reconciliation rows for bronze→silver tables ``b2s`` and silver→gold
     entities ``s2g`` (bronze table, silver table, gold table, key).
 
-    ONE keyed aggregation for all pairs: each pair contributes
-    ``(pair, key, side)`` rows (bronze = src, silver = mid, gold = tgt;
-    bronze rows of a silver→gold pair carry a NULL key because only their
-    count is needed), grouped by ``(pair, key)`` with map-side partial sums,
-    then summed per pair and labelled from a small broadcast table."""
-    rows, meta = [], []
+    ONE keyed aggregation for all pairs.  Rows are grouped by *domain*
+    (bronze table, silver table, key, gold table or none): a silver→gold
+    entity whose silver table is also reconciled against bronze joins that
+    table's domain, so its bronze and silver keys are read and shuffled once
+    for both report rows.  Each domain contributes ``(domain, key, side)``
+    rows (bronze = src, silver = mid, gold = tgt), grouped by
+    ``(domain, key)`` with map-side partial sums, then summed per domain; the
+    report rows are labelled from a small broadcast table."""
+    domains: list[list] = []  # [bronze, silver, key, gold or None]
+    meta = []
+
+    def domain(b: str, s: str, k: str, gold: str | None = None) -> int:
+        for d, (db, ds, dk, dg) in enumerate(domains):
+            if (db, ds, dk) == (b, s, k) and (gold is None or dg in (None, gold)):
+                domains[d][3] = dg or gold
+                return d
+        domains.append([b, s, k, gold])
+        return len(domains) - 1
+
     for t in b2s:
-        k = SPECS[t].pk
-        i = len(meta)
-        rows += [_sides(m.bronze(t), i, k, "src"), _sides(m.silver(t), i, k, "mid")]
-        meta.append((i, f"B2S::{t}", "BRONZE_TO_SILVER", t, f"silver_{t}"))
+        d = domain(t, f"silver_{t}", SPECS[t].pk)
+        meta.append((len(meta), d, f"B2S::{t}", "BRONZE_TO_SILVER", t, f"silver_{t}"))
     for b, s, g, k in s2g:
-        i = len(meta)
-        rows += [_sides(m.bronze(b), i, None, "src"), _sides(m.silver(s), i, k, "mid"), _sides(m.gold(g), i, k, "tgt")]
-        meta.append((i, f"S2G::{g}", "SILVER_TO_GOLD", s, g))
+        d = domain(b, f"silver_{s.removeprefix('silver_')}", k, g)
+        meta.append((len(meta), d, f"S2G::{g}", "SILVER_TO_GOLD", s, g))
+    rows = []
+    for d, (b, s, k, g) in enumerate(domains):
+        rows += [_sides(m.bronze(b), d, k, "src"), _sides(m.silver(s), d, k, "mid")]
+        if g:
+            rows.append(_sides(m.gold(g), d, k, "tgt"))
 
     per_key = reduce(DataFrame.unionByName, rows).groupBy("_p", "_k").agg(
         *[F.sum(f"_{s}").alias(f"_{s}") for s in ("src", "mid", "tgt")]
     )
     keyed = F.col("_k").isNotNull()
-    per_pair = per_key.groupBy("_p").agg(
+    per_domain = per_key.groupBy("_p").agg(
         F.sum("_src").alias("src_rows"),
         F.sum("_mid").alias("mid_rows"),
         F.sum("_tgt").alias("tgt_rows"),
@@ -86,9 +102,10 @@ def reconciliation_rows(m, b2s: list[str], s2g: list[tuple[str, str, str, str]])
         F.count_if(keyed & (F.col("_tgt") > 0)).alias("tgt_keys"),
     )
     labels = m.spark.createDataFrame(
-        meta, "_p int, reconciliation_id string, reconciliation_scope string, source_table string, target_table string"
+        meta, "_r int, _p int, reconciliation_id string, reconciliation_scope string, source_table string, "
+              "target_table string"
     )
-    j = F.broadcast(labels).join(per_pair, "_p", "left")
+    j = F.broadcast(labels).join(per_domain, "_p", "left")
     b2s_scope = F.col("reconciliation_scope") == "BRONZE_TO_SILVER"
     n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
     only_s2g = lambda c: F.when(~b2s_scope, c).cast("bigint")
