@@ -32,8 +32,8 @@ def build_all(spark: SparkSession, bronze, root: str, ctx: RunContext | None = N
     )
     def write_gold(g: str) -> str:
         if g in PARTITIONED_GOLD:
-            date_col, cluster, key = PARTITIONED_GOLD[g]
-            return write_partitioned(m.gold(g), root, g, date_col, cluster, tiebreak=key)
+            date_col, cluster = PARTITIONED_GOLD[g]
+            return write_partitioned(m.gold(g), root, g, date_col, cluster)
         return write_layer_table(m.gold(g), root, g)
 
     for g, path in run_all({g: (lambda g=g: write_gold(g)) for g in GOLD_ENTITIES}, threads).items():

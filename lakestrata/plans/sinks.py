@@ -2,9 +2,9 @@
 
 A day partition per date (the reference's layout) gives thousands of small
 directories at scale; the partition column here is the *month* of the date,
-and rows are clustered inside each file by the cluster keys, so parquet
-min/max statistics skip row groups for key predicates while date predicates
-prune whole directories.
+files are sized by AQE's rebalance, and rows are clustered inside each file by
+the cluster keys, so parquet min/max statistics skip row groups for key
+predicates while date predicates prune whole directories.
 """
 
 from __future__ import annotations
@@ -33,23 +33,25 @@ def write_partitioned(
     cluster_by: tuple[str, ...] = (),
     layer: str | None = None,
     max_records_per_file: int = 5_000_000,
-    tiebreak: str | None = None,
 ) -> str:
     """Overwrite ``table`` partitioned by month of ``date_col`` and clustered
-    by ``cluster_by`` within each partition.
+    by ``cluster_by`` within each file.
 
-    Range partitioning on (month, cluster keys) gives each writer task a
-    contiguous key range: it writes into one or two month directories (few
-    files), a hot month is split over several tasks by the sampled range
-    bounds, and rows come out sorted by the cluster keys.  ``tiebreak`` (the
-    entity key) ends the range key so that even a single hot (month, cluster
-    key) value is spread over several writers instead of one."""
+    ``REBALANCE(month)`` gives each month its own shuffle partitions, and AQE
+    sizes them (spark.sql.adaptive.advisoryPartitionSizeInBytes): small months
+    are coalesced, and a big or skewed month, e.g. one holding a third of all
+    rows, or one hot customer inside it, is split into several
+    advisory-sized partitions.  So files come out near the target size, each
+    writer writes into a single month directory, and no writer is handed a
+    whole hot group.  Unlike range partitioning, this needs no sampling job
+    that would recompute the whole upstream stage.  Rows are sorted by the
+    cluster keys within each file, so parquet row-group statistics skip rows
+    for key predicates while month predicates prune directories."""
     path = layer_path(root, table, layer)
     part = partition_column(date_col)
     staged = df.withColumn(part, F.date_format(F.col(date_col), "yyyy-MM"))
-    keys = [F.col(part)] + [F.col(c) for c in cluster_by] + ([F.col(tiebreak)] if tiebreak else [])
     (
-        staged.repartitionByRange(*keys)
+        staged.hint("rebalance", part)
         .sortWithinPartitions(part, *cluster_by)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
@@ -59,9 +61,8 @@ def write_partitioned(
     return path
 
 
-# The two partitioned gold tables (date column, cluster keys,
-# entity key used as range tie-break).
+# The two partitioned gold tables (date column, cluster keys).
 PARTITIONED_GOLD = {
-    "gold_transaction_360": ("transaction_date", ("customer_id", "merchant_id"), "transaction_id"),
-    "gold_account_financial_summary": ("opened_date", (), "account_id"),
+    "gold_transaction_360": ("transaction_date", ("customer_id", "merchant_id")),
+    "gold_account_financial_summary": ("opened_date", ()),
 }

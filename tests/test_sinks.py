@@ -29,3 +29,26 @@ def test_partitioned_write_prunes_months(spark):
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2024-02" in plan
     assert back.count() == df.where(F.month("transaction_date") == 2).count()
+
+
+def test_partitioned_write_splits_a_hot_month(spark):
+    # 95% of the rows in one month: AQE's rebalance splits that month over
+    # several writers (files) instead of handing it to one task
+    df = spark.range(0, 40000, 1, 8).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        F.when(F.col("id") % 20 == 0, F.lit("2024-02-10")).otherwise(F.lit("2024-01-15")).cast("date")
+        .alias("transaction_date"),
+        F.lit("hot").alias("customer_id"),
+        (F.col("id") * 7919 % 1000003).cast("string").alias("payload"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        root = tempfile.mkdtemp(prefix="lakestrata-test-")
+        path = write_partitioned(df, root, "gold_transaction_360", "transaction_date", ("customer_id",))
+    finally:
+        spark.conf.set(key, old)
+    hot = [f for f in os.listdir(f"{path}/transaction_date_month=2024-01") if f.endswith(".parquet")]
+    assert len(hot) > 1
+    assert spark.read.parquet(path).count() == 40000
