@@ -3,9 +3,9 @@
 Generic column tests (``unique``, ``not_null``, ``accepted_values``,
 ``relationships``) follow the usual semantics: NULLs are ignored by unique,
 accepted_values and relationships.  Each test returns its failing rows; the
-summary runs the tests of a whole layer as three fused aggregations: null
-checks; accepted values; unique keys together with relationships (the grouped
-anti-join of the FK report, which also counts duplicated parent keys).
+summary runs the tests of a whole layer as one fused aggregation for null
+checks and accepted values, one for unique keys, and the grouped anti-join of
+the FK report for relationships.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.operators.relationships import FkCheck, key_group_counts
+from lakestrata.operators.relationships import FkCheck, orphan_counts
 
 # ---------------------------------------------------------------------------
 # Generic tests declared on the silver and gold models.
@@ -173,13 +173,15 @@ def schema_test_results(m, models: list[str]) -> DataFrame:
     """One row per declared test: ``test_id, model_name, column_name,
     test_type, failures, status``.
 
-    All not_null tests share ONE aggregation keyed by model (a NULL counter
-    slot per column, unpivoted with ``stack``); all accepted_values tests ONE
-    keyed aggregation over ``(test, failing value)``; all unique and
-    relationships tests ONE over ``(key domain, key)``
-    (:func:`key_group_counts`: duplicated parent keys and orphaned child keys
-    from the same shuffle).  So a layer's tests are three keyed aggregations,
-    however many tables and tests it has."""
+    All not_null and accepted_values tests share ONE scan per table and ONE
+    aggregation keyed by (model, failing values) (NULL counter slots and
+    failing-value slots, unpivoted with ``stack``); all unique tests ONE over
+    narrow ``(model, key)`` rows; all relationships tests the single grouped
+    anti-join of :func:`orphan_counts`.  So a layer's tests are three keyed
+    aggregations, however many tables and tests it has.  (Folding the unique
+    tests into the relationships aggregation would save the parents' key
+    scans but make every key row as wide as the largest check group, which
+    measured slower; so did a separate scan per accepted_values test.)"""
     parts = []
     uniq = []
     not_null: list[tuple[int, str, list[str]]] = []
@@ -195,72 +197,89 @@ def schema_test_results(m, models: list[str]) -> DataFrame:
             uniq.append((mi, model, t["unique"]))
         for col, parent, field in t.get("rel", []):
             fk_checks.append(FkCheck(model, col, parent, field, skip_null=True))
-    if not_null:
-        # NULL counts of every not_null test: ONE aggregation keyed by model
-        # (one counter slot per tested column), so each map task emits at most
-        # one partial row per model and the shuffle stays tiny at any size.
-        width = max(len(nn) for _, _, nn in not_null)
-        nulls = reduce(DataFrame.unionByName, [
-            _table(m, model).select(F.lit(mi).alias("_m"), *[
-                (F.col(nn[j]).isNull().cast("long") if j < len(nn) else F.lit(0).cast("long")).alias(f"_n{j}")
-                for j in range(width)
-            ])
-            for mi, model, nn in not_null
-        ])
-        per_slot = nulls.groupBy("_m").agg(*[F.sum(f"_n{j}").alias(f"_n{j}") for j in range(width)]).selectExpr(
-            "_m", f"stack({width}, {', '.join(f'{j}, _n{j}' for j in range(width))}) AS (_j, _nulls)"
+    if not_null or accepted:
+        # not_null and accepted_values tests of all tables: each table is
+        # scanned once, as (model, NULL flags..., failing value per accepted
+        # column or NULL) rows.  Grouping by (model, failing values) collapses
+        # map-side to about one row per model per task (failing values are
+        # rare); the second aggregation sums the NULL counts and counts the
+        # distinct failing values per column.  Its distinct-count Expand only
+        # sees the tiny pre-aggregated rows, never the table rows.
+        nn_of = {mi: nn for mi, _, nn in not_null}
+        acc_of: dict[str, list[tuple[str, list[str]]]] = {}
+        for _, model, c, vals in accepted:
+            acc_of.setdefault(model, []).append((c, vals))
+        nw = max((len(nn) for nn in nn_of.values()), default=0)
+        aw = max((len(v) for v in acc_of.values()), default=0)
+        rows = []
+        for mi, model in enumerate(models):
+            nn, acc = nn_of.get(mi, []), acc_of.get(model, [])
+            if not nn and not acc:
+                continue
+            rows.append(_table(m, model).select(
+                F.lit(mi).alias("_m"),
+                *[(F.col(nn[j]).isNull().cast("long") if j < len(nn) else F.lit(0).cast("long")).alias(f"_n{j}")
+                  for j in range(nw)],
+                *[(F.when(~F.col(acc[j][0]).isin(acc[j][1]), F.col(acc[j][0]).cast("string")) if j < len(acc)
+                   else F.lit(None).cast("string")).alias(f"_v{j}") for j in range(aw)],
+            ))
+        per_values = reduce(DataFrame.unionByName, rows).groupBy("_m", *[f"_v{j}" for j in range(aw)]).agg(
+            *[F.sum(f"_n{j}").alias(f"_n{j}") for j in range(nw)], F.count(F.lit(1)).alias("_rows")
+        )
+        per_model = per_values.groupBy("_m").agg(
+            *[F.sum(f"_n{j}").alias(f"_n{j}") for j in range(nw)],
+            *[F.count_distinct(f"_v{j}").alias(f"_v{j}") for j in range(aw)],
         )
+        slots = [f"{j}, _n{j}" for j in range(nw)] + [f"{100 + j}, _v{j}" for j in range(aw)]
+        per_slot = per_model.selectExpr("_m", f"stack({len(slots)}, {', '.join(slots)}) AS (_j, _f)")
         labels = m.spark.createDataFrame(
-            [(mi, j, f"not_null:{model}.{c}", model, c) for mi, model, nn in not_null for j, c in enumerate(nn)],
-            "_m int, _j int, test_id string, model_name string, column_name string",
+            [(mi, j, f"not_null:{model}.{c}", model, c, "not_null") for mi, model, nn in not_null
+             for j, c in enumerate(nn)]
+            + [(models.index(model), 100 + j, f"accepted_values:{model}.{c}", model, c, "accepted_values")
+               for model, acc in acc_of.items() for j, (c, _) in enumerate(acc)],
+            "_m int, _j int, test_id string, model_name string, column_name string, test_type string",
         )
         parts.append(F.broadcast(labels).join(per_slot, ["_m", "_j"], "left").select(
-            "test_id", "model_name", "column_name", F.lit("not_null").alias("test_type"),
-            F.coalesce(F.col("_nulls"), F.lit(0)).cast("bigint").alias("failures"),
+            "test_id", "model_name", "column_name", "test_type",
+            F.coalesce(F.col("_f"), F.lit(0)).cast("bigint").alias("failures"),
         ))
-    if accepted:
-        # failures = distinct non-NULL values outside the list.  Only failing
-        # rows leave the scan; every test shares one keyed aggregation over
-        # (test, value), partial-aggregated map-side (no count-distinct Expand).
-        bad = reduce(DataFrame.unionByName, [
-            _table(m, model).where(F.col(c).isNotNull() & ~F.col(c).isin(vals))
-            .select(F.lit(ai).alias("_a"), F.col(c).cast("string").alias("_v"))
-            for ai, model, c, vals in accepted
+    if uniq:
+        # all unique tests: ONE keyed aggregation over narrow (model, key)
+        # rows, partial-aggregated map-side
+        keys = reduce(DataFrame.unionByName, [
+            _table(m, model).select(F.lit(mi).alias("_m"), F.col(c).cast("string").alias("_k"))
+            .where(F.col("_k").isNotNull())
+            for mi, model, c in uniq
         ])
-        per_test = bad.distinct().groupBy("_a").agg(F.count(F.lit(1)).alias("_bad"))
-        labels = m.spark.createDataFrame(
-            [(ai, f"accepted_values:{model}.{c}", model, c) for ai, model, c, _ in accepted],
-            "_a int, test_id string, model_name string, column_name string",
+        dup_values = (
+            keys.groupBy("_m", "_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+            .groupBy("_m").agg(F.count(F.lit(1)).alias("_dups"))
         )
-        parts.append(F.broadcast(labels).join(per_test, "_a", "left").select(
-            "test_id", "model_name", "column_name", F.lit("accepted_values").alias("test_type"),
-            F.coalesce(F.col("_bad"), F.lit(0)).cast("bigint").alias("failures"),
-        ))
-    if uniq or fk_checks:
-        # unique and relationships tests share ONE keyed aggregation: a
-        # model's key column is shuffled once, as the parent side of the
-        # relationships pointing at it and as the input of its unique test.
-        # Its per-domain counts are unpivoted once (slot -1 = duplicated keys,
-        # slot s = orphans of check s) and labelled from one small table.
-        per_group, gid, slot, width = key_group_counts(_Prefixless(m), fk_checks, [(model, c) for _, model, c in uniq])
-        slots = ", ".join(["-1, _dups"] + [f"{s}, _o{s}" for s in range(width)])
-        per_slot = per_group.selectExpr("_g", f"stack({width + 1}, {slots}) AS (_s, _n)")
         labels = m.spark.createDataFrame(
-            [(gid[(model, c)], -1, f"unique:{model}.{c}", model, c, "unique") for _, model, c in uniq]
-            + [(gid[(fk.parent, fk.pk)], slot[i], f"relationships:{fk.child}.{fk.fk}", fk.child, fk.fk, "relationships")
-               for i, fk in enumerate(fk_checks)],
-            "_g int, _s int, test_id string, model_name string, column_name string, test_type string",
+            [(mi, f"unique:{model}.{c}", model, c) for mi, model, c in uniq],
+            "_m int, test_id string, model_name string, column_name string",
         )
-        parts.append(F.broadcast(labels).join(per_slot, ["_g", "_s"], "left").select(
-            "test_id", "model_name", "column_name", "test_type",
-            F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("failures"),
+        parts.append(F.broadcast(labels).join(dup_values, "_m", "left").select(
+            "test_id", "model_name", "column_name", F.lit("unique").alias("test_type"),
+            F.coalesce(F.col("_dups"), F.lit(0)).cast("bigint").alias("failures"),
+        ))
+    if fk_checks:
+        # all relationships tests: the single grouped anti-join of the FK report
+        counts = orphan_counts(_Prefixless(m), fk_checks)
+        parts.append(counts.select(
+            F.concat(F.lit("relationships:"), F.expr("substr(child_table, 8)"), F.lit("."), F.col("fk_column"))
+            .alias("test_id"),
+            F.expr("substr(child_table, 8)").alias("model_name"),
+            F.col("fk_column").alias("column_name"),
+            F.lit("relationships").alias("test_type"),
+            F.col("orphaned_count").alias("failures"),
         ))
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
 
 
 class _Prefixless:
-    """Adapter so ``key_group_counts`` (which reads silver tables by bare name)
+    """Adapter so ``orphan_counts`` (which reads silver tables by bare name)
     can read any model by its full name."""
 
     def __init__(self, m):

@@ -62,6 +62,18 @@ def test_reconciliation_null_key_missing_and_duplicate(medallion):
             r["duplicate_intermediate_keys"], r["target_count"]) == (3, 3, 1, 2, None)
 
 
+def test_reconciliation_shared_domain_matches_standalone(medallion, spark):
+    m = medallion({"customers": [dict(customer_id=k) for k in ("C1", "C1", "C2", None)]})
+    m.use_table("gold_customer_360", spark.createDataFrame([("C1",)], "customer_id string"))
+    cols = ["source_count", "intermediate_count", "target_count", "missing_in_intermediate", "missing_in_target",
+            "duplicate_intermediate_keys", "duplicate_target_keys"]
+    s2g = ("customers", "silver_customers", "gold_customer_360", "customer_id")
+    both = {r["reconciliation_id"]: [r[c] for c in cols] for r in reconciliation_rows(m, ["customers"], [s2g]).collect()}
+    alone = [reconciliation_rows(m, [], [s2g]).first()[c] for c in cols]
+    assert both["S2G::gold_customer_360"] == alone == [4, 4, 1, None, 2, 2, 0]
+    assert both["B2S::customers"] == [4, 4, None, 1, None, 2, None]
+
+
 def test_reconciliation_report_statuses(medallion):
     m = medallion({"customers": [dict(customer_id="C1", first_name="a", last_name="b", customer_status="x")]})
     got = {r["reconciliation_id"]: r for r in medallion_reconciliation_report(m).collect()}
