@@ -62,31 +62,27 @@ def declared_checks() -> list[FkCheck]:
     return [FkCheck(c, fk, p, pk, "nullable" in card, card) for c, fk, p, pk, card in RELATIONSHIPS]
 
 
-def key_group_counts(m, checks: list[FkCheck], parents: list[tuple[str, str]] = ()):
+def key_group_counts(m, checks: list[FkCheck]):
     """Per key domain ``(parent table, key column)``: orphaned child rows of
-    every check and duplicated parent keys, from ONE keyed aggregation.
+    every check, from ONE keyed aggregation.
 
     Child FK values and parent keys are unioned as ``(group, key, slot)`` rows
-    (each parent's keys once, however many checks point at it; ``parents``
-    adds domains that no check points at) and grouped by ``(group, key)``.
+    (each parent's keys once, however many checks point at it) and grouped by
+    ``(group, key)``.
     Each check owns a counter *slot within its parent group*, so a shuffled
     key row is only as wide as the largest group, not the number of checks.
     Partial aggregation runs map-side, so hot or NULL keys cost one row per
     task.  A key is orphaned when no parent row fell into it (NULL keys never
-    match) and duplicated when more than one did.
+    match).
 
-    Returns ``(per_group, gid, slot, width)``: ``per_group`` has ``_g``,
-    ``_dups`` and one ``_o<slot>`` orphan count per slot."""
+    Returns ``(per_group, gid, slot, width)``: ``per_group`` has ``_g`` and
+    one ``_o<slot>`` orphan count per slot."""
     groups: dict[tuple[str, str], list[int]] = {}
     for i, c in enumerate(checks):
         groups.setdefault((c.parent, c.pk), []).append(i)
-    for p in parents:
-        groups.setdefault(tuple(p), [])
     gid = {g: n for n, g in enumerate(groups)}
     slot = {i: s for members in groups.values() for s, i in enumerate(members)}
     width = max(len(v) for v in groups.values())
-    if width == 0:  # no check: a dummy slot keeps the plan uniform
-        width = 1
 
     rows = []
     for (parent, pk), g in gid.items():
@@ -105,7 +101,6 @@ def key_group_counts(m, checks: list[FkCheck], parents: list[tuple[str, str]] =
     )
     orphan = F.col("_hp") == 0
     per_group = per_key.groupBy("_g").agg(
-        F.count_if(F.col("_hp") > 1).alias("_dups"),
         *[F.sum(F.when(orphan, F.col(f"_n{s}")).otherwise(F.lit(0))).alias(f"_o{s}") for s in range(width)],
     )
     return per_group, gid, slot, width
