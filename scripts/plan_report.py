@@ -6,7 +6,9 @@ registered report queries run).
 
 Usage: python scripts/plan_report.py [sf_dir]   (default /root/testdata/sf0.01)
 Prints per plan: sort-merge / broadcast joins, hash exchanges (by key), and
-any Expand, cartesian, nested-loop or Python node."""
+any Expand, cartesian, nested-loop or Python node.  (gold_schema_tests shows
+one Expand: the distinct count of failing accepted values, over rows already
+aggregated by (model, failing values), never over table rows.)"""
 
 from __future__ import annotations
 
