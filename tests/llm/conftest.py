@@ -1,0 +1,8 @@
+import pytest
+
+from lakestrata.session import local_session
+
+
+@pytest.fixture(scope="session")
+def spark():
+    return local_session(4, shuffle_partitions=4, app="lakestrata-llm-tests")
