@@ -7,7 +7,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from lakestrata.session import ensure_checkpoint_dir
 
@@ -59,6 +60,22 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             yield batch.slice(start), held
 
 
+def training_row(modulus: int) -> Column:
+    """True for rows whose crc32(doc_id as text) mod ``modulus`` is not 0; rows
+    without an id are never trained on."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus != 0, F.lit(False))
+
+
+def first_by_hash(keyed: DataFrame, n: int, per: str | None = None) -> DataFrame:
+    """A bounded sample of (doc_id, ...): the ``n`` rows, of each ``per`` if it
+    is named, whose ids have the smallest hashes (``__order``)."""
+    keyed = keyed.withColumn("__order", F.xxhash64(F.lit(11), "doc_id"))
+    if per is None:
+        return keyed.orderBy("__order", "doc_id").limit(n)
+    rank = F.row_number().over(Window.partitionBy(per).orderBy("__order", "doc_id"))
+    return keyed.withColumn("__rank", rank).filter(F.col("__rank") <= n).drop("__rank")
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (xor-shift-multiply)."""
     x = x.astype(np.uint64, copy=True)
@@ -84,11 +101,12 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words ``[^\\x20\\x09-\\x0D]+`` of the texts in order
-    (A-Z lower-cased), and ``len(texts) + 1`` offsets of each text's words."""
+def word_hashes(texts: list[bytes], gaps: np.ndarray = _WS) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the texts in order (A-Z lower-cased), and
+    ``len(texts) + 1`` offsets of each text's words.  ``gaps`` says for each
+    byte whether it separates words: ``[\\x20\\x09-\\x0D]``, if not given."""
     joined = np.frombuffer(b"\n".join(x.lower() for x in texts) + b"\n", dtype=np.uint8)
-    gap = _WS[joined]
+    gap = gaps[joined]
     edge = np.flatnonzero(np.diff(gap.astype(np.int8), prepend=np.int8(1)))
     starts, ends = edge[0::2], edge[1::2]
     text_ends = np.cumsum([len(x) + 1 for x in texts])

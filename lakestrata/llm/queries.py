@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import chat_format, minhash_dedup, mixing, packing
+from lakestrata.llm import chat_format, minhash_dedup, mixing, packing, toxicity
 from lakestrata.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("mean_rate", F.round("mean_rate", 6))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=3, per_cent=85)
 
@@ -34,6 +38,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op5_toxicity": op5_toxicity,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_pack": op8_pack,
     "op10_chat_format": op10_chat_format,
