@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import chat_format, minhash_dedup, mixing, packing, toxicity
+from lakestrata.llm import chat_format, language_id, minhash_dedup, mixing, packing, toxicity
 from lakestrata.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = "</s>[INST] ok [/INST]"
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_pack": op8_pack,
+    "op9_language_id": op9_language_id,
     "op10_chat_format": op10_chat_format,
 }
 
