@@ -7,11 +7,44 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakestrata.llm import language_id, minhash_dedup, mixing, packing, toxicity
 from lakestrata.llm.common import materialize, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows predicted toxic go."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_undetermined(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without a language go."""
+    return language_id.drop_undetermined(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near-duplicates stays (five words, 0.8)."""
+    return minhash_dedup.keep_representatives(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows are repeated so that sources meet their target weights."""
+    return mixing.mix_sources(docs, annotate=False)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the mixture's rows, placed in training sequences."""
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("language_id", drop_undetermined),
+    ("minhash_dedup", drop_near_duplicates),
+    ("mix_sources", mix_sources),
+    ("pack", pack),
+]
 
 #: Stages learn models and hash signatures, which SQL can't express.
 ORACLE_SQL = None

@@ -63,17 +63,19 @@ def source_rates(docs: DataFrame, weights: dict[str | None, float] | None = None
     return sizes.withColumn("mean_rate", mean).withColumn("cdf", F.aggregate(steps, start, step, lambda acc: acc["cdf"]))
 
 
-def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None, temperature: float = 0.5, epochs: float = 1.0, seed: int = 17) -> DataFrame:
-    """The mixture: a row for each copy, with ``copy_no`` (from 1), the source's
-    ``mean_rate`` and the ``shuffle_key`` that orders the mixture."""
-    docs = own_columns_win(docs, OWN)
+def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None, temperature: float = 0.5, epochs: float = 1.0, seed: int = 17, annotate: bool = True) -> DataFrame:
+    """The mixture: a row for each copy.  With ``annotate``, also ``copy_no``
+    (from 1), the source's ``mean_rate`` and the ``shuffle_key`` that orders
+    the mixture; without, the columns of ``docs`` alone."""
+    docs = own_columns_win(docs, OWN) if annotate else docs
     rates = source_rates(docs, weights, temperature, epochs)
-    rates = rates.select(F.col("source").alias("__source"), "mean_rate", "cdf")
+    rates = rates.select(F.col("source").alias("__source"), F.col("mean_rate").alias("__rate"), F.col("cdf").alias("__cdf"))
     key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("source", F.lit("-")))
-    drawn = docs.join(rates, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    drawn = docs.join(rates, F.col("source").eqNullSafe(F.col("__source")))
     drawn = drawn.withColumn("__key", key).withColumn("__u", _uniform(F.col("__key")))
-    copies = F.size(F.filter("cdf", lambda c: c <= F.col("__u")))
-    drawn = drawn.withColumn("__n", copies).drop("cdf", "__u").filter("__n > 0")
-    drawn = drawn.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("__n")))).drop("__n")
-    drawn = drawn.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.col("__key"), F.col("copy_no").cast("string")))).drop("__key")
-    return drawn.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    copies = F.size(F.filter("__cdf", lambda c: c <= F.col("__u")))
+    drawn = drawn.withColumn("__n", copies).filter("__n > 0").drop("__source", "__cdf", "__u")
+    drawn = drawn.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
+    drawn = drawn.withColumn("__order", F.md5(F.concat_ws(":", F.col("__key"), F.col("__copy").cast("string"))))
+    own = [F.col("__copy").alias("copy_no"), F.col("__rate").alias("mean_rate"), F.col("__order").alias("shuffle_key")] if annotate else []
+    return drawn.drop("__key", "__n").repartition("__order").sortWithinPartitions("__order").select(*docs.columns, *own)
