@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import chat_format, language_id, lattice_lm, minhash_dedup, mixing, packing, toxicity
+from lakestrata.llm import ann_mih, chat_format, language_id, lattice_lm, minhash_dedup, mixing, packing, toxicity
 from lakestrata.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("mean_rate", F.round("mean_rate", 6))
 
 
+def op2_ann_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return ann_mih.search(rows, rows.filter("vec_id % 20 = 0"))
+
+
 def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score_documents(table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_ann_mih": op2_ann_mih,
     "op4_lattice_lm": op4_lattice_lm,
     "op5_toxicity": op5_toxicity,
     "op7_minhash_dedup": op7_minhash_dedup,
