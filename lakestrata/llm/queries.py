@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import ann_mih, chat_format, language_id, lattice_lm, minhash_dedup, mixing, packing, toxicity
+from lakestrata.llm import ann_mih, chat_format, hnsw_dedup, language_id, lattice_lm, minhash_dedup, mixing, packing, toxicity
 from lakestrata.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_hnsw_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=3, per_cent=85)
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ann_mih": op2_ann_mih,
     "op4_lattice_lm": op4_lattice_lm,
     "op5_toxicity": op5_toxicity,
+    "op6_hnsw_dedup": op6_hnsw_dedup,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_pack": op8_pack,
     "op9_language_id": op9_language_id,
