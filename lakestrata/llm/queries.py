@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import ann_mih, chat_format, hnsw_dedup, language_id, lattice_lm, minhash_dedup, mixing, packing, toxicity
+from lakestrata.llm import ann_mih, chat_format, hnsw_dedup, html_extract, language_id, lattice_lm, minhash_dedup, mixing, packing, toxicity
 from lakestrata.llm.common import table
 
 
@@ -21,6 +21,11 @@ def op2_ann_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_mih.search(rows, rows.filter("vec_id % 20 = 0"))
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.learn(pages))
+
+
 def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score_documents(table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_ann_mih": op2_ann_mih,
+    "op3_html_extract": op3_html_extract,
     "op4_lattice_lm": op4_lattice_lm,
     "op5_toxicity": op5_toxicity,
     "op6_hnsw_dedup": op6_hnsw_dedup,
