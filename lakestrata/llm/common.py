@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -35,6 +37,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def worker_cache() -> dict:
+    """What a Python worker keeps between its tasks (functions come by value,
+    so that their modules' globals don't last)."""
+    return sys.modules.setdefault("_lakestrata_worker_cache", types.ModuleType("_lakestrata_worker_cache")).__dict__
+
+
 def own_columns_win(df: DataFrame, own: Iterable[str]) -> DataFrame:
     """Drop input columns whose names an operator uses for its own output
     (names compare without case, as Spark's do)."""

@@ -29,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import materialize
+from lakestrata.llm.common import materialize, worker_cache
 
 SEQUENCE = 4096
 END_ID = 2
 GROUP_PIECES = 2048
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 800_000
 
 PIECE = pa.schema([(x, pa.int64()) for x in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
 PIECE_DDL = ", ".join(f"{x} long" for x in PIECE.names)
@@ -48,8 +48,10 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class ChunkEncoder:
-    """Token ids of texts.  The tokenizer drops white space and never joins
-    across it, so ids of the chunks between blanks are kept and reused."""
+    """Token ids of texts, as little-endian 32-bit bytes.  The tokenizer drops
+    white space and never joins across it, so ids of the chunks between blanks
+    are kept and reused; so are those of words that only differ in case or in
+    one mark at the end, which the tokenizer lower-cases and splits off."""
 
     def __init__(self, vocabulary: str):
         import os
@@ -59,19 +61,48 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, np.ndarray] = {}
         self.blank = re.compile(r"[ \t\r\n]+")
-
-    def __call__(self, text: str) -> np.ndarray:
-        chunks = self.blank.split(text)
+        self.known: dict[str, bytes] = {}
+        self.marks = {x: self._encode([x])[0] for x in ".,;:!?"}
+        vocabulary_ids = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary_ids.values()) + 1, dtype=bool)  # ids that end a word
+        self.ends[[i for x, i in vocabulary_ids.items() if x.endswith("</w>")]] = True
+
+    def _encode(self, chunks: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """As ``_encode``, in one call, for words of letters alone: each gives
+        ids of which the last, and only that, ends a word."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
+        cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _learn(self, fresh: set[str]) -> None:
+        known, marks = self.known, self.marks
+        plain: dict[str, tuple[str, bytes]] = {}
+        other: list[str] = []
+        for chunk in fresh:
+            mark = marks.get(chunk[-1:], b"")
+            word = chunk[:-1] if mark else chunk
+            if word.isalpha() and max(word) <= "\u00ff":
+                plain[chunk] = word.lower(), mark
+            else:
+                other.append(chunk)
+        words = list({x for x, _ in plain.values() if x not in known})
+        known.update(zip(words, self._encode_words(words), strict=True))
+        known.update(zip(other, self._encode(other), strict=True))
+        for chunk, (word, mark) in plain.items():
+            known[chunk] = known[word] + mark
+
+    def __call__(self, text: str) -> bytes:
+        chunks = self.blank.split(text) if text else []
         if len(self.known) > CACHED_CHUNKS:
             self.known.clear()
-        known = self.known
-        fresh = list({x for x in chunks if x not in known})
-        if fresh:
-            for x, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
-                known[x] = np.array(e.ids, dtype="<u4")
-        return np.concatenate([known[x] for x in chunks])
+        if fresh := set(chunks).difference(self.known):
+            self._learn(fresh)
+        return b"".join(map(self.known.__getitem__, chunks))
 
 
 def cut_documents(docs: DataFrame, vocabulary: str | None = None, sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
@@ -79,15 +110,16 @@ def cut_documents(docs: DataFrame, vocabulary: str | None = None, sequence: int
     vocabulary = vocabulary or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = ChunkEncoder(vocabulary)
-        end = np.array([end_id], dtype="<u4")
+        cache = worker_cache()
+        encode = cache.get(vocabulary) or cache.setdefault(vocabulary, ChunkEncoder(vocabulary))
+        end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             out: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.concatenate([encode(text.as_py() or ""), end])
-                for at in range(0, len(ids), sequence):
-                    piece = ids[at : at + sequence]
-                    out.append((doc, at, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
+                ids = encode(text.as_py() or "") + end
+                for at in range(0, len(ids), 4 * sequence):
+                    piece = ids[at : at + 4 * sequence]
+                    out.append((doc, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4))
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], schema=PIECE)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECE_DDL)
