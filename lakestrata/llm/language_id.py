@@ -274,7 +274,8 @@ def identify(docs: DataFrame) -> DataFrame:
     return labelled.select("doc_id", (~training_row(FOLDS)).alias("held_out"), "lang_pred", "score")
 
 
-def drop_undetermined(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` with a language, whose words mostly agree on it."""
+def drop_undetermined(docs: DataFrame, least: float = 1 / 3) -> DataFrame:
+    """The rows of ``docs`` with a language that holds a third of the words at
+    least: texts that switch between two languages stay."""
     kept = label(docs, learn(docs), ("__lang", "__share"))
     return kept.filter((F.col("__lang") != UNDETERMINED) & (F.col("__share") >= least)).select(*docs.columns)
