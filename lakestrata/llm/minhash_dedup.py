@@ -9,11 +9,12 @@ is below ``MISS``.  Survivors are verified on their full sets, and verified
 links are joined into components.
 
 No bucket is expanded into all its pairs.  First each bucket is a star around
-its smallest id; where that leaves a bucket in several components, the members
-outside its largest component are compared with all its members, in blocks,
-and for each the best survivors go to verification until none is left
-untested.  So every pair of a bucket is linked, ruled out, or already joined
-through others, and components are those of all pairs.
+its smallest id; most links are found there.  Where that leaves a bucket in
+several components, its members outside the largest are strays: they are
+compared with all members of that component and with its other strays, in
+blocks, with the sets at hand, and a pair is passed over only if links of its
+block join it already.  So every pair of a bucket is linked, ruled out, or
+joined through others, and the components are those of all pairs.
 
 Scale: one pass over the texts writes signatures (about 0.7 KB a document); a
 second pass over the texts of survivors alone writes their sets.  Hot sets, buckets
@@ -48,10 +49,8 @@ BANDS, ROWS = 20, 6
 HASHES = BANDS * ROWS
 BATCH = 24
 MISS = 1e-4
-#: Members of a bucket on either side of one block of comparisons.
-BLOCK = 1024
-#: Best survivors of each member and block that go to verification, round by round.
-RANKS = (8, 64, BLOCK)
+#: Documents on either side of one block of comparisons.
+BLOCK = 512
 #: Ids of survivors that are broadcast to the scan of their texts; more are shuffled.
 BROADCAST_IDS = 1_000_000
 
@@ -165,6 +164,15 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return found.mapInArrow(run, "id long, shingles binary")
 
 
+def similar(x: np.ndarray, y: np.ndarray, per_cent: int) -> bool:
+    """100 * intersection >= per_cent * union, of sorted distinct hashes."""
+    least, most = sorted((len(x), len(y)))
+    if 100 * least < per_cent * most:
+        return False
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= per_cent * (len(x) + len(y) - common)
+
+
 class Verifier:
     """Checks candidate pairs (a, b) of representatives."""
 
@@ -201,55 +209,59 @@ class Verifier:
             for batch in batches:
                 linked = []
                 for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                    x, y = np.frombuffer(x.as_py(), dtype=np.uint64), np.frombuffer(y.as_py(), dtype=np.uint64)
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    linked.append(100 * common >= per_cent * (len(x) + len(y) - common))
+                    linked.append(similar(np.frombuffer(x.as_py(), dtype=np.uint64), np.frombuffer(y.as_py(), dtype=np.uint64), per_cent))
                 yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
         return both.mapInArrow(run, "a long, b long").distinct()
 
 
-def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, id, component, n, main) of the buckets of three or more that lie in
-    several components; ``main`` is the component with most of its members.
-    The pairs of smaller buckets have all been tested as stars."""
-    placed = materialize(members.filter("n > 2").join(labels, "id").select("key", "id", "component", "n"), "placed")
+def stray_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(main, id, component) of the members of buckets of three or more that
+    lie in another component than the ``main`` one, which holds most of their
+    bucket.  The pairs of smaller buckets have all been tested as stars."""
+    placed = materialize(members.filter("n > 2").join(labels, "id").select("key", "id", "component"), "placed")
     shares = placed.groupBy("key", "component").agg(F.count("*").alias("share"))
     mains = shares.groupBy("key").agg(F.max(F.struct("share", "component")).alias("top"), F.count("*").alias("parts"))
-    mains = materialize(mains.filter("parts > 1").select("key", F.col("top.component").alias("main"), F.col("top.share").alias("share")), "mains")
-    return materialize(placed.join(mains, "key"), "unresolved")
-
-
-def block_pairs(open_rows: DataFrame, reps: DataFrame, needed: list[int], low: int, high: int) -> DataFrame:
-    """(a, b) for members a outside their bucket's main component and members b
-    of other components: survivors of the sequential test whose rank among a's
-    survivors in a block is above ``low`` and up to ``high``.  A row with null
-    b says that a has survivors beyond."""
-    rows = open_rows.join(reps.select("id", "signature"), "id")
-    count = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), count).cast("int")
-    outside = F.ceil((F.col("n") - F.col("share")) / BLOCK).cast("int")
-    place = F.pmod(F.xxhash64("id", F.lit(1)), outside).cast("int")
-    right = rows.withColumn("block", own).withColumn("probe", F.explode(F.sequence(F.lit(0), outside - 1))).withColumn("probing", F.lit(False))
-    left = rows.filter("component <> main").withColumn("probe", place).withColumn("block", F.explode(F.sequence(F.lit(0), count - 1))).withColumn("probing", F.lit(True))
-    both = left.unionByName(right).select("key", "block", "probe", "probing", "id", "component", "signature")
+    mains = materialize(mains.filter("parts > 1").select("key", F.col("top.component").alias("main")), "mains")
+    strays = placed.join(mains, "key").filter("component <> main").select("main", "id", "component")
+    return materialize(strays.distinct(), "strays")
+
+
+def stray_links(strays: DataFrame, labels: DataFrame, reps: DataFrame, check: Verifier) -> DataFrame:
+    """Links (a, b) of stray members with members of their main component and
+    with its other strays.  Every such pair is tested, but those that other
+    links of its block join already; both sides are dealt in blocks."""
+    mains = materialize(strays.groupBy("main").agg(F.count("*").alias("strays")), "stray-mains")
+    homes = labels.join(mains.select("main"), F.col("component") == F.col("main")).select("main", "id", "component")
+    targets = materialize(homes.unionByName(strays.select("main", "id", "component")), "targets")
+    sizes = targets.groupBy("main").agg(F.count("*").alias("targets"))
+    sizes = materialize(sizes.join(mains, "main").select("main", F.ceil(F.col("targets") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("strays") / BLOCK).cast("int").alias("probes")), "blocks")
+    ids = materialize(targets.select("id").distinct(), "target-ids")
+    texts = full_sets(check.docs, ids, check.width).join(reps.select("id", "signature"), "id")
+    rows = materialize(texts, "target-sets").join(materialize(targets.join(sizes, "main"), "sized"), "id")
+    own, other = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("id", F.lit(1)), F.col("probes")).cast("int")
+    held = rows.withColumn("block", own).withColumn("probe", F.explode(F.sequence(F.lit(0), F.col("probes") - 1))).withColumn("probing", F.lit(False))
+    asked = rows.filter("component <> main").withColumn("probe", other).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("probing", F.lit(True))
+    both = held.unionByName(asked).select("main", "block", "probe", "probing", "id", "component", "signature", "shingles")
+    needed, per_cent = check.needed, check.per_cent
 
     def run(group: pa.Table) -> pa.Table:
-        probing = group["probing"].to_numpy()
-        ids, parts = group["id"].to_numpy(), group["component"].to_numpy()
+        probing, ids = group["probing"].to_numpy(), group["id"].to_numpy()
         signed = _signatures(_plain(group, "signature"))
-        there = np.flatnonzero(~probing)
-        found: list[tuple[int, int | None]] = []
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in group["shingles"].to_pylist()]
+        _, part = np.unique(group["component"].to_numpy(), return_inverse=True)  # joined to one number by links found here
+        there, links = np.flatnonzero(~probing), []
         for i in np.flatnonzero(probing):
-            kept, matches = surviving(np.broadcast_to(signed[i], (len(there), HASHES)), signed[there], needed)
-            best = there[kept][np.lexsort((ids[there[kept]], -matches))]
-            best = best[ids[best] != ids[i]]
-            found += [(int(ids[i]), int(ids[j])) for j in best[low:high] if parts[j] != parts[i]]
-            if (parts[best[high:]] != parts[i]).any():
-                found.append((int(ids[i]), None))
-        return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
+            open_ = there[part[there] != part[i]]
+            kept, matches = surviving(np.broadcast_to(signed[i], (len(open_), HASHES)), signed[open_], needed)
+            for j in open_[kept][np.argsort(-matches, kind="stable")]:
+                if part[j] == part[i] or not similar(sets[i], sets[j], per_cent):
+                    continue
+                links.append((int(ids[i]), int(ids[j])))
+                part[part == part[j]] = part[i]
+        return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
 
-    return both.groupBy("key", "block", "probe").applyInArrow(run, "a long, b long")
+    return both.groupBy("main", "block", "probe").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, per_cent: int = 80) -> DataFrame:
@@ -270,21 +282,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, per_cent: int = 80) -> Data
     links = materialize(check.exact(check.likely(stars)), "links")
     labels = materialize(connected_components(nodes, links), "components")
 
-    low = 0
-    for high in RANKS:
-        rows = unresolved(members, labels)
-        if rows.isEmpty():
-            break
-        found = materialize(block_pairs(rows, reps, check.needed, low, high), "found")
-        pairs = found.filter("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        fresh = pairs.distinct().join(stars, ["a", "b"], "left_anti")
-        more = materialize(check.exact(fresh), "links")
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = materialize(connected_components(nodes, links), "components")
-        if found.filter("b is null").isEmpty():
-            break
-        low = high
+    strays = stray_members(members, labels)
+    if not strays.isEmpty():
+        more = materialize(stray_links(strays, labels, reps, check), "stray-links")
+        labels = materialize(connected_components(nodes, links.union(more)), "components")
 
     placed = materialize(reps.select("set_key", "id").join(labels, "id").select("set_key", F.col("component").alias("component_id")), "placed-sets")
     whole = sketch.filter("set_key is not null and doc_id is not null").select("doc_id", "n_shingles", "set_key").join(placed, "set_key").drop("set_key")
