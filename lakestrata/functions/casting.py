@@ -8,8 +8,6 @@ is a regex evaluated by the JVM inside whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType
 
 from lakestrata.specs import SPARK_TYPES
@@ -21,35 +19,26 @@ FLOAT_PATTERN = (
 )
 DATE_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
 TIMESTAMP_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
+# A time with a zone (Z, UTC or an offset) is an instant; it becomes UTC wall-clock time.
+ZONED_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?(Z|UTC)|[+-]\d{2}:\d{2})$"
 
 GUARDS = {"INT64": INT_PATTERN, "FLOAT64": FLOAT_PATTERN, "DATE": DATE_PATTERN, "TIMESTAMP": TIMESTAMP_PATTERN}
 
 
-def safe_cast(col: Column, label: str, source_type: DataType | None = None) -> Column:
-    """Cast ``col`` to the reference type ``label``; NULL when it does not convert.
+def safe_cast_sql(col_sql: str, label: str, source_type: DataType | None = None) -> str:
+    """SQL expression that casts ``col_sql`` to the reference type ``label``;
+    NULL when it does not convert.
 
     ``source_type`` is the bronze column's type: only strings are guarded.
     Doubles converted to integers round half away from zero, as the reference
-    engine does (Spark truncates).
+    engine does (Spark truncates).  Zoned timestamps are converted to UTC (the
+    session zone is UTC) and kept as wall-clock time.
     """
     target = SPARK_TYPES[label]
     if source_type is None or isinstance(source_type, StringType):
-        return F.when(col.rlike(GUARDS[label]), col.try_cast(target))
-    if label == "INT64" and source_type.typeName() in ("double", "float", "decimal"):
-        return F.round(col).try_cast(target)
-    return col.try_cast(target)
-
-
-def cast_failed(raw: Column, typed: Column) -> Column:
-    """True when a non-NULL raw value did not convert."""
-    return raw.isNotNull() & typed.isNull()
-
-
-def safe_cast_sql(col_sql: str, label: str, source_type: DataType | None = None) -> str:
-    """SQL-expression form of :func:`safe_cast` (for ``selectExpr`` plans)."""
-    target = SPARK_TYPES[label]
-    if source_type is None or isinstance(source_type, StringType):
-        return f"CASE WHEN {col_sql} RLIKE r'{GUARDS[label]}' THEN try_cast({col_sql} AS {target}) END"
+        plain = f"WHEN {col_sql} RLIKE r'{GUARDS[label]}' THEN try_cast({col_sql} AS {target})"
+        zoned = f" WHEN {col_sql} RLIKE r'{ZONED_PATTERN}' THEN CAST(try_cast({col_sql} AS TIMESTAMP_LTZ) AS {target})" if label == "TIMESTAMP" else ""
+        return f"CASE {plain}{zoned} END"
     if label == "INT64" and source_type.typeName() in ("double", "float", "decimal"):
         return f"try_cast(round({col_sql}) AS {target})"
     return f"try_cast({col_sql} AS {target})"

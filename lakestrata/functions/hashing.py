@@ -1,9 +1,9 @@
 """Record hash: hex SHA-256 of the JSON text of a struct of typed values.
 
-NULL fields are kept in the JSON.  Doubles are rendered through
-``decimal(18,4)`` so the text is stable (Spark would print ``1.0E7``), and
-timestamps as ``yyyy-MM-dd HH:mm:ss``; the hash is therefore stable across
-engines, not byte-equal to another engine's default JSON.
+NULL fields are kept in the JSON.  Doubles are rendered in scientific notation
+with 15 significant digits (as many as every double keeps), NaN and infinities
+as words, and timestamps as ``yyyy-MM-dd HH:mm:ss``: a text for every value,
+the same in every engine, not byte-equal to an engine's default JSON.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, TimestampNTZType, TimestampType
 
+DOUBLE_FORMAT = "%.14e"
 _JSON_OPTS = {"ignoreNullFields": "false"}
 
 
@@ -19,7 +20,7 @@ def _hash_field(df: DataFrame, name: str) -> Column:
     dt = df.schema[name].dataType
     c = F.col(name)
     if isinstance(dt, (DoubleType, FloatType)):
-        c = c.cast("decimal(18,4)")
+        c = F.when(c.isNotNull(), F.format_string(DOUBLE_FORMAT, c.cast("double")))
     elif isinstance(dt, (TimestampType, TimestampNTZType)):
         c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
     return c.alias(name)
@@ -37,7 +38,7 @@ def record_hash_sql(df: DataFrame, cols: list[str] | tuple[str, ...]) -> str:
         dt = df.schema[name].dataType
         ref = f"`{name}`"
         if isinstance(dt, (DoubleType, FloatType)):
-            ref = f"CAST({ref} AS DECIMAL(18,4))"
+            ref = f"CASE WHEN {ref} IS NOT NULL THEN format_string('{DOUBLE_FORMAT}', CAST({ref} AS DOUBLE)) END"
         elif isinstance(dt, (TimestampType, TimestampNTZType)):
             ref = f"date_format({ref}, 'yyyy-MM-dd HH:mm:ss')"
         fields.append(f"'{name}', {ref}")

@@ -15,10 +15,16 @@ def nullif0(c: Column) -> Column:
     return F.nullif(c, F.lit(0))
 
 
+#: From here on doubles have no digits that rounding to cents could change.
+WHOLE_FROM = 1e15
+
+
 def round_half_up(c: Column, scale: int) -> Column:
     """Round a double half away from zero on its decimal value.
 
     The value is first fixed to 10 decimals so that summation-order noise
     (``1.0149999999999997`` vs ``1.0150000000000001``) cannot flip a tie.
+    Values of 1e15 and more, infinities and NaN stay as they are.
     """
-    return F.round(c.cast("decimal(38,10)"), scale).cast("double")
+    whole = F.abs(c) >= F.lit(WHOLE_FROM)  # also true for NaN, the largest double
+    return F.when(whole, c.cast("double")).otherwise(F.round(c.try_cast("decimal(38,10)"), scale).cast("double"))

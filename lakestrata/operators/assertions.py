@@ -239,7 +239,7 @@ def schema_test_results(m, models: list[str]) -> DataFrame:
                for model, acc in acc_of.items() for j, (c, _) in enumerate(acc)],
             "_m int, _j int, test_id string, model_name string, column_name string, test_type string",
         )
-        parts.append(F.broadcast(labels).join(per_slot, ["_m", "_j"], "left").select(
+        parts.append(labels.join(F.broadcast(per_slot), ["_m", "_j"], "left").select(
             "test_id", "model_name", "column_name", "test_type",
             F.coalesce(F.col("_f"), F.lit(0)).cast("bigint").alias("failures"),
         ))
@@ -259,7 +259,7 @@ def schema_test_results(m, models: list[str]) -> DataFrame:
             [(mi, f"unique:{model}.{c}", model, c) for mi, model, c in uniq],
             "_m int, test_id string, model_name string, column_name string",
         )
-        parts.append(F.broadcast(labels).join(dup_values, "_m", "left").select(
+        parts.append(labels.join(F.broadcast(dup_values), "_m", "left").select(
             "test_id", "model_name", "column_name", F.lit("unique").alias("test_type"),
             F.coalesce(F.col("_dups"), F.lit(0)).cast("bigint").alias("failures"),
         ))

@@ -39,13 +39,13 @@ def card_bridge(m, *cols: str) -> DataFrame:
 
 
 def left_join_on_key(spine: DataFrame, key: str, sides: list[DataFrame]) -> DataFrame:
-    """``spine LEFT JOIN side USING (key)`` for every side.
+    """``spine LEFT JOIN side USING (key)`` for every side, in one scan.
 
-    Spine rows with a NULL key can never match; they bypass the joins (their
-    side columns are NULL) instead of all hashing into one shuffle partition,
-    so a NULL key holding a large share of the rows cannot skew the join."""
-    nn = F.col(key).isNotNull()
-    keyed = spine.where(nn)
+    Spine rows with a NULL key can never match; they join under a key of their
+    own, hashed from the row, so that a NULL key holding a large share of the
+    rows spreads over all shuffle partitions."""
+    own = F.concat(F.lit("\0"), F.xxhash64(*spine.columns).cast("string"))
+    keyed = spine.withColumn("_key", F.coalesce(F.col(key).cast("string"), own))
     for side in sides:
-        keyed = keyed.join(side.where(nn), key, "left")
-    return keyed.unionByName(spine.where(~nn), allowMissingColumns=True)
+        keyed = keyed.join(side.where(F.col(key).isNotNull()).withColumnRenamed(key, "_key"), "_key", "left")
+    return keyed.drop("_key")

@@ -62,7 +62,7 @@ def build(m) -> DataFrame:
     customers = m.silver("customers").select(
         "customer_id", "first_name", "last_name", "email", "credit_score", "customer_status"
     )
-    merchants = m.dim("merchants_ctx", m.silver("merchants").select(
+    merchants = (m.silver("merchants").select(
         "merchant_id", "merchant_name", "merchant_city", "merchant_country"
     ))
     nn = F.col("transaction_id").isNotNull()

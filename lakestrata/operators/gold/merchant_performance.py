@@ -124,7 +124,7 @@ def dispute_chargeback_aggregates(m) -> DataFrame:
 def build(m) -> DataFrame:
     j = left_join_on_key(
         m.silver("merchants"), "merchant_id", [g3b_txn_agg(m), dispute_chargeback_aggregates(m), g3e_blacklist(m)]
-    ).join(m.dim("dim_merchant_categories", g3a_mcc_lookup(m)), "mcc_code", "left")
+    ).join((g3a_mcc_lookup(m)), "mcc_code", "left")
     dispute_rate = round_half_up(safe_divide(zero("dispute_count"), nullif0(zero("total_transactions"))), 4)
     blacklisted = F.coalesce(F.col("blacklist_is_active"), F.lit(False))
     out = j.select(

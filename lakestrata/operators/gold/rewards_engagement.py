@@ -56,7 +56,7 @@ def build(m) -> DataFrame:
     cards = m.silver("credit_cards").select(
         "card_id", "card_type_id", "card_status", "credit_limit", F.col("issued_date").alias("card_issued_date")
     )
-    card_types = m.dim("dim_card_types", m.silver("dim_card_types").select(
+    card_types = (m.silver("dim_card_types").select(
         "card_type_id", "card_name", "network", F.col("tier").alias("card_tier"),
         F.col("reward_rate").alias("card_reward_rate"),
     ))

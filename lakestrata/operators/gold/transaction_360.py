@@ -50,16 +50,16 @@ def build(m) -> DataFrame:
     cards = m.silver("credit_cards").select(
         "card_id", "customer_id", "credit_limit", "card_status", "cardholder_name"
     )
-    merchants = m.dim("merchants", m.silver("merchants").select(
+    merchants = m.silver("merchants").select(
         "merchant_id", "merchant_name", "merchant_city", "merchant_country",
         F.col("is_online").alias("merchant_is_online"),
-    ))
-    txn_types = m.dim("dim_transaction_types", m.silver("dim_transaction_types").select(
+    )
+    txn_types = m.silver("dim_transaction_types").select(
         "txn_type_id", F.col("type_name").alias("txn_type_name"), "is_credit"
-    ))
-    mcc = m.dim("dim_merchant_categories", m.silver("dim_merchant_categories").select(
+    )
+    mcc = m.silver("dim_merchant_categories").select(
         F.col("mcc_code").alias("transaction_mcc_code"), "category_name", "category_group"
-    ))
+    )
     # Flags first (transaction grain, NULL ids bypass the shuffle), then one
     # card join over the combined rows, then broadcast lookups.
     flagged = left_join_on_key(t, "transaction_id", [g2b_fraud_flag(m), g2c_dispute_flag(m), g2d_velocity_flag(m)])

@@ -84,7 +84,7 @@ def pk_and_not_null_many(items: list[tuple[DataFrame, str, str | None, tuple[str
         meta, "_t int, _j int, check_id string, table_name string, check_type string, checked_columns string, "
               "severity string"
     )
-    j = F.broadcast(labels).join(per_check, ["_t", "_j"], "left")
+    j = labels.join(F.broadcast(per_check), ["_t", "_j"], "left")
     total = F.coalesce(F.col("_rows"), F.lit(0)).cast("bigint")
     passed = F.coalesce(F.col("_passed"), F.lit(0)).cast("bigint")
     return j.select(
@@ -124,7 +124,7 @@ def fk_integrity_many(items: list[tuple[DataFrame, str, str, DataFrame, str, str
         F.sum(F.when(matched, F.lit(0)).otherwise(F.col("_c"))).alias("_failed"),
     )
     labels = spark.createDataFrame(meta, "_f int, check_id string, table_name string, checked_columns string")
-    j = F.broadcast(labels).join(per_check, "_f", "left")
+    j = labels.join(F.broadcast(per_check), "_f", "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
     return j.select(
         "check_id", "table_name", F.lit("FK_REFERENTIAL_INTEGRITY").alias("check_type"), "checked_columns",

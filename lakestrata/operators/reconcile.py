@@ -105,7 +105,7 @@ def reconciliation_rows(m, b2s: list[str], s2g: list[tuple[str, str, str, str]])
         meta, "_r int, _p int, reconciliation_id string, reconciliation_scope string, source_table string, "
               "target_table string"
     )
-    j = F.broadcast(labels).join(per_domain, "_p", "left")
+    j = labels.join(F.broadcast(per_domain), "_p", "left")
     b2s_scope = F.col("reconciliation_scope") == "BRONZE_TO_SILVER"
     n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
     only_s2g = lambda c: F.when(~b2s_scope, c).cast("bigint")

@@ -118,7 +118,7 @@ def orphan_rows(m, per_group: DataFrame, checks: list[FkCheck], gid, slot, width
         "skip_null boolean, cardinality string",
     )
     return (
-        F.broadcast(meta).join(per_slot, ["_g", "_s"], "left")
+        meta.join(F.broadcast(per_slot), ["_g", "_s"], "left")
         .select(
             "child_table", "fk_column", "parent_table", "pk_column", "skip_null", "cardinality",
             F.coalesce(F.col("_orphans"), F.lit(0)).cast("bigint").alias("orphaned_count"),

@@ -1,152 +1,124 @@
-"""DuckDB oracle text for the FK, DQ, reconciliation and assertion reports.
-
-Deliberately written the straightforward way (one left join / scalar
-subquery per check), unlike the single-pass Spark plans, so the two sides
-are independent."""
+"""DuckDB oracle of the reports and tests: each check counts its failing rows
+by set logic (``EXISTS``, repeated keys), one scalar at a time; a report is a
+table of those scalars with statuses worked out from them."""
 
 from __future__ import annotations
 
-from lakestrata.oracle.builder import TS, Registry
-from lakestrata.specs import RECON_ORDER, SPECS
+from lakestrata.oracle import fixed_values
+from lakestrata.oracle.builder import TS, Registry, lines
 
 
-def CI(cond: str) -> str:
-    return f"count(CASE WHEN {cond} THEN 1 END)"
+def rows_of(table: str, where: str = "true") -> str:
+    return f"(SELECT count(*) FROM {table} x WHERE {where})"
 
 
-def _pct(passed: str, total: str) -> str:
-    return f"CAST(round(CAST(CAST({passed} AS DOUBLE) / nullif({total}, 0) * 100 AS DECIMAL(38,10)), 4) AS DOUBLE)"
+def orphans(child: str, fk: str, parent: str, pk: str, nulls: bool) -> str:
+    """Child rows without a parent; with ``nulls``, rows without a key too."""
+    lost = f"NOT EXISTS (FROM {parent} p WHERE p.{pk} = x.{fk})"
+    return rows_of(child, lost if nulls else f"x.{fk} IS NOT NULL AND {lost}")
 
 
-def register_ops(r: Registry) -> None:
-    from lakestrata.operators.relationships import SILVER_FK_CHECKS, declared_checks
-
-    def orphan_union(checks, with_card: bool) -> str:
-        parts = []
-        for c in checks:
-            extra = " AND c.{0} IS NOT NULL".format(c.fk) if c.skip_null else ""
-            card = f", '{c.cardinality}' AS cardinality" if with_card else ""
-            parts.append(
-                f"SELECT 'silver_{c.child}' AS child_table, '{c.fk}' AS fk_column, 'silver_{c.parent}' AS parent_table, "
-                f"'{c.pk}' AS pk_column{card}, count(*) AS orphaned_count FROM silver_{c.child} c "
-                f"LEFT JOIN silver_{c.parent} p ON c.{c.fk} = p.{c.pk} WHERE p.{c.pk} IS NULL{extra}"
-            )
-        return "\nUNION ALL ".join(parts)
-
-    for name, checks, card in (("silver_relationship_dq_results", SILVER_FK_CHECKS, False),
-                               ("fk_orphans_declared", declared_checks(), True)):
-        cols = "child_table, fk_column, parent_table, pk_column" + (", cardinality" if card else "")
-        r.add(name, f"""SELECT {cols}, orphaned_count,
-  CASE WHEN orphaned_count = 0 THEN 'PASS' ELSE 'FAIL' END AS fk_status, {TS} AS checked_at
-FROM ({orphan_union(checks, card)}) x""")
-
-    # -- gold data-quality report -------------------------------------------
-    from lakestrata.operators.quality import GOLD_DQ_CHECKS
+def surplus(table: str, key: str) -> str:
+    """Rows beyond one for each key; rows without a key are all beyond."""
+    return f"({rows_of(table)} - (SELECT count(*) FROM (SELECT {key} FROM {table} WHERE {key} IS NOT NULL GROUP BY {key}) keys))"
+
+
+def verdict(zero: str) -> str:
+    return f"if({zero} = 0, 'PASS', 'FAIL')"
+
+
+def union(rows: list[str]) -> str:
+    return "\nUNION ALL ".join(rows)
 
+
+def relationship_report(text: str) -> str:
     rows = []
-    for spec in GOLD_DQ_CHECKS:
-        t, pk = spec.table, spec.pk
+    for line in text.splitlines():
+        child, fk, parent, pk, nulls, *cardinality = line.split()
+        more = f", '{' '.join(cardinality)}' AS cardinality" if cardinality else ""
         rows.append(
-            f"SELECT '{t}_PK_UNIQUE' AS check_id, '{t}' AS table_name, 'PK_UNIQUE' AS check_type, '{pk}' AS checked_columns, "
-            f"count(*) AS total_rows, count(DISTINCT {pk}) AS passed_rows, count(*) - count(DISTINCT {pk}) AS failed_rows, "
-            f"{_pct(f'count(DISTINCT {pk})', 'count(*)')} AS pass_percentage, "
-            f"CASE WHEN count(*) = count(DISTINCT {pk}) THEN 'PASS' ELSE 'FAIL' END AS check_status, 'CRITICAL' AS severity FROM {t}"
-        )
-        for c in spec.not_null:
-            rows.append(
-                f"SELECT '{t}_NN_{c}', '{t}', 'NOT_NULL', '{c}', count(*), {CI(f'{c} IS NOT NULL')}, {CI(f'{c} IS NULL')}, "
-                f"{_pct(CI(f'{c} IS NOT NULL'), 'count(*)')}, "
-                f"CASE WHEN {CI(f'{c} IS NULL')} = 0 THEN 'PASS' ELSE 'FAIL' END, 'HIGH' FROM {t}"
-            )
-        for fk, parent, ppk in spec.fks:
-            rows.append(
-                f"SELECT '{t}_FK_{fk}', '{t}', 'FK_REFERENTIAL_INTEGRITY', '{fk} → {parent}.{ppk}', count(*), "
-                f"{CI(f'p.{ppk} IS NOT NULL')}, {CI(f'p.{ppk} IS NULL')}, {_pct(CI(f'p.{ppk} IS NOT NULL'), 'count(*)')}, "
-                f"CASE WHEN {CI(f'p.{ppk} IS NULL')} = 0 THEN 'PASS' ELSE 'FAIL' END, 'HIGH' "
-                f"FROM {t} c LEFT JOIN {parent} p ON c.{fk} = p.{ppk}"
-            )
-    r.add("gold_data_quality_report", "SELECT *, " + TS + " AS report_generated_at FROM (\n"
-          + "\nUNION ALL ".join(rows) + "\n) x")
-
-    # -- reconciliation -------------------------------------------------------
-    rec = []
-    for t in RECON_ORDER:
-        k = SPECS[t].pk
-        rec.append(
-            f"SELECT 'B2S::{t}' AS reconciliation_id, 'BRONZE_TO_SILVER' AS reconciliation_scope, '{t}' AS source_table, "
-            f"'silver_{t}' AS target_table, (SELECT count(*) FROM {t}) AS source_count, "
-            f"(SELECT count(*) FROM silver_{t}) AS intermediate_count, CAST(NULL AS BIGINT) AS target_count, "
-            f"(SELECT count(*) FROM {t} b LEFT JOIN silver_{t} s ON b.{k} = s.{k} WHERE s.{k} IS NULL) AS missing_in_intermediate, "
-            f"CAST(NULL AS BIGINT) AS missing_in_target, "
-            f"(SELECT count(*) - count(DISTINCT {k}) FROM silver_{t}) AS duplicate_intermediate_keys, "
-            f"CAST(NULL AS BIGINT) AS duplicate_target_keys"
-        )
-    from lakestrata.operators.reconcile import S2G
-
-    for b, s, g, k in S2G:
-        rec.append(
-            f"SELECT 'S2G::{g}', 'SILVER_TO_GOLD', '{s}', '{g}', (SELECT count(*) FROM {b}), (SELECT count(*) FROM {s}), "
-            f"(SELECT count(*) FROM {g}), CAST(NULL AS BIGINT), "
-            f"(SELECT count(*) FROM {s} s LEFT JOIN {g} g ON s.{k} = g.{k} WHERE g.{k} IS NULL), "
-            f"(SELECT count(*) - count(DISTINCT {k}) FROM {s}), (SELECT count(*) - count(DISTINCT {k}) FROM {g})"
+            f"SELECT 'silver_{child}' AS child_table, '{fk}' AS fk_column, 'silver_{parent}' AS parent_table, '{pk}' AS pk_column{more}, "
+            f"{orphans(f'silver_{child}', fk, f'silver_{parent}', pk, nulls == 'count')} AS orphaned_count"
         )
-    z = lambda c: f"coalesce({c}, 0)"
-    r.add("medallion_reconciliation_report", f"""SELECT reconciliation_id, reconciliation_scope, source_table, target_table,
-  source_count, intermediate_count, target_count,
-  {z('missing_in_intermediate')} AS missing_in_intermediate, {z('missing_in_target')} AS missing_in_target,
-  {z('duplicate_intermediate_keys')} AS duplicate_intermediate_keys, {z('duplicate_target_keys')} AS duplicate_target_keys,
-  CASE WHEN reconciliation_scope = 'BRONZE_TO_SILVER' THEN
-         CASE WHEN source_count = intermediate_count AND {z('missing_in_intermediate')} = 0
-                   AND {z('duplicate_intermediate_keys')} = 0 THEN 'PASS' ELSE 'FAIL' END
-       WHEN reconciliation_scope = 'SILVER_TO_GOLD' THEN
-         CASE WHEN source_count = target_count AND {z('missing_in_target')} = 0
-                   AND {z('duplicate_target_keys')} = 0 THEN 'PASS' ELSE 'FAIL' END
-       ELSE 'UNKNOWN' END AS reconciliation_status,
-  {TS} AS reconciliation_ts
-FROM ({chr(10).join(['UNION ALL ' + x if i else x for i, x in enumerate(rec)])}) x""")
-
-    # -- silver DQ summary ------------------------------------------------------
-    parts = [
-        f"SELECT 'silver_{t}' AS table_name, dq_status, unnest(string_split(dq_errors, '|')) AS error_code FROM silver_{t}"
-        for t in SPECS
-    ]
-    r.add("dq_summary", "SELECT table_name, dq_status, error_code, count(*) AS row_count FROM (\n"
-          + "\nUNION ALL ".join(parts) + "\n) x GROUP BY table_name, dq_status, error_code")
-
-    # -- schema tests -------------------------------------------------------------
-    from lakestrata.operators.assertions import SCHEMA_TESTS
-    from lakestrata.registry import GOLD_MODELS, SILVER_MODELS
-
-    for qname, models in (("silver_schema_tests", SILVER_MODELS), ("gold_schema_tests", GOLD_MODELS)):
-        tests = []
-        for model in models:
-            t = SCHEMA_TESTS[model]
-            for c in t.get("not_null", "").split():
-                tests.append((f"not_null:{model}.{c}", model, c, "not_null", f"SELECT count(*) FROM {model} WHERE {c} IS NULL"))
-            for c, vals in t.get("accepted", {}).items():
-                lst = ", ".join(f"'{v}'" for v in vals)
-                tests.append((f"accepted_values:{model}.{c}", model, c, "accepted_values",
-                              f"SELECT count(DISTINCT {c}) FROM {model} WHERE {c} IS NOT NULL AND {c} NOT IN ({lst})"))
-            if t.get("unique"):
-                c = t["unique"]
-                tests.append((f"unique:{model}.{c}", model, c, "unique",
-                              f"SELECT count(*) FROM (SELECT {c} FROM {model} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) u"))
-            for c, parent, field in t.get("rel", []):
-                tests.append((f"relationships:{model}.{c}", model, c, "relationships",
-                              f"SELECT count(*) FROM {model} ch LEFT JOIN {parent} p ON ch.{c} = p.{field} "
-                              f"WHERE ch.{c} IS NOT NULL AND p.{field} IS NULL"))
-        body = "\nUNION ALL ".join(
-            f"SELECT '{tid}' AS test_id, '{mdl}' AS model_name, '{col}' AS column_name, '{kind}' AS test_type, "
-            f"CAST(({sql}) AS BIGINT) AS failures" for tid, mdl, col, kind, sql in tests
+    return f"SELECT *, {verdict('orphaned_count')} AS fk_status, {TS} AS checked_at FROM (\n{union(rows)}\n) checks"
+
+
+def quality_report() -> str:
+    """Failed and passed rows of each check; a foreign key counts a child once
+    for every parent that it meets, and once where it meets none."""
+    rows = []
+
+    def row(table: str, kind: str, name: str, column: str, severity: str, passed: str, failed: str) -> None:
+        rows.append(f"SELECT '{table}_{name}' AS check_id, '{table}' AS table_name, '{kind}' AS check_type, '{column}' AS checked_columns, '{severity}' AS severity, {passed} AS passed_rows, {failed} AS failed_rows")
+
+    for table, key, filled, foreign in lines(fixed_values.GOLD_CHECKS):
+        row(table, "PK_UNIQUE", "PK_UNIQUE", key, "CRITICAL", f"({rows_of(table)} - {surplus(table, key)})", surplus(table, key))
+        for c in filled.split():
+            row(table, "NOT_NULL", f"NN_{c}", c, "HIGH", rows_of(table, f"{c} IS NOT NULL"), rows_of(table, f"{c} IS NULL"))
+        for link in filter(None, foreign.split(", ")):
+            fk, parent, pk = link.split()
+            met = f"(SELECT coalesce(sum(c.n * p.n), 0)::BIGINT FROM (SELECT {fk} k, count(*) n FROM {table} GROUP BY 1) c SEMI JOIN {parent} q ON q.{pk} = c.k, LATERAL (SELECT count(*) n FROM {parent} y WHERE y.{pk} = c.k) p)"
+            row(table, "FK_REFERENTIAL_INTEGRITY", f"FK_{fk}", f"{fk} → {parent}.{pk}", "HIGH", met, orphans(table, fk, parent, pk, True))
+    share = "passed_rows / nullif(passed_rows + failed_rows, 0)::DOUBLE * 100"
+    return (
+        f"SELECT check_id, table_name, check_type, checked_columns, severity, passed_rows, failed_rows, passed_rows + failed_rows AS total_rows, "
+        f"round(({share})::DECIMAL(38,10), 4)::DOUBLE AS pass_percentage, {verdict('failed_rows')} AS check_status, {TS} AS report_generated_at FROM (\n{union(rows)}\n) checks"
+    )
+
+
+def reconciliation_report() -> str:
+    keys = {line[0]: line[1] for line in lines(fixed_values.TABLES)}
+    gone = lambda a, b, k: rows_of(a, f"NOT EXISTS (FROM {b} y WHERE y.{k} = x.{k})")
+    rows = []
+    for t in fixed_values.RECON_ORDER.split():
+        s, k = f"silver_{t}", keys[t]
+        rows.append(
+            f"SELECT 'B2S::{t}' AS reconciliation_id, 'BRONZE_TO_SILVER' AS reconciliation_scope, '{t}' AS source_table, '{s}' AS target_table, {rows_of(t)} AS source_count, "
+            f"{rows_of(s)} AS intermediate_count, NULL::BIGINT AS target_count, {gone(t, s, k)} AS missing_in_intermediate, 0 AS missing_in_target, {surplus(s, k)} AS duplicate_intermediate_keys, 0 AS duplicate_target_keys"
         )
-        r.add(qname, f"SELECT *, CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (\n{body}\n) x")
-
-    # -- singular tests -------------------------------------------------------------
-    r.add("assert_gold_dq_no_critical", """SELECT check_id, table_name, check_type, failed_rows, severity, check_status
-FROM gold_data_quality_report WHERE severity = 'CRITICAL' AND check_status = 'FAIL'""")
-    r.add("assert_reconciliation_clean", """SELECT reconciliation_id, reconciliation_scope, source_table, target_table,
-  source_count, intermediate_count, target_count, missing_in_intermediate, missing_in_target,
-  duplicate_intermediate_keys, duplicate_target_keys, reconciliation_status
-FROM medallion_reconciliation_report WHERE reconciliation_status = 'FAIL'""")
-    r.add("assert_no_fk_orphans", """SELECT child_table, fk_column, parent_table, pk_column, orphaned_count, fk_status
-FROM silver_relationship_dq_results WHERE fk_status = 'FAIL'""")
+    for line in fixed_values.TO_GOLD.splitlines():
+        b, s, g, k = line.split()
+        rows.append(f"SELECT 'S2G::{g}', 'SILVER_TO_GOLD', '{s}', '{g}', {rows_of(b)}, {rows_of(s)}, {rows_of(g)}, 0, {gone(s, g, k)}, {surplus(s, k)}, {surplus(g, k)}")
+    # a target's own counters and the difference of its row counts must all be 0
+    wrong = (
+        "if(reconciliation_scope = 'BRONZE_TO_SILVER', abs(source_count - intermediate_count) + missing_in_intermediate + duplicate_intermediate_keys, "
+        "abs(source_count - target_count) + missing_in_target + duplicate_target_keys)"
+    )
+    return f"SELECT *, {verdict(wrong)} AS reconciliation_status, {TS} AS reconciliation_ts FROM (\n{union(rows)}\n) checks"
+
+
+def column_tests(text: str) -> str:
+    rows = []
+
+    def row(kind: str, model: str, column: str, failures: str) -> None:
+        rows.append(f"SELECT '{kind}:{model}.{column}' AS test_id, '{model}' AS model_name, '{column}' AS column_name, '{kind}' AS test_type, {failures}::BIGINT AS failures")
+
+    for model, unique, filled, accepted, links in lines(text):
+        for c in filled.split():
+            row("not_null", model, c, rows_of(model, f"{c} IS NULL"))
+        for item in filter(None, accepted.split("; ")):
+            c, _, values = item.partition("=")
+            allowed = ", ".join(f"('{v}')" for v in values.split(","))
+            row("accepted_values", model, c, f"(SELECT count(*) FROM (SELECT {c} FROM {model} WHERE {c} IS NOT NULL EXCEPT FROM (VALUES {allowed}) v(a)) u)")
+        if unique:
+            row("unique", model, unique, f"(SELECT count(*) FROM (SELECT {unique} FROM {model} WHERE {unique} IS NOT NULL GROUP BY ALL HAVING count(*) > 1) u)")
+        for link in filter(None, links.split(", ")):
+            c, parent, field = link.split()
+            row("relationships", model, c, orphans(model, c, parent, field, False))
+    return f"SELECT *, {verdict('failures')} AS status FROM (\n{union(rows)}\n) tests"
+
+
+def register_ops(r: Registry) -> None:
+    r.add("silver_relationship_dq_results", relationship_report(fixed_values.FOREIGN_KEYS))
+    r.add("fk_orphans_declared", relationship_report(fixed_values.DECLARED_KEYS))
+    r.add("gold_data_quality_report", quality_report())
+    r.add("medallion_reconciliation_report", reconciliation_report())
+    tables = [f"silver_{line[0]}" for line in lines(fixed_values.TABLES)]
+    codes = union([f"SELECT '{t}' AS table_name, dq_status, unnest(string_split(dq_errors, '|')) AS error_code FROM {t}" for t in tables])
+    r.add("dq_summary", f"SELECT table_name, dq_status, error_code, count(*) AS row_count FROM ({codes}) c GROUP BY ALL")
+    r.add("silver_schema_tests", column_tests(fixed_values.SILVER_TESTS))
+    r.add("gold_schema_tests", column_tests(fixed_values.GOLD_TESTS))
+    failing = "FROM {} WHERE {} = 'FAIL'"
+    r.add("assert_gold_dq_no_critical", "SELECT check_id, table_name, check_type, failed_rows, severity, check_status " + failing.format("gold_data_quality_report", "severity = 'CRITICAL' AND check_status"))
+    r.add("assert_reconciliation_clean", "SELECT * EXCLUDE (reconciliation_ts) " + failing.format("medallion_reconciliation_report", "reconciliation_status"))
+    r.add("assert_no_fk_orphans", "SELECT child_table, fk_column, parent_table, pk_column, orphaned_count, fk_status " + failing.format("silver_relationship_dq_results", "fk_status"))

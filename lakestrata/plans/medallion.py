@@ -15,7 +15,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakestrata.context import RunContext
-from lakestrata.operators.joins import fits_broadcast, maybe_broadcast
 from lakestrata.operators.silver import build_silver
 from lakestrata.specs import SPECS
 
@@ -35,7 +34,6 @@ class Medallion:
         self._bronze = bronze
         self.ctx = ctx or RunContext()
         self._memo: dict[str, DataFrame] = {}
-        self._small: dict[str, bool] = {}
         self._overrides: dict[str, DataFrame] = {}
 
     # -- layer access -------------------------------------------------------
@@ -93,10 +91,3 @@ class Medallion:
             paths = run_all({k: (lambda k=k: write(k)) for k in todo}, threads)
             for k, path in paths.items():
                 self.use_table(k, self.spark.read.parquet(path))
-
-    # -- dimension sides ----------------------------------------------------
-    def dim(self, key: str, df: DataFrame) -> DataFrame:
-        """Broadcast ``df`` only when its size is checked to be small."""
-        if key not in self._small:
-            self._small[key] = fits_broadcast(df)
-        return maybe_broadcast(df, self._small[key])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestrata.sources.fixture_sql import BRONZE, DRIVER_TABLES, HELPERS, refs
+from lakestrata.sources.fixture_sql import BRONZE, DIALECT, DRIVER_TABLES, HELPERS, refs
 
 
 class TestdataBronze:
@@ -32,7 +32,9 @@ class TestdataBronze:
         else:
             text = HELPERS.get(name) or BRONZE[name]
             args = {r: self._relation(r) for r in refs(text)}
-            df = self.spark.sql(text.replace("{q_read}", "`read`"), **args)
+            for name_, form in DIALECT.items():
+                text = text.replace("{" + name_ + "}", form)
+            df = self.spark.sql(text, **args)
         self._memo[name] = df
         return df
 

@@ -89,11 +89,21 @@ def test_dq_report_has_no_fanout_join(m):
     assert not any(f in p for f in FORBIDDEN)
 
 
-def test_broadcast_size_check(spark):
-    from lakestrata.operators.joins import fits_broadcast
-
-    small = spark.range(50)
-    big = spark.range(0, 5000, 1, 8)
-    assert fits_broadcast(small, max_rows=100) is True
-    assert fits_broadcast(big, max_rows=100) is False
-    assert fits_broadcast(spark.range(100), max_rows=100) is True
+def test_bronze_and_gold_plans_have_no_nested_loop(spark):
+    """Over the real bronze derivation, with automatic broadcast off."""
+    from lakestrata.context import RunContext
+    from lakestrata.plans.medallion import Medallion
+    from lakestrata.sources.testdata import TestdataBronze
+    from lakestrata.specs import SPECS
+
+    sf_dir = "/root/testdata/sf0.001"
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        m = Medallion(spark, TestdataBronze(spark, sf_dir), RunContext.fixed())
+        for t in SPECS:
+            text = m.silver(t)._jdf.queryExecution().executedPlan().toString()
+            assert "CartesianProduct" not in text and "NestedLoop" not in text, t
+            assert "Scan parquet" in text, t
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
