@@ -73,12 +73,12 @@ class Medallion:
         survives executor loss) and served from there, so downstream plans
         start from small scans.  Silver tables are written concurrently, then
         gold tables (which read the written silver)."""
-        import uuid
-
         from lakestrata.plans.parallel import run_all
-        from lakestrata.session import ensure_checkpoint_dir
+        from lakestrata.session import scratch_path
 
-        base = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/lakestrata-layers/{uuid.uuid4().hex}"
+        if all(k in self._overrides for k in keys):
+            return
+        base = scratch_path(self.spark, "layers")
         for layer in ("silver_", "gold_"):
             todo = [k for k in keys if k.startswith(layer) and k not in self._overrides]
 

@@ -4,12 +4,15 @@ A day partition per date (the reference's layout) gives thousands of small
 directories at scale; the partition column here is the *month* of the date,
 files are sized by AQE's rebalance, and rows are clustered inside each file by
 the cluster keys, so parquet min/max statistics skip row groups for key
-predicates while date predicates prune whole directories.
+predicates.  ``read_partitioned`` turns a range of dates into a range of months,
+which prunes directories, and gives the table back with its own columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.sources.layers import layer_path
@@ -61,6 +64,27 @@ def write_partitioned(
     return path
 
 
+def read_partitioned(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    date_col: str,
+    first: dt.date | None = None,
+    last: dt.date | None = None,
+    layer: str | None = None,
+) -> DataFrame:
+    """The table as written, or its rows from ``first`` to ``last`` (both
+    included): only directories of those months are listed and read."""
+    month = F.col(partition_column(date_col))
+    df = spark.read.option("basePath", layer_path(root, table, layer)).parquet(layer_path(root, table, layer))
+    df = df.withColumn(partition_column(date_col), month.cast("string"))
+    if first is not None:
+        df = df.where((month >= F.lit(f"{first:%Y-%m}")) & (F.col(date_col) >= F.lit(first)))
+    if last is not None:
+        df = df.where((month <= F.lit(f"{last:%Y-%m}")) & (F.col(date_col) <= F.lit(last)))
+    return df.drop(partition_column(date_col))
+
+
 # The two partitioned gold tables (date column, cluster keys).
 PARTITIONED_GOLD = {
     "gold_transaction_360": ("transaction_date", ("customer_id", "merchant_id")),

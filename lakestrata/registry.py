@@ -3,10 +3,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakestrata.context import RunContext
 from lakestrata.operators import assertions
@@ -16,19 +18,33 @@ from lakestrata.operators.reconcile import medallion_reconciliation_report
 from lakestrata.operators.relationships import fk_orphans_declared, silver_relationship_dq_results
 from lakestrata.operators.silver import dq_summary
 from lakestrata.plans.medallion import Medallion
-from lakestrata.session import apply_engine_conf
+from lakestrata.plans.sinks import PARTITIONED_GOLD, read_partitioned, write_layer_table, write_partitioned
+from lakestrata.session import apply_engine_conf, scratch_path
+from lakestrata.sources.fixture_sql import DRIVER_TABLES
 from lakestrata.sources.testdata import TestdataBronze
 from lakestrata.specs import SPECS
 
 
-_MEDALLIONS: dict[tuple[str, int, str], Medallion] = {}
+_MEDALLIONS: dict[tuple, Medallion] = {}
 
 
-def medallion_for(spark: SparkSession, sf_dir: str) -> Medallion:
-    """One lazily planned medallion per (session, dataset): every registered
-    query over the same tables shares its bronze/silver/gold plans (plans
-    are immutable, so sharing is safe; nothing is cached in memory)."""
-    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf_dir.rstrip("/"))
+def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the input files."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    found = []
+    for t in DRIVER_TABLES:
+        where = fs_path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        for x in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where):
+            found.append((x.getPath().toString(), x.getLen(), x.getModificationTime()))
+    return tuple(sorted(found))
+
+
+def medallion_for(spark: SparkSession, sf_dir: str, layered: bool) -> Medallion:
+    """The medallion over a dataset as its files are now: queries over the same
+    files share its plans (plans are immutable).  Reports that read written
+    layers share one of their own, so that no other query's plan depends on
+    what was written."""
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), _fingerprint(spark, sf_dir), layered)
     if key not in _MEDALLIONS:
         apply_engine_conf(spark)
         _MEDALLIONS[key] = Medallion(spark, TestdataBronze(spark, sf_dir), RunContext.fixed())
@@ -37,7 +53,7 @@ def medallion_for(spark: SparkSession, sf_dir: str) -> Medallion:
 
 def _on_medallion(fn: Callable[[Medallion], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(medallion_for(spark, sf_dir))
+        return fn(medallion_for(spark, sf_dir, getattr(fn, "layered", False)))
 
     run.__name__ = getattr(fn, "__name__", "query")
     return run
@@ -66,9 +82,41 @@ def _layers_first(fn: Callable[[Medallion], DataFrame], gold: bool = True) -> Ca
         m.materialize([f"silver_{t}" for t in SPECS] + (GOLD_MODELS if gold else []))
         return fn(m)
 
+    run.layered = True
     return run
 
 
+#: Tables that the routing query writes and finds again, one of each layer.
+ROUTED = ("accounts", "silver_accounts", "gold_merchant_performance", "gold_data_quality_report")
+DATES = (dt.date(1996, 3, 15), dt.date(1997, 1, 20))
+
+
+def _written_layer_table(m: Medallion) -> DataFrame:
+    """A silver table, written and read back."""
+    return m.spark.read.parquet(write_layer_table(m.silver("accounts"), scratch_path(m.spark, "sink"), "silver_accounts"))
+
+
+def _written_partitioned(m: Medallion) -> DataFrame:
+    """The partitioned fact table, written, and a range of dates read back."""
+    root, table = scratch_path(m.spark, "sink"), "gold_transaction_360"
+    date_col, cluster = PARTITIONED_GOLD[table]
+    write_partitioned(m.gold(table), root, table, date_col, cluster)
+    return read_partitioned(m.spark, root, table, date_col, *DATES)
+
+
+def _routed_tables(m: Medallion) -> DataFrame:
+    """Table, layer folder it was written into, and rows found there."""
+    root = scratch_path(m.spark, "sink")
+    rows = {"accounts": m.bronze("accounts"), "gold_data_quality_report": gold_data_quality_report(m)}
+    found = []
+    for t in ROUTED:
+        df = rows.get(t)
+        path = write_layer_table(df if df is not None else m.gold(t) if t.startswith("gold_") else m.silver(t), root, t)
+        folder = F.element_at(F.split(F.input_file_name(), "/"), -3)
+        found.append(m.spark.read.parquet(path).select(F.lit(t).alias("table_name"), folder.alias("layer")))
+    return reduce(DataFrame.unionByName, found).groupBy("table_name", "layer").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[Medallion], DataFrame]] = {}
     for t in SPECS:
@@ -93,4 +141,7 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["assert_no_fk_orphans"] = _layers_first(
         lambda m: assertions.assert_no_fk_orphans(silver_relationship_dq_results(m)), gold=False
     )
+    q["write_layer_table"] = _written_layer_table
+    q["write_partitioned"] = _written_partitioned
+    q["layer_routing"] = _layers_first(_routed_tables)
     return {k: _on_medallion(v) for k, v in q.items()}

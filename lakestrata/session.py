@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -29,19 +30,32 @@ ENGINE_CONF = {
 
 
 def apply_engine_conf(spark: SparkSession) -> SparkSession:
-    """Apply runtime SQL settings to an existing session (safe to repeat)."""
-    for k, v in ENGINE_CONF.items():
-        spark.conf.set(k, v)
+    """Prepare a session that someone else made: only the time zone, which
+    results depend on, is set; tuning stays the caller's."""
+    spark.conf.set("spark.sql.session.timeZone", ENGINE_CONF["spark.sql.session.timeZone"])
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _is_local_folder(spark: SparkSession, path: str) -> bool:
+    """True for paths on a machine's own disk: ``file:``, or without a scheme
+    where the default file system is not a shared one."""
+    scheme = path.split(":", 1)[0] if ":" in path else ""
+    if not scheme:
+        jsc = getattr(spark, "_jsc", None)
+        default = jsc.hadoopConfiguration().get("fs.defaultFS") if jsc else "file:///"
+        scheme = (default or "file:///").split(":", 1)[0]
+    return scheme == "file"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only set a scratch one when
     the session has none (local tests)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if d:
+        if not sc.master.startswith("local") and _is_local_folder(spark, d):
+            raise RuntimeError(f"spark.checkpoint.dir is {d}, a folder of one machine: point it at shared storage (HDFS, object store)")
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(d)
         return d
@@ -57,6 +71,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh folder for written tables below the shared checkpoint folder; it
+    is deleted when the driver's JVM ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakestrata-layers/{label}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "lakestrata") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -69,4 +92,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    for k, v in ENGINE_CONF.items():
+        spark.conf.set(k, v)
     return apply_engine_conf(spark)

@@ -33,7 +33,8 @@ def test_build_all_writes_every_layer(spark):
     for t in BRONZE:
         write_layer_table(src.table(t), root, t, "bronze")
     bronze = ParquetBronze(spark, root, schemas={t: bronze_schema(t) for t in BRONZE})
-    written = build_all(spark, bronze, root, RunContext.fixed(), threads=4)
+    built = build_all(spark, bronze, root, RunContext.fixed(), threads=4)
+    written = built.written
     assert len(written) == 26 + 1 + 6 + 2
     for name, path in written.items():
         assert os.path.isdir(path) and os.path.exists(os.path.join(path, "_SUCCESS")), name
@@ -44,3 +45,26 @@ def test_build_all_writes_every_layer(spark):
         assert spark.read.parquet(layer_path(root, g)).count() == m.gold(g).count(), g
     recon = spark.read.parquet(written["medallion_reconciliation_report"])
     assert recon.count() == 32
+    # the planted defects fail their tests, and nothing but tests that fail is reported
+    assert not built.ok and all(built.failures.values())
+    assert {"not_null:silver_customers.last_name", "assert_no_fk_orphans", "assert_gold_dq_no_critical",
+            "assert_reconciliation_clean"} <= set(built.failures)
+    assert "unique:silver_merchants.merchant_id" not in built.failures
+
+
+def test_changed_input_is_read_anew(spark, tmp_path):
+    import shutil
+    import time
+
+    from lakestrata.registry import build_queries
+
+    for t in "region nation customer supplier lineitem orders events".split():
+        shutil.copy(f"{SF}/{t}.parquet", tmp_path / f"{t}.parquet")
+    query = build_queries()["dq_summary"]
+    total = lambda: {r.table_name: r.n for r in query(spark, str(tmp_path)).groupBy("table_name").sum("row_count").toDF("table_name", "n").collect()}
+    before = total()
+    time.sleep(0.01)
+    shutil.copy("/root/testdata/sf0.01/supplier.parquet", tmp_path / "supplier.parquet")
+    spark.catalog.clearCache()
+    after = total()
+    assert after["silver_merchants"] > before["silver_merchants"] and after["silver_addresses"] == before["silver_addresses"]

@@ -44,3 +44,14 @@ def test_local_session_gets_a_scratch_folder_only_when_unset(tmp_path, monkeypat
     d = ensure_checkpoint_dir(s)
     assert d.startswith(str(tmp_path)) and s.sparkContext.getCheckpointDir() == d
     assert ensure_checkpoint_dir(_Session("local[2]", existing="/already/set")) == "/already/set"
+
+
+@pytest.mark.parametrize("folder", ["file:/tmp/somewhere", "file:///tmp/x", "/tmp/somewhere"])
+def test_cluster_refuses_a_configured_local_folder(folder):
+    with pytest.raises(RuntimeError, match="shared storage"):
+        ensure_checkpoint_dir(_Session("yarn", {"spark.checkpoint.dir": folder}))
+
+
+def test_local_cluster_may_use_its_folder():
+    s = _Session("local-cluster[3,2,3000]", {"spark.checkpoint.dir": "file:///tmp/x"})
+    assert ensure_checkpoint_dir(s) == "file:///tmp/x"

@@ -1,9 +1,10 @@
+import datetime as dt
 import os
 import tempfile
 
 from pyspark.sql import functions as F
 
-from lakestrata.plans.sinks import write_partitioned
+from lakestrata.plans.sinks import read_partitioned, write_partitioned
 from lakestrata.sources.layers import layer_of, layer_path
 
 
@@ -31,6 +32,23 @@ def test_partitioned_write_prunes_months(spark):
     assert back.count() == df.where(F.month("transaction_date") == 2).count()
 
 
+def test_date_range_prunes_months(spark):
+    df = spark.range(400).select(
+        F.when(F.col("id") % 50 != 0, F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 120).cast("int"))).alias("transaction_date"),
+        F.col("id").cast("string").alias("customer_id"),
+    )
+    root = tempfile.mkdtemp(prefix="lakestrata-test-")
+    write_partitioned(df, root, "gold_transaction_360", "transaction_date", ("customer_id",))
+    first, last = dt.date(2024, 2, 10), dt.date(2024, 3, 5)
+    back = read_partitioned(spark, root, "gold_transaction_360", "transaction_date", first, last)
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "2024-02" in plan and "2024-03" in plan
+    assert back.columns == df.columns
+    want = df.where(F.col("transaction_date").between(first, last))
+    assert sorted(back.collect()) == sorted(want.collect()) and want.count() > 0
+    assert read_partitioned(spark, root, "gold_transaction_360", "transaction_date").count() == 400
+
+
 def test_partitioned_write_splits_a_hot_month(spark):
     # 95% of the rows in one month: AQE's rebalance splits that month over
     # several writers (files) instead of handing it to one task
