@@ -3,9 +3,10 @@ reaches the account through the card bridge (card_id → account_id)."""
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.functions.aggregates import count_if
@@ -14,8 +15,117 @@ from lakestrata.operators.gold.common import card_bridge, left_join_on_key, with
 from lakestrata.operators.gold.customer_360 import card_totals
 
 
-def _via_cards(m, child: DataFrame) -> DataFrame:
-    return child.join(card_bridge(m, "account_id"), "card_id")
+@dataclass(frozen=True)
+class Bridged:
+    """Aggregates of one child table by account, reached through the card bridge.
+
+    ``totals`` are aggregated per card first, so that a child row is shuffled
+    once with its own columns only and a hot card comes down to one row a task
+    before it meets the bridge.  ``ids`` counts distinct child keys from narrow
+    (account, key) rows.  Both are keyed by ``account_id``."""
+
+    totals: DataFrame
+    ids: DataFrame | None = None
+
+    @property
+    def sides(self) -> list[DataFrame]:
+        return [self.totals] if self.ids is None else [self.totals, self.ids]
+
+    def whole(self) -> DataFrame:
+        """One row per account, a NULL account included."""
+        if self.ids is None:
+            return self.totals
+        ids = self.ids.withColumnRenamed("account_id", "_account")
+        return self.totals.join(ids, F.col("account_id").eqNullSafe(F.col("_account"))).drop("_account")
+
+
+def _bridged(m, child: DataFrame, parts: dict[str, tuple[Column, Callable]], finish: dict[str, Column], count: tuple[str, str] | None = None) -> Bridged:
+    """``parts``: aggregates of a card's child rows, and how they add up over
+    cards; ``finish``: the account's columns from those; ``count``: a child key
+    and the name of its distinct count."""
+    bridge = card_bridge(m, "account_id")
+    per_card = child.groupBy("card_id").agg(*[c.alias(n) for n, (c, _) in parts.items()])
+    summed = per_card.join(bridge, "card_id").groupBy("account_id").agg(*[merge(n).alias(n) for n, (_, merge) in parts.items()])
+    totals = summed.select("account_id", *[c.alias(n) for n, c in finish.items()])
+    if count is None:
+        return Bridged(totals)
+    key, name = count
+    ids = child.select("card_id", key).join(bridge, "card_id").groupBy("account_id").agg(F.count_distinct(key).alias(name))
+    return Bridged(totals, ids)
+
+
+def _sums(**columns: Column | str) -> dict[str, tuple[Column, Callable]]:
+    return {n: (F.sum(c), F.sum) for n, c in columns.items()}
+
+
+def _counts(**conditions: Column) -> dict[str, tuple[Column, Callable]]:
+    return {n: (count_if(c), F.sum) for n, c in conditions.items()}
+
+
+def _money(*names: str) -> dict[str, Column]:
+    return {n: round_half_up(F.col(n), 2) for n in names}
+
+
+def _as_is(*names: str) -> dict[str, Column]:
+    return {n: F.col(n) for n in names}
+
+
+def _mean(total: str, n: str) -> Column:
+    return round_half_up(safe_divide(F.col(total), F.col(n)), 2)
+
+
+def _statements(m) -> Bridged:
+    status = F.col("payment_status")
+    sums = _sums(total_purchases="total_purchases", total_payments="total_payments", total_fees="total_fees",
+                 total_interest="total_interest", total_outstanding_balance="closing_balance")
+    counts = _counts(missed_payment_count=status == "Missed", on_time_payment_count=status == "Paid",
+                     partial_payment_count=status == "Partial")
+    return _bridged(
+        m, m.silver("statements"), sums | counts | {"latest_statement_date": (F.max("statement_date"), F.max)},
+        _money(*sums) | _as_is(*counts, "latest_statement_date"), ("statement_id", "statement_count"),
+    )
+
+
+def _fees(m) -> Bridged:
+    amount, waived = F.col("fee_amount"), F.col("waived")
+    # NULL ``waived`` lands in neither bucket.
+    sums = _sums(total_fees_charged=amount, total_fees_waived=F.when(waived, amount).otherwise(F.lit(0)),
+                 total_fees_paid=F.when(~waived, amount).otherwise(F.lit(0)))
+    return _bridged(m, m.silver("fees"), sums, _money(*sums), ("fee_id", "fee_event_count"))
+
+
+def _rates(m) -> Bridged:
+    def apr(kind: str) -> Column:
+        return F.when((F.col("rate_type") == kind) & F.col("is_current"), F.col("apr"))
+
+    kinds = {"purchase_apr": apr("Purchase"), "cash_advance_apr": apr("Cash Advance")}
+    parts = {f"{n}_sum": (F.sum(c), F.sum) for n, c in kinds.items()} | {f"{n}_n": (F.count(c), F.sum) for n, c in kinds.items()}
+    return _bridged(m, m.silver("interest_rates"), parts, {n: _mean(f"{n}_sum", f"{n}_n") for n in kinds})
+
+
+def _limits(m) -> Bridged:
+    current = m.silver("credit_limit_history").where(F.col("is_current") == F.lit(True))
+    sums = _sums(current_total_limit="new_limit")
+    return _bridged(m, current, sums, _as_is(*sums))
+
+
+def _emis(m) -> Bridged:
+    sums = _sums(total_emi_original_amount="original_amount", total_emi_payable="total_payable")
+    counts = _counts(active_emi_plans=F.col("status") == "Active")
+    return _bridged(m, m.silver("emi_plans"), sums | counts, _money(*sums) | _as_is(*counts), ("emi_plan_id", "emi_plan_count"))
+
+
+def _payments(m) -> Bridged:
+    status = F.col("status")
+    parts = _sums(total_amount_paid="amount") | {
+        "min_payment_amount": (F.min("amount"), F.min), "max_payment_amount": (F.max("amount"), F.max),
+        "amounts": (F.count("amount"), F.sum), "last_payment_date": (F.max("payment_date"), F.max),
+    }
+    counts = _counts(minimum_only_payment_count=F.col("is_minimum_only"), completed_payment_count=status == "Completed",
+                     failed_payment_count=status == "Failed")
+    finish = _money("total_amount_paid", "min_payment_amount", "max_payment_amount")
+    finish |= {"avg_payment_amount": _mean("total_amount_paid", "amounts")} | _as_is("last_payment_date", *counts)
+    return _bridged(m, m.silver("payments"), parts | counts, finish, ("payment_id", "payment_event_count"))
 
 
 def g4a_cards_agg(m) -> DataFrame:
@@ -23,161 +133,32 @@ def g4a_cards_agg(m) -> DataFrame:
 
 
 def g4b_stmt_agg(m) -> DataFrame:
-    s = m.silver("statements")
-    r2 = lambda c: round_half_up(F.sum(c), 2)
-    return _via_cards(m, s).groupBy("account_id").agg(
-        F.count_distinct("statement_id").alias("statement_count"),
-        r2("total_purchases").alias("total_purchases"),
-        r2("total_payments").alias("total_payments"),
-        r2("total_fees").alias("total_fees"),
-        r2("total_interest").alias("total_interest"),
-        r2("closing_balance").alias("total_outstanding_balance"),
-        count_if(F.col("payment_status") == "Missed").alias("missed_payment_count"),
-        count_if(F.col("payment_status") == "Paid").alias("on_time_payment_count"),
-        count_if(F.col("payment_status") == "Partial").alias("partial_payment_count"),
-        F.max("statement_date").alias("latest_statement_date"),
-    )
+    return _statements(m).whole()
 
 
 def g4c_fees_agg(m) -> DataFrame:
-    f = m.silver("fees").select("fee_id", "card_id", "fee_amount", "waived")
-    amt, waived = F.col("fee_amount"), F.col("waived")
-    return _via_cards(m, f).groupBy("account_id").agg(
-        F.count_distinct("fee_id").alias("fee_event_count"),
-        round_half_up(F.sum(amt), 2).alias("total_fees_charged"),
-        # NULL ``waived`` lands in neither bucket.
-        round_half_up(F.sum(F.when(waived, amt).otherwise(F.lit(0))), 2).alias("total_fees_waived"),
-        round_half_up(F.sum(F.when(~waived, amt).otherwise(F.lit(0))), 2).alias("total_fees_paid"),
-    )
+    return _fees(m).whole()
 
 
 def g4d_current_rate(m) -> DataFrame:
-    ir = m.silver("interest_rates").select("card_id", "rate_type", "is_current", "apr")
-
-    def apr_of(kind: str):
-        return round_half_up(F.avg(F.when((F.col("rate_type") == kind) & F.col("is_current"), F.col("apr"))), 2)
-
-    return _via_cards(m, ir).groupBy("account_id").agg(
-        apr_of("Purchase").alias("purchase_apr"),
-        apr_of("Cash Advance").alias("cash_advance_apr"),
-    )
+    return _rates(m).whole()
 
 
 def g4e_current_limit(m) -> DataFrame:
-    cl = m.silver("credit_limit_history").where(F.col("is_current") == F.lit(True)).select("card_id", "new_limit")
-    return _via_cards(m, cl).groupBy("account_id").agg(F.sum("new_limit").alias("current_total_limit"))
+    return _limits(m).whole()
 
 
 def g4f_emi_agg(m) -> DataFrame:
-    e = m.silver("emi_plans").select("emi_plan_id", "card_id", "original_amount", "total_payable", "status")
-    return _via_cards(m, e).groupBy("account_id").agg(
-        F.count_distinct("emi_plan_id").alias("emi_plan_count"),
-        round_half_up(F.sum("original_amount"), 2).alias("total_emi_original_amount"),
-        round_half_up(F.sum("total_payable"), 2).alias("total_emi_payable"),
-        count_if(F.col("status") == "Active").alias("active_emi_plans"),
-    )
+    return _emis(m).whole()
 
 
 def g4g_payments_agg(m) -> DataFrame:
-    p = m.silver("payments").select("payment_id", "card_id", "amount", "payment_date", "is_minimum_only", "status")
-    amt = F.col("amount")
-    return _via_cards(m, p).groupBy("account_id").agg(
-        F.count_distinct("payment_id").alias("payment_event_count"),
-        round_half_up(F.sum(amt), 2).alias("total_amount_paid"),
-        round_half_up(F.min(amt), 2).alias("min_payment_amount"),
-        round_half_up(F.max(amt), 2).alias("max_payment_amount"),
-        round_half_up(F.avg(amt), 2).alias("avg_payment_amount"),
-        F.max("payment_date").alias("last_payment_date"),
-        count_if(F.col("is_minimum_only")).alias("minimum_only_payment_count"),
-        count_if(F.col("status") == "Completed").alias("completed_payment_count"),
-        count_if(F.col("status") == "Failed").alias("failed_payment_count"),
-    )
-
-
-def bridged_aggregates(m) -> DataFrame:
-    """All card-bridged account aggregates (g4b…g4g) with ONE bridge join.
-
-    The six child tables are projected to one row shape tagged with their
-    kind and unioned, meet the card bridge (card_id → account_id) in a single
-    join, and are aggregated by ``(account_id, kind)``: the child key is the
-    only distinct aggregate (no Expand), and every other aggregate is scoped
-    to its kind.  A final aggregation by ``account_id`` folds the ≤ 6 kind rows
-    of each account into columns.  The bridge is shuffled once instead of
-    once per child table."""
-    def tagged(df: DataFrame, kind: str, key: str | None, **cols) -> DataFrame:
-        ident = F.col(key).cast("string") if key else F.lit(None).cast("string")
-        return df.select("card_id", F.lit(kind).alias("_kind"), ident.alias("_id"),
-                         *[c.alias(n) for n, c in cols.items()])
-
-    c = F.col
-    children = [
-        tagged(m.silver("statements"), "s", "statement_id", s_purchases=c("total_purchases"),
-               s_payments=c("total_payments"), s_fees=c("total_fees"), s_interest=c("total_interest"),
-               s_closing=c("closing_balance"), s_status=c("payment_status"), s_date=c("statement_date")),
-        tagged(m.silver("fees"), "f", "fee_id", f_amount=c("fee_amount"), f_waived=c("waived")),
-        tagged(m.silver("interest_rates"), "r", None, r_type=c("rate_type"), r_current=c("is_current"),
-               r_apr=c("apr")),
-        tagged(m.silver("credit_limit_history").where(c("is_current") == F.lit(True)), "l", None,
-               l_limit=c("new_limit")),
-        tagged(m.silver("emi_plans"), "e", "emi_plan_id", e_original=c("original_amount"),
-               e_payable=c("total_payable"), e_status=c("status")),
-        tagged(m.silver("payments"), "p", "payment_id", p_amount=c("amount"), p_date=c("payment_date"),
-               p_min_only=c("is_minimum_only"), p_status=c("status")),
-    ]
-    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), children)
-    joined = rows.join(card_bridge(m, "account_id"), "card_id")
-
-    kind = c("_kind")
-
-    def of(k: str, expr):
-        return F.when(kind == k, expr)
-
-    def r2sum(k: str, col: str):
-        return round_half_up(F.sum(of(k, c(col))), 2)
-
-    waived = c("f_waived")
-    per_kind = joined.groupBy("account_id", "_kind").agg(
-        F.count_distinct("_id").alias("_n"),
-        r2sum("s", "s_purchases").alias("total_purchases"),
-        r2sum("s", "s_payments").alias("total_payments"),
-        r2sum("s", "s_fees").alias("total_fees"),
-        r2sum("s", "s_interest").alias("total_interest"),
-        r2sum("s", "s_closing").alias("total_outstanding_balance"),
-        count_if(c("s_status") == "Missed").alias("missed_payment_count"),
-        count_if(c("s_status") == "Paid").alias("on_time_payment_count"),
-        count_if(c("s_status") == "Partial").alias("partial_payment_count"),
-        F.max("s_date").alias("latest_statement_date"),
-        r2sum("f", "f_amount").alias("total_fees_charged"),
-        round_half_up(F.sum(of("f", F.when(waived, c("f_amount")).otherwise(F.lit(0)))), 2).alias("total_fees_waived"),
-        round_half_up(F.sum(of("f", F.when(~waived, c("f_amount")).otherwise(F.lit(0)))), 2).alias("total_fees_paid"),
-        round_half_up(F.avg(F.when((c("r_type") == "Purchase") & c("r_current"), c("r_apr"))), 2).alias("purchase_apr"),
-        round_half_up(F.avg(F.when((c("r_type") == "Cash Advance") & c("r_current"), c("r_apr"))), 2)
-        .alias("cash_advance_apr"),
-        F.sum(of("l", c("l_limit"))).alias("current_total_limit"),
-        r2sum("e", "e_original").alias("total_emi_original_amount"),
-        r2sum("e", "e_payable").alias("total_emi_payable"),
-        count_if(c("e_status") == "Active").alias("active_emi_plans"),
-        r2sum("p", "p_amount").alias("total_amount_paid"),
-        round_half_up(F.min("p_amount"), 2).alias("min_payment_amount"),
-        round_half_up(F.max("p_amount"), 2).alias("max_payment_amount"),
-        round_half_up(F.avg("p_amount"), 2).alias("avg_payment_amount"),
-        F.max("p_date").alias("last_payment_date"),
-        count_if(c("p_min_only")).alias("minimum_only_payment_count"),
-        count_if(c("p_status") == "Completed").alias("completed_payment_count"),
-        count_if(c("p_status") == "Failed").alias("failed_payment_count"),
-    )
-    # Fold kind rows into columns: each column is non-NULL in one kind row only
-    # (counts are 0 elsewhere), so max() picks it.
-    value_cols = [x for x in per_kind.columns if x not in ("account_id", "_kind", "_n")]
-    counts = {"s": "statement_count", "f": "fee_event_count", "e": "emi_plan_count", "p": "payment_event_count"}
-    return per_kind.groupBy("account_id").agg(
-        *[F.max(F.when(kind == k, c("_n"))).alias(n) for k, n in counts.items()],
-        *[F.max(x).alias(x) for x in value_cols],
-    )
+    return _payments(m).whole()
 
 
 def build(m) -> DataFrame:
-    j = left_join_on_key(m.silver("accounts"), "account_id", [g4a_cards_agg(m), bridged_aggregates(m)])
+    children = (_statements(m), _fees(m), _rates(m), _limits(m), _emis(m), _payments(m))
+    j = left_join_on_key(m.silver("accounts"), "account_id", [g4a_cards_agg(m), *(side for x in children for side in x.sides)])
     missed = zero("missed_payment_count")
     out = j.select(
         "account_id", "customer_id", "account_type", "account_number", "sort_code", "currency",

@@ -39,29 +39,13 @@ def _txn_merchant(m) -> DataFrame:
 
 
 def g3c_dispute_agg(m) -> DataFrame:
-    d = m.silver("disputes").select("dispute_id", "transaction_id", "disputed_amount", "refund_amount", "outcome")
-    return d.join(_txn_merchant(m), "transaction_id").groupBy("merchant_id").agg(
-        F.count_distinct("dispute_id").alias("dispute_count"),
-        round_half_up(F.sum("disputed_amount"), 2).alias("total_disputed_amount"),
-        round_half_up(F.sum("refund_amount"), 2).alias("total_refunded_amount"),
-        count_if(F.col("outcome") == "Upheld").alias("disputes_upheld"),
-        count_if(F.col("outcome") == "Rejected").alias("disputes_rejected"),
-    )
+    found = dispute_chargeback_aggregates(m).where(F.col("dispute_count").isNotNull())
+    return found.select("merchant_id", "dispute_count", "total_disputed_amount", "total_refunded_amount", "disputes_upheld", "disputes_rejected")
 
 
 def g3d_chargeback_agg(m) -> DataFrame:
-    cb = m.silver("chargeback_cases").select("chargeback_id", "dispute_id", "chargeback_amount", "recovery_amount")
-    d = m.silver("disputes").select("dispute_id", "transaction_id")
-    return (
-        cb.join(d, "dispute_id")
-        .join(_txn_merchant(m), "transaction_id")
-        .groupBy("merchant_id")
-        .agg(
-            F.count_distinct("chargeback_id").alias("chargeback_count"),
-            round_half_up(F.sum("chargeback_amount"), 2).alias("total_chargeback_amount"),
-            round_half_up(F.sum("recovery_amount"), 2).alias("total_recovered_amount"),
-        )
-    )
+    found = dispute_chargeback_aggregates(m).where(F.col("chargeback_count").isNotNull())
+    return found.select("merchant_id", "chargeback_count", "total_chargeback_amount", "total_recovered_amount")
 
 
 def g3e_blacklist(m) -> DataFrame:
