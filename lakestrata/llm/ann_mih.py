@@ -118,8 +118,6 @@ class MultiIndex:
 def best_first(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` best ids: by score, then by id; each id once."""
     order = np.lexsort((ids, -scores))
-    if len(order) > 4 * k + 64:
-        order = order[: 4 * k + 64] if len(np.unique(ids[order[: 4 * k + 64]])) >= k else order
     _, first = np.unique(ids[order], return_index=True)
     return order[np.sort(first)][:k]
 
