@@ -40,7 +40,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def worker_cache() -> dict:
     """What a Python worker keeps between its tasks (functions come by value,
     so that their modules' globals don't last)."""
-    return sys.modules.setdefault("_lakestrata_worker_cache", types.ModuleType("_lakestrata_worker_cache")).__dict__
+    held = sys.modules.setdefault("_lakestrata_worker_cache", types.ModuleType("_lakestrata_worker_cache"))
+    return held.__dict__.setdefault("kept", {})
 
 
 def own_columns_win(df: DataFrame, own: Iterable[str]) -> DataFrame:
@@ -52,7 +53,9 @@ def own_columns_win(df: DataFrame, own: Iterable[str]) -> DataFrame:
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches whose texts hold about ``limit`` bytes, with the
-    texts as UTF-8 (null: empty).  One longer text makes a slice of its own."""
+    texts as UTF-8 (null: empty).  One longer text makes a slice of its own.
+    What another operator left in the worker's cache goes first."""
+    worker_cache().clear()
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary())
         start = size = 0
