@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from lakestrata.llm.common import materialize, mix64, training_row
 
 FOLDS = 10
-HEAVY = 50_000
+HEAVY = 200_000
 HEAVY_BYTES = 64  # longer words are never among the heavy ones, which bounds their table
 EM_ROUNDS = 2
 PSEUDO_COUNT = 0.1
