@@ -5,7 +5,7 @@ candidate, represented by the smallest id.  Signatures are cut into bands;
 representatives that share a band are compared batch by batch of their
 signatures: after each batch the posterior of their similarity (uniform prior)
 is looked up, and a pair is dropped once its chance of reaching the threshold
-is below ``MISS``.  Survivors are verified on their full sets, and verified
+is too small (see below).  Survivors are verified on their full sets, and verified
 links are joined into components.
 
 No bucket is expanded into all its pairs.  First each bucket is a star around
@@ -21,9 +21,13 @@ second pass over the texts of survivors alone writes their sets.  Hot sets, buck
 and centres are dealt by joins of scans, which Spark can split, or aggregated
 before they are shuffled.
 
-Chances: with 20 bands of 6 a pair at similarity 0.85 shares no band in fewer
-than 1 of 10,000 cases; each of 5 looks drops it with a chance of at most
-``MISS``.  Shingles are compared by 64-bit hashes.
+Chances: bands and rows follow from the threshold, as the longest bands that
+lose at most ``BAND_MISS`` of the pairs at it; the posterior's limit starts at
+``MISS`` and is halved until all looks together lose at most ``LOOK_MISS``.  So a
+pair at the threshold is lost in at most 1 of 10,000 cases, and more similar ones
+more rarely: at 0.80 (24 bands of 5) 7.3e-5 by bands and 1.6e-5 by looks, 8.9e-5
+in all; at 0.85 (20 bands of 6) 7.8e-5 and 0.9e-5, 8.7e-5 in all.  Thresholds too
+low for ``HASHES`` are refused.  Shingles are compared by 64-bit hashes.
 
 Defined cases: null and empty texts have no shingles and link with nothing; a
 row with null doc_id links with nothing, has a null component and is kept;
@@ -45,10 +49,11 @@ from pyspark.sql import functions as F
 from lakestrata.llm.common import blocks, materialize, mix64, word_hashes
 from lakestrata.llm.components import connected_components
 
-BANDS, ROWS = 20, 6
-HASHES = BANDS * ROWS
+HASHES = 120
 BATCH = 24
 MISS = 1e-4
+#: Most pairs at the threshold that may share no band, and that the looks may drop together.
+BAND_MISS, LOOK_MISS = 8e-5, 2e-5
 #: Documents on either side of one block of comparisons.
 BLOCK = 512
 #: Ids of survivors that are broadcast to the scan of their texts; more are shuffled.
@@ -88,11 +93,24 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return least.astype("<u4")
 
 
-def band_keys(signatures: np.ndarray) -> np.ndarray:
+def band_loss(threshold: float, bands: int, rows: int) -> float:
+    """The chance that a pair at the threshold shares no band."""
+    return (1 - threshold**rows) ** bands
+
+
+def banding(threshold: float) -> tuple[int, int]:
+    """Bands and rows: the longest bands that lose at most ``BAND_MISS``."""
+    for rows in range(HASHES, 0, -1):
+        if band_loss(threshold, HASHES // rows, rows) <= BAND_MISS:
+            return HASHES // rows, rows
+    raise ValueError(f"{HASHES} hashes are too few for a threshold of {threshold}")
+
+
+def band_keys(signatures: np.ndarray, bands: int, per_band: int) -> np.ndarray:
     """A 64-bit key for each band of each signature."""
-    rows = signatures.reshape(-1, BANDS, ROWS).astype(np.uint64)
-    keys = np.broadcast_to(mix64(np.arange(1, BANDS + 1, dtype=np.uint64)), rows.shape[:2]).copy()
-    for k in range(ROWS):
+    rows = signatures[:, : bands * per_band].reshape(-1, bands, per_band).astype(np.uint64)
+    keys = np.broadcast_to(mix64(np.arange(1, bands + 1, dtype=np.uint64)), rows.shape[:2]).copy()
+    for k in range(per_band):
         keys = mix64(keys ^ rows[:, :, k] * _PLACES[1])
     return keys.astype(np.int64)
 
@@ -109,6 +127,26 @@ def least_matches(threshold: float, miss: float = MISS, batch: int = BATCH, hash
     return [next(m for m in range(n + 1) if tail(m, n) >= miss) for n in range(batch, hashes + 1, batch)]
 
 
+def look_loss(threshold: float, needed: list[int], batch: int = BATCH) -> float:
+    """The chance that a pair at the threshold is dropped by any of the looks."""
+    step = [math.comb(batch, i) * threshold**i * (1 - threshold) ** (batch - i) for i in range(batch + 1)]
+    held, lost = np.ones(1), 0.0
+    for least in needed:
+        held = np.convolve(held, step)
+        lost += held[:least].sum()
+        held[:least] = 0
+    return float(lost)
+
+
+def looks(threshold: float) -> list[int]:
+    """``least_matches`` with the limit at which all looks together lose at most
+    ``LOOK_MISS`` of the pairs at the threshold."""
+    miss = MISS
+    while look_loss(threshold, least_matches(threshold, miss)) > LOOK_MISS:
+        miss /= 2
+    return least_matches(threshold, miss)
+
+
 def surviving(left: np.ndarray, right: np.ndarray, needed: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Indices of the rows of ``left`` and ``right`` (signatures, row by row)
     that pass all looks, and their matches."""
@@ -129,8 +167,9 @@ def _plain(table: pa.Table, name: str) -> pa.Array:
     return pa.concat_arrays(table[name].chunks) if table[name].num_chunks else pa.array([], table.schema.field(name).type)
 
 
-def sketches(docs: DataFrame, width: int) -> DataFrame:
+def sketches(docs: DataFrame, width: int, per_cent: int) -> DataFrame:
     """(doc_id, n_shingles, set_key, bands, signature) of each row."""
+    bands, per_band = banding(per_cent / 100)
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())), ("signature", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +177,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
             sets = shingle_sets(texts, width)
             full = [x for x in sets if len(x)]
             signed = np.array([signature(x) for x in full], dtype="<u4").reshape(-1, HASHES)
-            keys = iter(band_keys(signed).tolist())
+            keys = iter(band_keys(signed, bands, per_band).tolist())
             signed_bytes = iter([x.tobytes() for x in signed])
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(x) for x in sets], pa.int64()),
@@ -178,7 +217,7 @@ class Verifier:
 
     def __init__(self, docs: DataFrame, reps: DataFrame, width: int, per_cent: int):
         self.docs, self.reps, self.width, self.per_cent = docs, reps, width, per_cent
-        self.needed = least_matches(per_cent / 100)
+        self.needed = looks(per_cent / 100)
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that survive the sequential test of signatures."""
@@ -267,7 +306,7 @@ def stray_links(strays: DataFrame, labels: DataFrame, reps: DataFrame, check: Ve
 def near_duplicates(docs: DataFrame, width: int = 5, per_cent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of (doc_id, text).
     Texts are linked when 100 * intersection >= per_cent * union."""
-    sketch = materialize(sketches(docs, width), "sketches")
+    sketch = materialize(sketches(docs, width, per_cent), "sketches")
     known = sketch.filter("set_key is not null and doc_id is not null")
     reps = known.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "signature")).alias("r"))
     reps = materialize(reps.select("set_key", F.col("r.doc_id").alias("id"), "r.n_shingles", "r.bands", "r.signature"), "representatives")

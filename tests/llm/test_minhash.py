@@ -75,3 +75,22 @@ def test_least_matches_are_posterior_quantiles():
         draws = np.random.default_rng(0).beta(m + 1, n - m + 1, 400_000)
         less = np.random.default_rng(0).beta(m, n - m + 2, 400_000)
         assert (draws >= 0.85).mean() > md.MISS / 3 and (less >= 0.85).mean() < md.MISS * 3
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 0.81, 0.85, 0.95])
+def test_pairs_at_the_threshold_are_lost_in_at_most_1_of_10000_cases(threshold):
+    bands, rows = md.banding(threshold)
+    assert bands * rows <= md.HASHES
+    assert (1 - threshold**rows) ** bands + md.look_loss(threshold, md.Verifier(None, None, 5, round(threshold * 100)).needed) <= 1e-4
+
+
+def test_look_loss_is_the_share_of_dropped_pairs():
+    rng, needed = np.random.default_rng(0), [18, 37, 56, 75, 94]
+    equal = (rng.random((40_000, md.HASHES)) < 0.8).astype("<u4")
+    kept, _ = md.surviving(equal, np.ones_like(equal), needed)
+    assert abs(1 - len(kept) / len(equal) - md.look_loss(0.8, needed)) < 0.01
+
+
+def test_thresholds_too_low_for_the_hashes_are_refused():
+    with pytest.raises(ValueError, match="too few"):
+        md.banding(0.01)
