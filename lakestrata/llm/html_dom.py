@@ -20,8 +20,8 @@ _ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 #: HTML element classes.
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg math iframe object select canvas audio video".split())
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+RAW = frozenset("script style template textarea title select".split())
 BLOCK = frozenset(
     "address article aside blockquote body button center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -35,7 +35,7 @@ IMPLIED_END = {
     "tr": (frozenset(["tr", "td", "th"]), frozenset(["table", "tbody", "thead", "tfoot"])),
     "option": (frozenset(["option"]), frozenset(["datalist"])),
 }
-P_SCOPE = frozenset("article aside body button div dd details dt fieldset figure footer form header li main nav section table td th".split())
+P_SCOPE = frozenset("article aside body button div dd details dt fieldset figure footer form header li main nav object section table td th".split())
 
 #: Groups of tags, and of words in class, id, role and the like.
 TAG_GROUPS = {
@@ -70,8 +70,9 @@ class Page:
         self.texts: list[tuple[int, int, str]] = []
 
 
-def attribute_groups(raw: str) -> tuple[int, int]:
-    """Bits of the word groups in the attributes, and the training mark (-1: none)."""
+def attribute_groups(raw: str, marked: bool) -> tuple[int, int]:
+    """Bits of the word groups in the attributes, and the training mark (-1:
+    none; read only where pages are ``marked``)."""
     bits, mark = 0, -1
     for m in _ATTRIBUTE.finditer(raw):
         name = (m[1] or m[5]).lower()
@@ -81,12 +82,14 @@ def attribute_groups(raw: str) -> tuple[int, int]:
                 group = _WORD_GROUP.get(word.lower())
                 if group is not None:
                     bits |= 1 << group
-        elif name == "data-keep":
+        elif marked and name == "data-keep":
             mark = int(value)
     return bits, mark
 
 
-def parse(html: str) -> Page:
+def parse(html: str, marked: bool = True) -> Page:
+    """``marked``: a page made for training, whose marks are read; of any other
+    page, ``data-keep`` is an attribute without a meaning."""
     page = Page()
     parents, depths, tags, flags, marks, texts = page.parents, page.depths, page.tags, page.flags, page.marks, page.texts
     stack: list[tuple[str, int]] = []  # open elements: tag, node
@@ -100,7 +103,7 @@ def parse(html: str) -> Page:
         parents.append(parent)
         depths.append(len(stack))
         tags.append(_TAG_GROUP.get(tag, OTHER_TAG))
-        bits, mark = attribute_groups(raw) if raw and "=" in raw else (0, -1)
+        bits, mark = attribute_groups(raw, marked) if raw and "=" in raw else (0, -1)
         flags.append(bits)
         marks.append(mark)
         return len(parents) - 1
@@ -156,7 +159,7 @@ def parse(html: str) -> Page:
         if tag in ("html", "body") and any(t == tag for t, _ in stack):
             continue
         if hidden:
-            if tag in VOID:
+            if tag in VOID or tag == "noscript":
                 continue
             hidden = 0  # a body element ends the head
         if tag in CLOSES_P:

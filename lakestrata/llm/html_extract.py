@@ -231,7 +231,7 @@ def page_text(page: Page, kept: np.ndarray) -> str:
 
 
 def extract_all(pages: list[str], model: BoostedTrees) -> list[str]:
-    parsed = [parse(x) for x in pages]
+    parsed = [parse(x, marked=False) for x in pages]
     forest = Forest(parsed)
     kept = decode(forest, model.log_odds(features(forest)))
     return [page_text(p, kept[a:b]) for p, a, b in zip(parsed, forest.first[:-1], forest.first[1:], strict=True)]
@@ -249,7 +249,7 @@ def learn(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> BoostedTrees:
         paragraphs: list[str] = []
         for batch in batches:
             for x in batch.column(0).to_pylist():
-                page = parse(x)
+                page = parse(x, marked=False)
                 held: dict[int, str] = {}
                 for node, block, raw in page.texts:
                     held[block] = held.get(block, "") + raw[:SAMPLE_CHARS]

@@ -88,3 +88,27 @@ def test_learns_from_any_table(spark):
         article = html[html.index("<article>") : html.index("</article>")]
         lines = [" ".join(he.entities.unescape(x).split()) for x in __import__("re").split(r"<[^>]*>", article)]
         assert r.text == "\n".join(x for x in lines if x)
+
+
+@pytest.mark.parametrize("value", ['"true"', '""', '"0"', '"1"', "no"])
+def test_marks_of_real_pages_mean_nothing(spark, model, value):
+    page = PAGE.replace("<article>", f"<article data-keep={value}>").replace("<nav>", f"<nav data-keep={value}>")
+    assert he.extract_all([page], model) == [TEXT]
+    assert set(html_dom.parse(page, marked=False).marks) == {-1}
+
+
+def test_learning_reads_no_marks(spark):
+    pages = spark.createDataFrame([(1, "u", PAGE.replace("<article>", '<article data-keep="true">'))], SCHEMA)
+    assert he.learn(pages).leaf
+
+
+@pytest.mark.parametrize("inline", [
+    "<math><mrow><mi>energy</mi><mo>=</mo><mi>mass</mi></mrow></math>", '<object data="x"><param name="a" value="b">fallback text</object>', "<object><p>fallback text</object>",
+    "<svg><text>drawn words</text></svg>", "<audio><source src=x>no sound here</audio>", "<video>no film here</video>", "<canvas>drawn words</canvas>",
+])
+def test_text_of_embedded_elements_in_paragraphs_is_judged(model, inline):
+    page = PAGE.replace("Second &lt;one&gt; follows", f"Second {inline} follows")
+    got = he.extract_all([page], model)[0]
+    words = html_dom.re.sub("<[^>]*>", " ", inline).split()
+    assert "".join(words) in "".join(got.split())
+    assert TEXT.split()[-1] == got.split()[-1] and "cookies" not in got and "Other stories" not in got
