@@ -111,10 +111,12 @@ class Lattice:
             found[hit] = got[hit]
         return found
 
-    def edges(self, points: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    def edges(self, points: np.ndarray, lengths: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Piece and log score of the pieces of each length at each place of
-        the words (rows of code points, 0 beyond a word's end)."""
+        the words (rows of code points; those beyond a word's length are none,
+        while a code point 0 within it is a character)."""
         width = points.shape[1]
+        inside = np.arange(width)[None, :] < lengths[:, None]
         pieces, scores = [], []
         rolled = np.zeros(points.shape, dtype=np.uint64)
         chars = points.astype(np.uint64) + np.uint64(1)
@@ -123,7 +125,7 @@ class Lattice:
             found = self._find(mix64(rolled))
             score = self.logp[found]
             if n == 1:
-                bare = (found == self.none) & (points > 0)
+                bare = (found == self.none) & inside
                 found[bare] = self.unknown
                 size = 1 + (points >= 0x80).astype(int) + (points >= 0x800) + (points >= 0x10000)
                 score = np.where(bare, self.logp[self.unknown] - size * math.log(256), score)
@@ -179,7 +181,7 @@ class Lattice:
         out = np.full(len(words), self.logp[0])  # the end sign
         full = [i for i, w in enumerate(words) if w != END]
         for which, points, n in self.batches([words[i] for i in full]):
-            out[np.array(full)[which]] = self.forward(self.edges(points)[1])[np.arange(len(which)), n]
+            out[np.array(full)[which]] = self.forward(self.edges(points, n)[1])[np.arange(len(which)), n]
         return out
 
     def soft_counts(self, words: list[str], counts: np.ndarray, share: float, tokens: int) -> tuple[np.ndarray, float]:
@@ -199,7 +201,7 @@ class Lattice:
         full = np.flatnonzero([w != END for w in words])
         total[0] = weigh(ends, np.full(len(ends), self.logp[0])).sum()
         for which, points, n in self.batches([words[i] for i in full]):
-            pieces, scores = self.edges(points)
+            pieces, scores = self.edges(points, n)
             a, b = self.forward(scores), self.backward(scores, n)
             whole = a[np.arange(len(which)), n]
             weight = weigh(full[which], whole)[:, None]

@@ -95,3 +95,19 @@ def test_empty_table_and_no_training_rows(spark):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
     r = lm.score_documents(spark.createDataFrame([(held, "some words")], SCHEMA)).first()
     assert (r.n_tokens, r.n_known, r.train_tokens) == (3, 0, 0) and math.isfinite(r.score) and math.isfinite(r.base_score)
+
+
+def test_nul_is_an_unknown_character():
+    names, p, lattice = small()
+    words = ["\0", "a\0b", "ab\0", "abab"]
+    want = [sum(x for x, _ in segmentations("▁" + w, dict(zip(names, p, strict=False)), p[-1])) for w in words]
+    assert np.allclose(np.exp(lattice.word_logps(words)), want, rtol=1e-9, atol=0)
+    assert np.isfinite(lattice.soft_counts(words, np.ones(4), 0.3, 4)[0]).all()
+
+
+def test_nul_in_training_and_held_out_texts(spark):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
+    trained = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10)
+    rows = [(held, "so\0me words"), (trained, "other wo\0rds \0")]
+    got = lm.score_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(got) == 2 and all(math.isfinite(r.score) and r.score < 0 for r in got)
