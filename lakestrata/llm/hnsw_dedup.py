@@ -6,8 +6,11 @@ linked to near ones of its layer.  Vectors are inserted in batches of doubling
 size; a batch searches the graph so far and itself.  Every vector queries every
 shard of its label: greedily down to the lowest layer, then with a beam that is
 as wide as it must be.  A beam full of links is widened for that query, and all
-beams are widened until an audit (sampled queries against an exact scan) finds
-``RECALL`` of the links; the widest beam is the whole shard.
+beams are widened until an audit finds ``RECALL`` of the links of each of its
+queries, on average; the widest beam is the whole shard.  The audit scans queries
+exactly, in random order, until ``AUDIT_QUERIES`` of them have a link besides
+themselves; where fewer have, it has scanned all, and its links are the result.
+Vertices that no path joins to the entry are compared with every query.
 
 Links are verified by cosine in double precision.  A pair of shards meets in one
 task, which queries both graphs and keeps a link that either side found, so
@@ -42,7 +45,7 @@ BUILD_BEAM = 64
 BEAM, WIDEN = 32, 4
 EXPAND = 4  # vertices of each beam that are expanded in one step
 BATCH = 512
-AUDIT_QUERIES = 64
+AUDIT_QUERIES = 300  # that have links
 RECALL = 0.99
 
 
@@ -143,6 +146,18 @@ class Graph:
         if full.any():
             links[touched[full]] = spread(self.x, both[full], got[full], room)
 
+    def unreached(self) -> np.ndarray:
+        """Vertices of the lowest layer that no path from the entry meets."""
+        n = len(self.x)
+        met = np.zeros(n + 1, dtype=bool)
+        met[n] = True  # the place of missing links
+        front = np.array([int(np.argmax(self.top))]) if n else np.zeros(0, dtype=int)
+        while len(front):
+            met[front] = True
+            front = np.unique(self.layers[0][front])
+            front = front[~met[front]]
+        return np.flatnonzero(~met)
+
     def search(self, asked: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         if width >= len(self.x):  # the widest beam holds the whole shard
             sims = asked @ self.x.T
@@ -173,33 +188,63 @@ def spread(x: np.ndarray, near: np.ndarray, sims: np.ndarray, most: int) -> np.n
     return out
 
 
-def find_links(graph: Graph, exact: np.ndarray, asked: np.ndarray, threshold: float) -> np.ndarray:
+def audit(exact: np.ndarray, asked: np.ndarray, threshold: float, itself: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Queries scanned exactly and their links (queries x vertices): in random
+    order, until ``AUDIT_QUERIES`` of them have links, or all.  ``itself``: the
+    queries are the vertices, and a vertex's link with itself does not count."""
+    order = np.random.default_rng(11).permutation(len(asked))
+    truth, seen, at = [], 0, 0
+    while at < len(order) and seen < AUDIT_QUERIES:
+        rows = order[at : at + BATCH]
+        found = asked[rows] @ exact.T >= threshold
+        if itself:
+            found[np.arange(len(rows)), rows] = False
+        truth.append(found)
+        seen += int(found.any(axis=1).sum())
+        at += len(rows)
+    return order[:at], np.concatenate(truth) if truth else np.zeros((0, len(exact)), dtype=bool)
+
+
+def find_links(graph: Graph, exact: np.ndarray, asked: np.ndarray, threshold: float, itself: bool = False) -> np.ndarray:
     """Boolean matrix (queries x vertices) of pairs with cosine >= threshold;
-    ``exact`` and ``asked`` hold unit vectors in double precision."""
+    ``exact`` and ``asked`` hold unit vectors in double precision.  ``itself``:
+    the queries are the graph's own vertices."""
     n = len(exact)
     out = np.zeros((len(asked), n), dtype=bool)
+    scanned, truth = audit(exact, asked, threshold, itself)
+    if len(scanned) == len(asked):
+        out[scanned] = truth
+        return out
     slack = 1e-4  # the graph's cosines are single precision
     single = asked.astype(np.float32)
-    audit = np.unique(np.linspace(0, len(asked) - 1, AUDIT_QUERIES).astype(int)) if len(asked) else np.zeros(0, dtype=int)
-    truth = asked[audit] @ exact.T >= threshold
+    cut_off = graph.unreached()
+    if len(cut_off):
+        out[:, cut_off] = asked @ exact[cut_off].T >= threshold
+    linked = truth.any(axis=1)
+    links_of = truth[linked].sum(axis=1)
     width, todo = BEAM, np.arange(len(asked))
     while len(todo):
         wider = []
         for at in range(0, len(todo), BATCH):
             rows = todo[at : at + BATCH]
+            if width >= n:
+                out[rows] |= asked[rows] @ exact.T >= threshold
+                continue
             ids, sims = graph.search(single[rows], width)
             near = sims >= threshold - slack
             i, j = np.nonzero(near)
             i, j = rows[i], ids[i, j]
             good = np.einsum("pd,pd->p", exact[j], asked[i]) >= threshold
             out[i[good], j[good]] = True
-            wider.append(rows[near.all(axis=1)] if width < n else rows[:0])
-        if width < n and out[audit][truth].mean() < RECALL if truth.any() else False:
-            todo, width = np.arange(len(asked)), width * WIDEN
-        else:
-            todo, width = np.concatenate(wider), width * WIDEN
+            wider.append(rows[near.all(axis=1)])
+        if width >= n:
+            break
+        found = (out[scanned[linked]] & truth[linked]).sum(axis=1)
+        todo = np.arange(len(asked)) if (found / links_of).mean() < RECALL else np.concatenate(wider)
+        width *= WIDEN
         if width * WIDEN * WIDEN > n:
             width = max(width, n)  # beams of a large part of a shard cost more than a scan
+    out[scanned] |= truth
     return out
 
 
@@ -263,7 +308,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93, shard: int =
         shard_of = group["shard"].to_numpy()
         graph_a, a, ids_a, copies_a = load(group.filter(pa.array(shard_of == one)))
         if one == two:
-            links = find_links(graph_a, a, a, threshold)
+            links = find_links(graph_a, a, a, threshold, itself=True)
             links |= links.T
             np.fill_diagonal(links, False)
             counts = [(ids_a, links.astype(np.float32) @ copies_a)]

@@ -110,3 +110,66 @@ def test_beam_search_finds_neighbours():
     ids, _ = graph.search(x[:200], 64)
     best = np.argsort(-(x[:200] @ x.T), axis=1)[:, :10]
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(ids, best, strict=True)]) > 0.95
+
+
+def unit_vectors(n, d, seed):
+    x = np.random.default_rng(seed).normal(size=(n, d))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def near_to(x, noise, seed):
+    y = x + noise * np.random.default_rng(seed).normal(size=x.shape) / np.sqrt(x.shape[-1])
+    return y / np.linalg.norm(y, axis=-1, keepdims=True)
+
+
+def built(x):
+    return hnsw_dedup.Graph.build(x.astype(np.float32), hnsw_dedup.mix64(np.arange(len(x)).astype(np.uint64)))
+
+
+def test_few_links_are_found_where_the_graph_loses_them():
+    a = unit_vectors(2000, 32, 1)
+    b = unit_vectors(1500, 32, 2)
+    b[700:710] = near_to(a[:10], 0.1, 3)  # 10 linked queries: most samples hold none
+    graph = built(a)
+    graph.layers = [np.full_like(layer, len(a)) for layer in graph.layers]  # no vertex is joined to another
+    links = hnsw_dedup.find_links(graph, a, b, 0.93)
+    assert links.sum() == 10 and links[np.arange(700, 710), np.arange(10)].all()
+
+
+def test_groups_that_the_graph_cuts_off_are_found(monkeypatch):
+    x = unit_vectors(3000, 32, 4)
+    x[1:2000:2] = near_to(x[:2000:2], 0.1, 5)
+    x[2900:2960] = near_to(np.repeat(x[2900:2901], 60, axis=0), 0.1, 6)
+    graph, group = built(x), np.arange(2900, 2960)
+    for layer in graph.layers:  # links from outside into the group go
+        others = np.setdiff1d(np.arange(len(layer)), group)
+        layer[others] = np.where(np.isin(layer[others], group), len(x), layer[others])
+    assert set(group) <= set(graph.unreached()) or graph.top[group].max() == graph.top.max()
+    monkeypatch.setattr(hnsw_dedup, "AUDIT_QUERIES", 20)
+    links = hnsw_dedup.find_links(graph, x, x, 0.93, itself=True)
+    want = x @ x.T >= 0.93
+    assert (links[group] == want[group]).all() and (links & want).sum() >= 0.99 * want.sum() and not (links & ~want).any()
+
+
+def test_own_vertices_are_no_evidence_of_recall():
+    x = unit_vectors(2000, 32, 7)
+    x[1:1200:2] = near_to(x[:1200:2], 0.1, 8)
+    graph = built(x)
+    lowest = graph.layers[0]
+    for i in range(1200):  # the links of each pair go
+        lowest[i][lowest[i] == i ^ 1] = len(x)
+    links = hnsw_dedup.find_links(graph, x, x, 0.93, itself=True)
+    assert (links & (x @ x.T >= 0.93)).sum() >= 0.98 * (x @ x.T >= 0.93).sum()
+
+
+def test_several_shards_of_a_label_match_brute_force(spark):
+    x = unit_vectors(1800, 32, 9)
+    x[:40] = near_to(x[1000:1040], 0.1, 10)  # few pairs
+    x[300:360] = near_to(np.repeat(x[300:301], 60, axis=0), 0.1, 11)  # a tight group
+    rows = [(i, [float(c) for c in v.astype(np.float32)], 0) for i, v in enumerate(x)]
+    x = np.array([v for _, v, _ in rows])
+    close = x @ x.T >= 0.93 * np.linalg.norm(x, axis=1) * np.linalg.norm(x, axis=1)[:, None]
+    np.fill_diagonal(close, False)
+    parts = components(list(range(len(x))), [(int(a), int(b)) for a, b in zip(*np.nonzero(close), strict=True)])
+    got = {r.vec_id: (r.n_links, r.component_id) for r in hnsw_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), 0.93, 700).collect()}
+    assert got == {i: (int(close[i].sum()), parts[i]) for i in parts}
