@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import ann_mih, chat_format, hnsw_dedup, html_extract, language_id, lattice_lm, minhash_dedup, mixing, packing, toxicity
+from lakestrata.llm import ann_mih, chat_format, filter_audit, hnsw_dedup, html_extract, language_id, lattice_lm, minhash_dedup, mixing, packing, toxicity
 from lakestrata.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(turns))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_ann_mih": op2_ann_mih,
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pack": op8_pack,
     "op9_language_id": op9_language_id,
     "op10_chat_format": op10_chat_format,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 #: op1 by window sums over (source, k) rows in place of arrays.
@@ -92,4 +97,41 @@ SELECT doc_id, text, lang, source, n_chars, round(mean_rate, 6) AS mean_rate, co
 FROM (SELECT d.*, c.mean_rate, unnest(range(1, c.n + 1)) AS copy_no FROM drawn d JOIN counted c USING (row_no))
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL}
+#: op11 document by document, without a matrix: flags, then every order on every set of failed filters.
+OP11_SQL = """
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), twins AS (
+  SELECT text, min(doc_id) AS least FROM texts GROUP BY text
+), marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), flagged AS (
+  SELECT part, coalesce(good, false)::INT AS good, coalesce(toxic, false)::INT AS toxic,
+    CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t.text, '[^A-Z]', '', 'g')) > 3 * length(t.text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t.text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN t.doc_id > least THEN 'E' ELSE '' END AS fails
+  FROM texts t JOIN twins w ON t.text = w.text LEFT JOIN marks m ON t.doc_id = m.doc_id
+), sets AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM flagged GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM orders
+), cells AS (
+  SELECT *, contains(fails, filter_order[step]) AS hit, translate(fails, filter_order[1:step - 1], '') <> fails AS gone FROM sets, steps
+), counted AS (
+  SELECT part, filter_order, step, filter_order[step] AS letter,
+    coalesce(sum(n) FILTER (WHERE NOT hit AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (WHERE hit AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (WHERE hit AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (WHERE fails = filter_order[step]), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE hit AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (WHERE hit AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM cells GROUP BY part, filter_order, step
+)
+SELECT * EXCLUDE letter, sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley FROM counted
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op11_filter_audit": OP11_SQL}
