@@ -44,4 +44,5 @@ def with_shard_columns(shards: DataFrame, columns: DataFrame, finish: Callable[[
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         return finish(left, right.sort_by("pos"))
 
-    return shards.groupBy("shard").cogroup(columns.groupBy("shard")).applyInArrow(run, schema)
+    columns = columns.withColumnRenamed("shard", "of_shard")
+    return shards.groupBy("shard").cogroup(columns.groupBy("of_shard")).applyInArrow(run, schema)

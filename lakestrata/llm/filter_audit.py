@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from lakestrata.llm.common import blocks, materialize
 from lakestrata.llm.csr import count_matrix, one_list, row_sums, with_shard_columns
 
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 LEAST_WORDS = 200
 LEAST_DISTINCT = 50  # per cent of the words
 MOST_CAPITALS = 3  # per cent of the code points
@@ -82,15 +82,15 @@ def local_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
         for batch, texts in blocks(batches, limit=shard_bytes):
             lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
             encoded = lists.values.dictionary_encode()
-            codes = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            rows = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
-            words = encoded.dictionary
+            codes, words = encoded.indices.to_numpy(), encoded.dictionary
+            rows = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
+            del lists, encoded
             # blanks at the ends of a text and empty texts leave an empty word
             empty = pc.index(words, "").as_py()
             if empty >= 0:
                 held = codes != empty
                 rows, codes = rows[held], codes[held]
-                codes -= codes > empty
+                codes = codes - (codes > empty)
                 words = words.filter(pc.not_equal(words, ""))
             matrix = count_matrix(rows, codes, len(texts), len(words))
             points, capitals, symbol = _text_flags(texts)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import ann_mih, chat_format, filter_audit, hnsw_dedup, html_extract, language_id, lattice_lm, minhash_dedup, mixing, packing, toxicity
+from lakestrata.llm import alignment, ann_mih, chat_format, filter_audit, hnsw_dedup, html_extract, language_id, lattice_lm, minhash_dedup, mixing, packing, toxicity
 from lakestrata.llm.common import table
 
 
@@ -62,6 +62,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_ann_mih": op2_ann_mih,
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_chat_format": op10_chat_format,
     "op11_filter_audit": op11_filter_audit,
+    "op12_align_tokens": op12_align_tokens,
 }
 
 #: op1 by window sums over (source, k) rows in place of arrays.
