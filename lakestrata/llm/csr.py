@@ -25,6 +25,20 @@ def count_matrix(rows: np.ndarray, columns: np.ndarray, n_rows: int, n_columns:
     return np.searchsorted(row, np.arange(n_rows + 1)), indices, data
 
 
+def pack(indptr: np.ndarray, indices: np.ndarray, data: np.ndarray) -> bytes:
+    """The matrix in one compressed value: row lengths, steps between columns, counts."""
+    raw = np.concatenate([[len(indptr) - 1], np.diff(indptr), np.diff(indices, prepend=0), data]).astype("<i4").tobytes()
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd").compress(raw, asbytes=True)
+
+
+def unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = pa.Codec("zstd").decompress(memoryview(packed)[8:], int.from_bytes(packed[:8], "little"))
+    values = np.frombuffer(raw, dtype="<i4")
+    rows, cells = values[1 : 1 + values[0]], values[1 + values[0] :]
+    steps, data = np.split(cells, 2)
+    return np.concatenate([[0], np.cumsum(rows)]), np.cumsum(steps), data
+
+
 def row_sums(indptr: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Sum of the values of each row (0 for empty rows)."""
     total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])

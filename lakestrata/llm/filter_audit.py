@@ -14,7 +14,7 @@ filters; all orders are worked out from these counts alone.
 Scale: texts are read once and never shuffled.  A shard's distinct words cross
 the network once by word and once back by shard, so that a frequent word counts
 once a shard; the global id of a word is its smallest occurrence number, taken
-by a window that spills.  Copies of one text share all flags but E: they are
+by a window that spills.  The shards meet their ids as packed matrices.  Copies of one text share all flags but E: they are
 added up by (digest, part, flags, labels) before the digest's smallest id is
 looked for, so that a text with a third of all rows is a handful of rows.
 What is left, a count for each part and set of failed filters, is expanded to
@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.llm.common import blocks, materialize
-from lakestrata.llm.csr import count_matrix, one_list, row_sums, with_shard_columns
+from lakestrata.llm.csr import count_matrix, one_list, pack, row_sums, unpack, with_shard_columns
 
 SHARD_BYTES = 8 << 20
 LEAST_WORDS = 200
@@ -55,8 +55,9 @@ ORDERS = ["".join(x) for x in itertools.permutations(FILTERS)]
 
 ROWS = {"doc_id": pa.int64(), "part": pa.string(), "digest": pa.binary(), "n_points": pa.int64(), "n_capitals": pa.int64(), "has_symbol": pa.bool_()}
 ROWS_DDL = "doc_id array<long>, part array<string>, digest array<binary>, n_points array<long>, n_capitals array<long>, has_symbol array<boolean>"
-CSR = {"indptr": pa.int32(), "indices": pa.int32(), "data": pa.int32()}
-CSR_DDL = "indptr array<int>, indices array<int>, data array<int>"
+SHARD_DDL = f"shard long, {ROWS_DDL}, cells binary, words array<string>"
+# a word's occurrence is numbered by partition, shard of the partition and position in the shard's dictionary
+SHARD_BITS, POS_BITS = 13, 28
 MATRIX_DDL = f"shard long, {ROWS_DDL}, indptr array<int>, indices array<long>, data array<int>"
 
 
@@ -75,10 +76,10 @@ def _text_flags(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def local_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Shards whose columns are numbered within the shard: (shard, the rows'
-    lists, indptr, indices, data, words)."""
+    lists, cells, words); ``cells`` is the packed matrix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = TaskContext.get().partitionId() << 32
+        first = shard = TaskContext.get().partitionId() << SHARD_BITS
         for batch, texts in blocks(batches, limit=shard_bytes):
             lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
             encoded = lists.values.dictionary_encode()
@@ -92,43 +93,43 @@ def local_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
                 rows, codes = rows[held], codes[held]
                 codes = codes - (codes > empty)
                 words = words.filter(pc.not_equal(words, ""))
-            matrix = count_matrix(rows, codes, len(texts), len(words))
+            if len(words) >> POS_BITS or shard - first >> SHARD_BITS:
+                raise OverflowError("too many words in a shard, or shards in a partition")
+            cells = pack(*count_matrix(rows, codes, len(texts), len(words)))
             points, capitals, symbol = _text_flags(texts)
             digest = pa.array([hashlib.sha256(x).digest() for x in texts], pa.binary())
             own = [batch.column(0), batch.column(1), digest, points, capitals, symbol]
-            out = [pa.array([shard], pa.int64())]
-            out += [one_list(x, kind) for x, kind in zip(own, ROWS.values(), strict=True)]
-            out += [one_list(x, kind) for x, kind in zip(matrix, CSR.values(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*out, one_list(words, pa.string())], names=["shard", *ROWS, *CSR, "words"])
+            out = [one_list(x, kind) for x, kind in zip(own, ROWS.values(), strict=True)]
+            out = [pa.array([shard], pa.int64()), *out, pa.array([cells], pa.binary()), one_list(words, pa.string())]
+            yield pa.RecordBatch.from_arrays(out, names=["shard", *ROWS, "cells", "words"])
             shard += 1
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, f"shard long, {ROWS_DDL}, {CSR_DDL}, words array<string>")
+    return rows.mapInArrow(run, SHARD_DDL)
 
 
 def global_dictionary(shards: DataFrame) -> DataFrame:
-    """(shard, pos, word, word_id, first) for each word of each shard: the id
-    is the same wherever the word occurs; ``first`` marks one row of each word,
-    which together are the dictionary."""
-    found = shards.select("shard", F.posexplode("words").alias("pos", "word")).withColumn("__n", F.monotonically_increasing_id())
-    least = F.min("__n").over(Window.partitionBy("word"))
-    return found.select("shard", "pos", "word", least.alias("word_id"), (least == F.col("__n")).alias("first"))
+    """(word, occurrence, word_id) for each word of each shard.  The id is the
+    smallest occurrence of the word, and so the same wherever it occurs."""
+    found = shards.select("shard", F.posexplode("words").alias("pos", "word"))
+    found = found.select("word", (F.shiftleft("shard", POS_BITS) + F.col("pos")).alias("occurrence"))
+    return found.withColumn("word_id", F.min("occurrence").over(Window.partitionBy("word")))
 
 
 def document_terms(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The document-term matrix in shards, columns being global word ids:
     (shard, the rows' lists, indptr, indices, data)."""
     shards = materialize(local_shards(docs, shard_bytes), "document-terms")
-    names = ["shard", *ROWS, "indptr", "indices", "data"]
+    columns = global_dictionary(shards).select(F.shiftright("occurrence", POS_BITS).alias("shard"), F.col("occurrence").alias("pos"), "word_id")
 
-    def finish(shard: pa.Table, words: pa.Table) -> pa.Table:
-        ids = words["word_id"].to_numpy()
-        out = {c: shard[c].combine_chunks() for c in names}
-        columns = out["indices"].flatten().to_numpy(zero_copy_only=False)
-        out["indices"] = one_list(ids[columns] if len(columns) else columns.astype(np.int64), pa.int64())
+    def finish(shard: pa.Table, columns: pa.Table) -> pa.Table:
+        ids = columns["word_id"].to_numpy()
+        indptr, indices, data = unpack(shard["cells"][0].as_py())
+        out = {c: shard[c].combine_chunks() for c in ("shard", *ROWS)}
+        out |= {"indptr": one_list(indptr, pa.int32()), "indices": one_list(ids[indices], pa.int64()), "data": one_list(data, pa.int32())}
         return pa.table(out)
 
-    return with_shard_columns(shards.drop("words"), global_dictionary(shards).select("shard", "pos", "word_id"), finish, MATRIX_DDL)
+    return with_shard_columns(shards.drop("words"), columns, finish, MATRIX_DDL)
 
 
 def document_statistics(matrix: DataFrame) -> DataFrame:

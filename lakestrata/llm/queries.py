@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import alignment, ann_mih, chat_format, filter_audit, hnsw_dedup, html_extract, language_id, lattice_lm, minhash_dedup, mixing, packing, toxicity
+from lakestrata.llm import alignment, ann_mih, chat_format, filter_audit, hnsw_dedup, html_extract, language_id, lattice_lm, minhash_dedup, mixing, packing, token_counts, toxicity
 from lakestrata.llm.common import table
 
 
@@ -66,6 +66,10 @@ def op12_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_ann_mih": op2_ann_mih,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat_format": op10_chat_format,
     "op11_filter_audit": op11_filter_audit,
     "op12_align_tokens": op12_align_tokens,
+    "op13_token_counts": op13_token_counts,
 }
 
 #: op1 by window sums over (source, k) rows in place of arrays.

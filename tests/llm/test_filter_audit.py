@@ -86,7 +86,7 @@ def test_matrix_is_globally_encoded(spark):
     shards = filter_audit.local_shards(spark.createDataFrame(rows, SCHEMA), shard_bytes=8).cache()
     assert shards.count() > 3
     words = filter_audit.global_dictionary(shards)
-    ids = {r.word: r.word_id for r in words.filter("first").collect()}
+    ids = {r.word: r.word_id for r in words.filter("occurrence = word_id").collect()}
     assert len(ids) == len(set(ids.values())) == 3
     assert all(ids[r.word] == r.word_id for r in words.collect())
     found = []
@@ -110,4 +110,6 @@ def test_count_matrix(cells):
     want = Counter(cells)
     got = {(r, int(c)): int(n) for r in range(6) for c, n in zip(indices[indptr[r] : indptr[r + 1]], data[indptr[r] : indptr[r + 1]], strict=True)}
     assert got == want
+    for x, y in zip(csr.unpack(csr.pack(indptr, indices, data)), (indptr, indices, data), strict=True):
+        assert x.tolist() == y.tolist()
     assert csr.row_sums(indptr, data).tolist() == [sum(x[0] == r for x in cells) for r in range(6)]
