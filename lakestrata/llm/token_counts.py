@@ -42,12 +42,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import BLOCK_BYTES, worker_cache
+from lakestrata.llm.common import worker_cache
 
 LIMIT = 2048
-KEPT_WORDS = 600_000
+BLOCK_CHARS = 4 << 20
+KEPT_WORDS = 900_000
 KEPT_LENGTH = 64  # code points of a word that is kept
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 1_500_000
 WINDOW = 4096  # positions of a word that are held before the oldest go
 
 END = "</w>"
@@ -76,6 +77,8 @@ class Merges:
         self.inner = {x for x in vocabulary if not x.endswith(END)}
         self.final = {x[: -len(END)]: x for x in vocabulary if x.endswith(END)}
         self.longest = max(map(len, [*self.inner, *self.final]))
+        #: text -> (token that goes on, token that ends the word), None where there is none
+        self.tokens = {x: (x if x in self.inner else None, self.final.get(x)) for x in self.inner | self.final.keys()}
         self.made: dict[str, tuple[int, str, str] | None] = {}
         self.known: dict[tuple[str, str], bool] = {}
 
@@ -163,11 +166,6 @@ class Word:
                 return self.counts[at] + 1
         raise ValueError(f"no token ends {text[-20:]!r}")
 
-    def cut(self, end: int) -> None:
-        """Back to the first ``end`` symbols."""
-        self.text = self.text[:end]
-        del self.counts[end + 1 :], self.last[end + 1 :]
-
     def trim(self) -> None:
         """Forgets all but the window that a token can reach."""
         if len(self.text) > WINDOW:
@@ -274,17 +272,42 @@ class PrefixCounter:
     def learn_plain(self, words: set[str]) -> None:
         """Keeps the steps of words of lower-case Latin letters.  In order, so
         that what a word shares with the one before it is not done again."""
-        held, ends, counts, before = Word(self.merges), [0], [0], ""
+        tokens, known, follows, longest = self.merges.tokens, self.merges.known, self.merges.follows, self.merges.longest
+        text, counts, last = "", [0], [""]  # by symbol
+        ends, steps, count = [0], [0], [0]  # by letter: symbols up to it, step to its count, its count
+        before = ""
         for word in sorted(words):
             same = len(os.path.commonprefix((before, word)))
-            held.cut(ends[same])
-            del ends[same + 1 :], counts[same + 1 :]
-            for char in word[same:]:
-                held.push(self.symbols(char))
-                ends.append(len(held.text))
-                counts.append(held.ended())
+            text = text[: ends[same]]
+            del counts[len(text) + 1 :], last[len(text) + 1 :], ends[same + 1 :], steps[same + 1 :], count[same + 1 :]
+            for letter in word[same:]:
+                for symbol in self.symbols(letter):
+                    text += symbol
+                    end = len(text)
+                    inner = final = 0
+                    # the longest tokens that end here come first; one can go on, one can end the word
+                    for at in range(end - longest if end > longest else 0, end):
+                        found = tokens.get(text[at:])
+                        if found is None:
+                            continue
+                        go_on, stop = found
+                        if not inner and go_on:
+                            fits = known.get((last[at], go_on))
+                            if follows(last[at], go_on) if fits is None else fits:
+                                inner, token = counts[at] + 1, go_on
+                        if not final and stop:
+                            fits = known.get((last[at], stop))
+                            if follows(last[at], stop) if fits is None else fits:
+                                final = counts[at] + 1
+                        if inner and final:
+                            break
+                    counts.append(inner)
+                    last.append(token)
+                ends.append(end)
+                steps.append(final - count[-1])
+                count.append(final)
             before = word
-            self.plain[word] = array("i", [b - a for a, b in zip(counts, counts[1:], strict=False)]).tobytes()
+            self.plain[word] = array("i", steps[1:]).tobytes()
 
     def _read(self, reader: Reader, raw: str) -> Iterator[int]:
         """Counts after each code point of a text without special tokens."""
@@ -339,7 +362,7 @@ class PrefixCounter:
         found = [known.get(x) or large[x] for x in pieces] if large else list(map(known.__getitem__, pieces))
         return np.frombuffer(b"".join(found), dtype="<i4")
 
-    def prefix_counts(self, texts: list[str], block: int = BLOCK_BYTES) -> Iterator[tuple[int, np.ndarray]]:
+    def prefix_counts(self, texts: list[str], block: int = BLOCK_CHARS) -> Iterator[tuple[int, np.ndarray]]:
         """(text number, its next ``counts``) for the texts in order, the first
         code point's first: a long text comes in pieces, an empty one not."""
         waiting: list[int] = []
@@ -389,7 +412,7 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def count_tokens(docs: DataFrame, limit: int = LIMIT, vocabulary: str | None = None, block: int = BLOCK_BYTES) -> DataFrame:
+def count_tokens(docs: DataFrame, limit: int = LIMIT, vocabulary: str | None = None, block: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit, fitting_chars): the count of the
     whole text, and the code points of its longest prefix with at most
     ``limit`` tokens."""
