@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from lakestrata.llm.common import blocks, materialize
 from lakestrata.llm.csr import count_matrix, one_list, pack, row_sums, unpack, with_shard_columns
 
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 LEAST_WORDS = 200
 LEAST_DISTINCT = 50  # per cent of the words
 MOST_CAPITALS = 3  # per cent of the code points
@@ -116,36 +116,41 @@ def global_dictionary(shards: DataFrame) -> DataFrame:
     return found.withColumn("word_id", F.min("occurrence").over(Window.partitionBy("word")))
 
 
-def document_terms(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """The document-term matrix in shards, columns being global word ids:
-    (shard, the rows' lists, indptr, indices, data)."""
+def _encoded(docs: DataFrame, finish: Callable[[dict, tuple], dict], ddl: str, shard_bytes: int) -> DataFrame:
+    """``finish(the rows' lists, the matrix by global word ids)`` of each shard."""
     shards = materialize(local_shards(docs, shard_bytes), "document-terms")
     columns = global_dictionary(shards).select(F.shiftright("occurrence", POS_BITS).alias("shard"), F.col("occurrence").alias("pos"), "word_id")
 
-    def finish(shard: pa.Table, columns: pa.Table) -> pa.Table:
-        ids = columns["word_id"].to_numpy()
+    def run(shard: pa.Table, columns: pa.Table) -> pa.Table:
         indptr, indices, data = unpack(shard["cells"][0].as_py())
-        out = {c: shard[c].combine_chunks() for c in ("shard", *ROWS)}
-        out |= {"indptr": one_list(indptr, pa.int32()), "indices": one_list(ids[indices], pa.int64()), "data": one_list(data, pa.int32())}
-        return pa.table(out)
+        rows = {c: shard[c].combine_chunks() for c in ("shard", *ROWS)}
+        return pa.table(finish(rows, (indptr, columns["word_id"].to_numpy()[indices], data)))
 
-    return with_shard_columns(shards.drop("words"), columns, finish, MATRIX_DDL)
+    return with_shard_columns(shards.drop("words"), columns, run, ddl)
 
 
-def document_statistics(matrix: DataFrame) -> DataFrame:
+def document_terms(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """The document-term matrix in shards, columns being global word ids:
+    (shard, the rows' lists, indptr, indices, data)."""
+
+    def finish(rows: dict, matrix: tuple) -> dict:
+        kinds = {"indptr": pa.int32(), "indices": pa.int64(), "data": pa.int32()}
+        return rows | {c: one_list(x, kind) for x, (c, kind) in zip(matrix, kinds.items(), strict=True)}
+
+    return _encoded(docs, finish, MATRIX_DDL, shard_bytes)
+
+
+def document_statistics(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, part, digest, n_points, n_capitals, has_symbol, n_words,
-    n_distinct) of each row of the matrix."""
+    n_distinct) of each document, from the rows of the matrix."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {c: batch.column(k)[i].values for k, c in enumerate(batch.schema.names)}
-                indptr = row["indptr"].to_numpy()
-                out = [row[c] for c in ROWS] + [pa.array(row_sums(indptr, row["data"].to_numpy())), pa.array(np.diff(indptr).astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(out, names=[*ROWS, "n_words", "n_distinct"])
+    def finish(rows: dict, matrix: tuple) -> dict:
+        indptr, _, data = matrix
+        out = {c: rows[c].flatten() for c in ROWS}
+        return out | {"n_words": row_sums(indptr, data), "n_distinct": np.diff(indptr).astype(np.int64)}
 
     ddl = "doc_id long, part string, digest binary, n_points long, n_capitals long, has_symbol boolean, n_words long, n_distinct long"
-    return matrix.select(*ROWS, "indptr", "data").mapInArrow(run, ddl)
+    return _encoded(docs, finish, ddl, shard_bytes)
 
 
 def _bit(letter: str) -> int:
@@ -159,7 +164,7 @@ def _bits(letters: Column) -> Column:
 def failed_sets(docs: DataFrame, labels: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(part, failed, n, good, toxic): documents by part and set of failed
     filters (bits of ``failed``, A being 1)."""
-    rows = document_statistics(document_terms(docs, shard_bytes))
+    rows = document_statistics(docs, shard_bytes)
     fails = {
         "A": F.col("n_words") < LEAST_WORDS,
         "B": 100 * F.col("n_distinct") < LEAST_DISTINCT * F.col("n_words"),
