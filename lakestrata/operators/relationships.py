@@ -1,8 +1,9 @@
 """Referential checks between silver tables (FK orphan counts).
 
-Plan: all checks of a report run as ONE keyed aggregation (see
-:func:`orphan_counts`): a NULL child key never meets a parent key, which is
-the "counted as orphan" behaviour; checks that exclude NULLs filter them
+All checks of a report take two passes (see :func:`orphan_counts`): one narrow
+keyed aggregation finds the keys without a parent, and only the children that
+hold such keys are counted.  A NULL child key never meets a parent key, which
+is the "counted as orphan" behaviour; checks that exclude NULLs filter them
 first.
 """
 
@@ -11,9 +12,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakestrata.session import scratch_path
+
 
 @dataclass(frozen=True)
 class FkCheck:
@@ -53,6 +56,9 @@ SILVER_FK_CHECKS = [
     FkCheck("interest_rates", "card_id", "credit_cards", "card_id"),
 ]
 
+#: Orphaned keys that may be broadcast (they are counted first); more are joined by shuffle.
+BROADCAST_KEYS = 500_000
+
 
 def declared_checks() -> list[FkCheck]:
     """One check per declared relationship; a NULL key is an orphan unless
@@ -62,75 +68,88 @@ def declared_checks() -> list[FkCheck]:
     return [FkCheck(c, fk, p, pk, "nullable" in card, card) for c, fk, p, pk, card in RELATIONSHIPS]
 
 
-def key_group_counts(m, checks: list[FkCheck]):
-    """Per key domain ``(parent table, key column)``: orphaned child rows of
-    every check, from ONE keyed aggregation.
+@dataclass(frozen=True)
+class Use:
+    """A column of a table that holds keys of a group: a parent's, or a check's."""
+
+    group: int
+    column: str
+    mark: int
+    nulls: bool
+
+
+def _key_rows(m, uses: dict[str, list[Use]]) -> DataFrame:
+    """(group, key, mark) rows of all uses; each table is scanned once."""
+
+    def entry(u: Use) -> Column:
+        return F.struct(
+            F.lit(u.group).alias("_g"), F.col(u.column).cast("string").alias("_k"),
+            F.lit(u.mark).cast("long").alias("_mark"), F.lit(u.nulls).alias("_nulls"),
+        )
+
+    rows = [m.silver(t).select(F.inline(F.array(*map(entry, of_table)))) for t, of_table in uses.items()]
+    return reduce(DataFrame.unionByName, rows).where("_k IS NOT NULL OR _nulls").drop("_nulls")
 
-    Child FK values and parent keys are unioned as ``(group, key, slot)`` rows
-    (each parent's keys once, however many checks point at it) and grouped by
-    ``(group, key)``.
-    Each check owns a counter *slot within its parent group*, so a shuffled
-    key row is only as wide as the largest group, not the number of checks.
-    Partial aggregation runs map-side, so hot or NULL keys cost one row per
-    task.  A key is orphaned when no parent row fell into it (NULL keys never
-    match).
 
-    Returns ``(per_group, gid, slot, width)``: ``per_group`` has ``_g`` and
-    one ``_o<slot>`` orphan count per slot."""
+def key_groups(checks: list[FkCheck]) -> dict[tuple[str, str], list[int]]:
+    """Numbers of the checks that point at each (parent, key)."""
     groups: dict[tuple[str, str], list[int]] = {}
     for i, c in enumerate(checks):
         groups.setdefault((c.parent, c.pk), []).append(i)
-    gid = {g: n for n, g in enumerate(groups)}
-    slot = {i: s for members in groups.values() for s, i in enumerate(members)}
-    width = max(len(v) for v in groups.values())
-
-    rows = []
-    for (parent, pk), g in gid.items():
-        rows.append(
-            m.silver(parent).select(F.lit(g).alias("_g"), F.col(pk).cast("string").alias("_k"), F.lit(-1).alias("_s"))
-            .where(F.col("_k").isNotNull())
-        )
-    for i, c in enumerate(checks):
-        ch = m.silver(c.child).select(
-            F.lit(gid[(c.parent, c.pk)]).alias("_g"), F.col(c.fk).cast("string").alias("_k"), F.lit(slot[i]).alias("_s")
-        )
-        rows.append(ch.where(F.col("_k").isNotNull()) if c.skip_null else ch)
-    per_key = reduce(DataFrame.unionByName, rows).groupBy("_g", "_k").agg(
-        F.count_if(F.col("_s") == -1).alias("_hp"),
-        *[F.count_if(F.col("_s") == s).alias(f"_n{s}") for s in range(width)],
-    )
-    orphan = F.col("_hp") == 0
-    per_group = per_key.groupBy("_g").agg(
-        *[F.sum(F.when(orphan, F.col(f"_n{s}")).otherwise(F.lit(0))).alias(f"_o{s}") for s in range(width)],
-    )
-    return per_group, gid, slot, width
+    return groups
 
 
-def orphan_rows(m, per_group: DataFrame, checks: list[FkCheck], gid, slot, width: int) -> DataFrame:
-    """``(check metadata…, orphaned_count)`` for every check, 0 included."""
-    per_slot = per_group.selectExpr(
-        "_g", f"stack({width}, {', '.join(f'{s}, _o{s}' for s in range(width))}) AS (_s, _orphans)"
-    )
-    meta = m.spark.createDataFrame(
-        [(i, gid[(c.parent, c.pk)], slot[i], f"silver_{c.child}", c.fk, f"silver_{c.parent}", c.pk, c.skip_null,
-          c.cardinality) for i, c in enumerate(checks)],
-        "_i int, _g int, _s int, child_table string, fk_column string, parent_table string, pk_column string, "
-        "skip_null boolean, cardinality string",
-    )
-    return (
-        meta.join(F.broadcast(per_slot), ["_g", "_s"], "left")
-        .select(
-            "child_table", "fk_column", "parent_table", "pk_column", "skip_null", "cardinality",
-            F.coalesce(F.col("_orphans"), F.lit(0)).cast("bigint").alias("orphaned_count"),
-        )
-    )
+def orphaned_keys(m, checks: list[FkCheck]) -> DataFrame:
+    """(_g, _k, _mask): keys without a parent, and which checks' children hold
+    them: bit ``1 + s`` for the ``s``-th check of the group.
+
+    Parents mark a key with bit 0 and children with their own bit; ``bit_or``
+    merges them map-side, so that a shuffled row is (group, key, mask) however
+    many checks a group has, and a hot or NULL key is one row for each task."""
+    uses: dict[str, list[Use]] = {}
+    for g, ((parent, pk), members) in enumerate(key_groups(checks).items()):
+        uses.setdefault(parent, []).append(Use(g, pk, 1, False))
+        for s, i in enumerate(members):
+            uses.setdefault(checks[i].child, []).append(Use(g, checks[i].fk, 2 << s, not checks[i].skip_null))
+    masks = _key_rows(m, uses).groupBy("_g", "_k").agg(F.bit_or("_mark").alias("_mask"))
+    return masks.where(F.col("_mask").bitwiseAND(1) == 0)
 
 
 def orphan_counts(m, checks: list[FkCheck]) -> DataFrame:
-    """``(check metadata…, orphaned_count)`` for every check, 0 included: one
-    shuffle for all checks (:func:`key_group_counts`)."""
-    per_group, gid, slot, width = key_group_counts(m, checks)
-    return orphan_rows(m, per_group, checks, gid, slot, width)
+    """``(check metadata…, orphaned_count)`` for every check, 0 included.
+
+    The orphaned keys are written to the shared scratch folder.  What is
+    collected of them is a row for each key group; the checks named there, and
+    no others, have their children scanned again to count rows."""
+    path = scratch_path(m.spark, "orphans")
+    orphaned_keys(m, checks).write.parquet(path)
+    orphans = m.spark.read.parquet(path)
+    held = {r["_g"]: r for r in orphans.groupBy("_g").agg(F.bit_or("_mask").alias("mask"), F.count("*").alias("n")).collect()}
+    uses: dict[str, list[Use]] = {}
+    for g, members in enumerate(key_groups(checks).values()):
+        for s, i in enumerate(members):
+            if g in held and held[g]["mask"] & (2 << s):
+                uses.setdefault(checks[i].child, []).append(Use(g, checks[i].fk, i, not checks[i].skip_null))
+    meta = m.spark.createDataFrame(
+        [(i, f"silver_{c.child}", c.fk, f"silver_{c.parent}", c.pk, c.skip_null, c.cardinality) for i, c in enumerate(checks)],
+        "_mark long, child_table string, fk_column string, parent_table string, pk_column string, skip_null boolean, cardinality string",
+    )
+    if uses:
+        rows = _key_rows(m, uses)
+        keys = orphans.select(F.col("_g").alias("_og"), F.col("_k").alias("_ok"))
+        same = (F.col("_g") == F.col("_og")) & F.col("_k").eqNullSafe(F.col("_ok"))
+        if sum(r["n"] for r in held.values()) <= BROADCAST_KEYS:
+            counts = rows.join(F.broadcast(keys), same, "left_semi").groupBy("_mark").agg(F.count("*").alias("_orphans"))
+        else:
+            rows = rows.groupBy("_g", "_k", "_mark").agg(F.count("*").alias("_n"))
+            counts = rows.join(keys, same, "left_semi").groupBy("_mark").agg(F.sum("_n").alias("_orphans"))
+        meta = meta.join(F.broadcast(counts), "_mark", "left")
+    else:
+        meta = meta.withColumn("_orphans", F.lit(0))
+    return meta.select(
+        "child_table", "fk_column", "parent_table", "pk_column", "skip_null", "cardinality",
+        F.coalesce(F.col("_orphans"), F.lit(0)).cast("bigint").alias("orphaned_count"),
+    )
 
 
 def _report(counts: DataFrame, ctx, extra: list[str]) -> DataFrame:

@@ -55,6 +55,16 @@ def test_orphans_null_counted_or_excluded(medallion):
     assert rep["silver_fraud_alerts"] == (1, "FAIL") and rep["silver_accounts"] == (0, "PASS")
 
 
+def test_many_orphans_are_joined_by_shuffle(medallion, monkeypatch):
+    rows = {"customers": [dict(customer_id="C1")], "accounts": [dict(account_id=f"A{i}", customer_id=f"C{i % 3}" if i else None) for i in range(20)],
+            "addresses": [dict(address_id="D1", customer_id="C1")]}
+    checks = [FkCheck(t, "customer_id", "customers", "customer_id", skip) for t, skip in (("accounts", False), ("accounts", True), ("addresses", False))]
+    got = [[r["orphaned_count"] for r in orphan_counts(medallion(rows), checks).orderBy("child_table", "skip_null").collect()]]
+    monkeypatch.setattr("lakestrata.operators.relationships.BROADCAST_KEYS", 0)
+    got.append([r["orphaned_count"] for r in orphan_counts(medallion(rows), checks).orderBy("child_table", "skip_null").collect()])
+    assert got == [[13, 12, 0]] * 2
+
+
 def test_reconciliation_null_key_missing_and_duplicate(medallion):
     m = medallion({"customers": [dict(customer_id="C1"), dict(customer_id="C1"), dict(customer_id=None)]})
     r = reconciliation_rows(m, ["customers"], []).first()
