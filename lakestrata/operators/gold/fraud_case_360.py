@@ -43,7 +43,7 @@ def g5c_chargeback_flag(m) -> DataFrame:
 def g5d_velocity_agg(m) -> DataFrame:
     return m.silver("velocity_hits").groupBy("transaction_id").agg(
         F.count("hit_id").alias("velocity_hit_count"),
-        string_agg_distinct(F.col("action_taken")).alias("velocity_actions"),
+        string_agg_distinct("action_taken").alias("velocity_actions"),
     )
 
 

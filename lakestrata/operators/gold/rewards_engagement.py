@@ -19,7 +19,7 @@ def g6b_redemption_agg(m) -> DataFrame:
         F.max("redeemed_date").alias("last_redemption_date"),
         count_if(F.col("status") == "Processed").alias("successful_redemptions"),
         count_if(F.col("status") == "Failed").alias("failed_redemptions"),
-        string_agg_distinct(F.col("redemption_type")).alias("redemption_types_used"),
+        string_agg_distinct("redemption_type").alias("redemption_types_used"),
     )
 
 

@@ -3,8 +3,8 @@
 Plan: the three per-transaction flag sets are pre-aggregated by
 ``transaction_id`` (map-side partial aggregation, so a hot key collapses to
 one row before the shuffle) and joined at transaction grain; the card join is
-inner (transactions on unknown cards drop out); merchant / type / MCC lookups
-are broadcast when their size check passes.
+inner (transactions on unknown cards drop out); whether the merchant, type and
+MCC lookups are broadcast is the planner's choice.
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ def build(m) -> DataFrame:
         F.col("mcc_code").alias("transaction_mcc_code"), "category_name", "category_group"
     )
     # Flags first (transaction grain, NULL ids bypass the shuffle), then one
-    # card join over the combined rows, then broadcast lookups.
+    # card join over the combined rows, then the lookups.
     flagged = left_join_on_key(t, "transaction_id", [g2b_fraud_flag(m), g2c_dispute_flag(m), g2d_velocity_flag(m)])
     j = (
         flagged.join(cards, "card_id", "inner")

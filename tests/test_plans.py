@@ -8,7 +8,7 @@ from lakestrata.operators.gold import CTE_BUILDERS
 from lakestrata.operators.gold.customer_360 import g1a_primary_address
 from lakestrata.operators.quality import gold_data_quality_report
 from lakestrata.operators.reconcile import medallion_reconciliation_report
-from lakestrata.operators.relationships import silver_relationship_dq_results
+from lakestrata.operators.relationships import SILVER_FK_CHECKS, declared_checks, orphaned_keys
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
@@ -53,11 +53,29 @@ def test_top1_is_an_aggregate_not_a_window(m):
     assert "Window" not in p and "Aggregate" in p
 
 
-def test_fk_report_is_one_keyed_shuffle(m):
-    ex = hash_exchanges(plan(silver_relationship_dq_results(m)))
-    keyed = [e for e in ex if "_k" in e]
-    # one shuffle of key rows for all checks; the rest only moves per-group totals
-    assert len(keyed) == 1 and "_g" in keyed[0], ex
+def test_fk_report_shuffles_group_key_and_mask(m):
+    for checks in (SILVER_FK_CHECKS, declared_checks()):
+        df = orphaned_keys(m, checks)
+        assert df.columns == ["_g", "_k", "_mask"]
+        # one shuffle of key rows for all checks; a table that holds several keys is scanned once
+        ex = hash_exchanges(plan(df))
+        assert len(ex) == 1 and ex[0].startswith("_g") and "_k" in ex[0], ex
+
+
+def test_account_summary_bridges_all_children_once(m, spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(m.gold("gold_account_financial_summary"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert p.count("Exchange") <= 15 and p.count("SortMergeJoin") <= 5, p
+
+
+def test_distinct_strings_are_made_distinct_before_they_meet(m):
+    p = plan(CTE_BUILDERS["g5d_velocity_agg"](m))
+    assert "collect_set" not in p and "listagg" in p and "Expand" not in p
+    assert any("action_taken" in e for e in hash_exchanges(p)), p
 
 
 def test_reconciliation_is_one_keyed_shuffle(m):
