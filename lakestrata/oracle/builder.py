@@ -35,9 +35,13 @@ def cast(x: str, label: str) -> str:
         return f"CASE WHEN regexp_full_match({x}, '[0-9]{{4}}(-[0-9][0-9]?){{2}}') THEN TRY_CAST({x} AS DATE) END"
     if label == "TIMESTAMP":
         day, time = "[0-9]{4}(-[0-9][0-9]?){2}", "[0-9][0-9]?:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?"
-        minutes = f"({x}[-6] || '1')::INT * (60 * {x}[-5:-4]::INT + {x}[-2:]::INT)"
-        ahead = f"WHEN regexp_full_match({x}, '{day}[ T]{time}[-+][0-9]{{2}}:[0-9]{{2}}') THEN TRY_CAST({x}[:-7] AS TIMESTAMP) - to_minutes({minutes})"
-        return f"CASE {ahead} WHEN regexp_full_match({x}, '{day}([ T]{time}( ?(Z|UTC))?)?') THEN TRY_CAST({x} AS TIMESTAMP) END"
+        part = lambda k: f"regexp_extract({x}, '^({day}[ T]{time}) ?([-+])?([0-9]{{1,2}}|[A-Z][A-Za-z_/+-]+)?:?([0-9]{{2}})?$', {k})"
+        local, sign, hours, rest = part(1), part(5), part(6), part(7)
+        minutes = f"TRY_CAST({sign} || '1' AS INT) * (60 * TRY_CAST({hours} AS INT) + coalesce(TRY_CAST({rest} AS INT), 0))"
+        ahead = f"WHEN regexp_full_match({x}, '{day}[ T]{time}[-+]([0-9]{{1,2}}(:[0-9]{{2}})?|[0-9]{{4}})') THEN TRY_CAST({local} AS TIMESTAMP) - to_minutes({minutes})"
+        known = f"{hours} IN (SELECT name FROM pg_timezone_names())"
+        region = f"WHEN regexp_full_match({x}, '{day}[ T]{time} [A-Z][A-Za-z_]+(/[A-Z][A-Za-z_+-]+)+') THEN CASE WHEN {known} THEN timezone('UTC', timezone({hours}, TRY_CAST({local} AS TIMESTAMP))) END"
+        return f"CASE {ahead} {region} WHEN regexp_full_match({x}, '{day}([ T]{time}( ?(Z|UTC))?)?') THEN TRY_CAST({x} AS TIMESTAMP) END"
     words = "'nan', 'inf', 'infinity', '+nan', '-nan', '+inf', '-inf', '+infinity', '-infinity'"
     number = "[-+]?([0-9]+[.]?[0-9]*|[.][0-9]+)(e[-+]?[0-9]+)?"
     return f"CASE WHEN lower(trim({x})) IN ({words}) OR regexp_full_match(lower(trim({x})), '{number}') THEN TRY_CAST(trim({x}) AS DOUBLE) END"

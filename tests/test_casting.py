@@ -58,6 +58,9 @@ def test_double_to_int_rounds_half_away_from_zero(spark):
 @pytest.mark.parametrize(("text", "want"), [
     ("2024-01-15T10:00:00Z", "2024-01-15 10:00:00"), ("2024-01-15 10:00:00+02:00", "2024-01-15 08:00:00"),
     ("2024-01-15 10:00:00-05:30", "2024-01-15 15:30:00"), ("2024-01-15 10:00:00 UTC", "2024-01-15 10:00:00"), ("2024-01-15 10:00:00 here", None),
+    ("2024-01-15 10:00:00+02", "2024-01-15 08:00:00"), ("2024-01-15 10:00:00-0330", "2024-01-15 13:30:00"), ("2024-01-15 10:00:00+2:00", "2024-01-15 08:00:00"),
+    ("2024-01-15 10:00:00-7", "2024-01-15 17:00:00"), ("2024-07-15 10:00:00 Europe/London", "2024-07-15 09:00:00"), ("2024-01-15 10:00 America/New_York", "2024-01-15 15:00:00"),
+    ("2024-01-15 10:00:00.5 America/Argentina/Buenos_Aires", "2024-01-15 13:00:00.5"), ("2024-01-15 10:00:00 Nowhere/City", None), ("2024-01-15 10:00:00+25:00", None), ("2024-01-15+02", None),
 ])
 def test_zoned_timestamps_become_utc(spark, text, want):
     got = spark.createDataFrame([(text,)], "x string").select(F.expr(safe_cast_sql("x", "TIMESTAMP")).cast("string").alias("y")).first()["y"]
