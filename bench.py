@@ -26,10 +26,10 @@ from lakestrata.operators.reconcile import medallion_reconciliation_report  # no
 from lakestrata.operators.relationships import fk_orphans_declared, silver_relationship_dq_results  # noqa: E402
 from lakestrata.plans.medallion import GOLD_ENTITIES, Medallion  # noqa: E402
 from lakestrata.plans.parallel import run_all  # noqa: E402
-from lakestrata.plans.sinks import PARTITIONED_GOLD, write_layer_table, write_partitioned  # noqa: E402
+from lakestrata.plans.sinks import PARTITIONED_GOLD, read_written, write_layer_table, write_partitioned  # noqa: E402
 from lakestrata.session import ensure_checkpoint_dir, local_session  # noqa: E402
 from lakestrata.sources.fixture_sql import BRONZE  # noqa: E402
-from lakestrata.sources.layers import ParquetBronze, layer_path  # noqa: E402
+from lakestrata.sources.layers import ParquetBronze  # noqa: E402
 from lakestrata.sources.testdata import TestdataBronze  # noqa: E402
 from lakestrata.specs import SPECS  # noqa: E402
 
@@ -69,12 +69,11 @@ def main() -> None:
 
     timed("silver_build_26", silver_build)
     for t in SPECS:
-        m.use_table(f"silver_{t}", spark.read.parquet(layer_path(root, f"silver_{t}")))
+        m.use_table(f"silver_{t}", read_written(spark, root, f"silver_{t}"))
 
     timed("silver_relationship_dq_results", lambda: write_layer_table(
         silver_relationship_dq_results(m), root, "silver_relationship_dq_results"))
-    m.use_table("silver_relationship_dq_results",
-                spark.read.parquet(layer_path(root, "silver_relationship_dq_results")))
+    m.use_table("silver_relationship_dq_results", read_written(spark, root, "silver_relationship_dq_results"))
     timed("fk_orphans_declared", lambda: fk_orphans_declared(m).collect())
     for g in GOLD_ENTITIES:
         def build_gold(g=g) -> None:
@@ -86,7 +85,7 @@ def main() -> None:
 
         timed(g, build_gold)
     for g in GOLD_ENTITIES:
-        m.use_table(g, spark.read.parquet(layer_path(root, g)))
+        m.use_table(g, read_written(spark, root, g))
     timed("gold_data_quality_report", lambda: gold_data_quality_report(m).collect())
     timed("medallion_reconciliation_report", lambda: medallion_reconciliation_report(m).collect())
     timed("silver_schema_tests", lambda: assertions.schema_test_results(

@@ -123,6 +123,9 @@ def register_ops(r: Registry) -> None:
     r.add("assert_reconciliation_clean", "SELECT * EXCLUDE (reconciliation_ts) " + failing.format("medallion_reconciliation_report", "reconciliation_status"))
     r.add("assert_no_fk_orphans", "SELECT child_table, fk_column, parent_table, pk_column, orphaned_count, fk_status " + failing.format("silver_relationship_dq_results", "fk_status"))
     r.add("write_layer_table", "FROM silver_accounts")
-    r.add("write_partitioned", "FROM gold_transaction_360 WHERE transaction_date BETWEEN DATE '1996-03-15' AND DATE '1997-01-20'")
+    r.add("bronze_source", "FROM transactions")
+    r.add("write_partitioned", "FROM gold_transaction_360")
+    r.add("write_partitioned_accounts", "FROM gold_account_financial_summary")
+    r.add("partitioned_date_range", "FROM gold_transaction_360 WHERE transaction_date BETWEEN DATE '1996-03-15' AND DATE '1997-01-20'")
     routed = (("accounts", "bronze"), ("silver_accounts", "silver"), ("gold_merchant_performance", "gold"), ("gold_data_quality_report", "ops"))
     r.add("layer_routing", union([f"SELECT '{t}' AS table_name, '{layer}' AS layer, {rows_of(t)} AS row_count" for t, layer in routed]))

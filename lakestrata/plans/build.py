@@ -17,8 +17,9 @@ from lakestrata.operators.reconcile import medallion_reconciliation_report
 from lakestrata.operators.relationships import silver_relationship_dq_results
 from lakestrata.plans.medallion import GOLD_ENTITIES, Medallion
 from lakestrata.plans.parallel import run_all
-from lakestrata.plans.sinks import PARTITIONED_GOLD, write_layer_table, write_partitioned
-from lakestrata.sources.layers import layer_path
+from lakestrata.plans.metrics import dq_summary_of, observed
+from lakestrata.plans.sinks import PARTITIONED_GOLD, read_written, write_layer_table, write_partitioned
+from lakestrata.sources.layers import read_layer_table
 from lakestrata.specs import SPECS
 
 
@@ -50,7 +51,7 @@ def build_all(
 
     def keep(name: str, path: str) -> None:
         written[name] = path
-        m.use_table(name, spark.read.parquet(path))
+        m.use_table(name, read_written(spark, root, name))
 
     def write_gold(g: str) -> str:
         if g in PARTITIONED_GOLD:
@@ -62,13 +63,16 @@ def build_all(
         if n := rows.count():
             failures[name] = n
 
-    silver = {f"silver_{t}": (lambda t=t: write_layer_table(m.silver(t), root, f"silver_{t}")) for t in SPECS}
+    # error codes are counted while the tables are written
+    watched = {t: observed(m.silver(t), SPECS[t]) for t in SPECS}
+    silver = {f"silver_{t}": (lambda t=t: write_layer_table(watched[t].rows, root, f"silver_{t}")) for t in SPECS}
     for name, path in run_all(silver, threads).items():
         keep(name, path)
+    written["silver_dq_summary"] = write_layer_table(dq_summary_of(spark, watched), root, "silver_dq_summary")
     keep("silver_relationship_dq_results", write_layer_table(silver_relationship_dq_results(m), root, "silver_relationship_dq_results"))
     if run_tests:
         failures |= _failing_tests(m, [*silver, "silver_relationship_dq_results"])
-        check("assert_no_fk_orphans", assertions.assert_no_fk_orphans(spark.read.parquet(written["silver_relationship_dq_results"])))
+        check("assert_no_fk_orphans", assertions.assert_no_fk_orphans(m.silver("silver_relationship_dq_results")))
 
     for g, path in run_all({g: (lambda g=g: write_gold(g)) for g in GOLD_ENTITIES}, threads).items():
         keep(g, path)
@@ -79,9 +83,9 @@ def build_all(
     reconciliation = write_layer_table(medallion_reconciliation_report(m), root, "medallion_reconciliation_report", "ops")
     written |= {"gold_data_quality_report": quality, "medallion_reconciliation_report": reconciliation}
     if run_tests:
-        check("assert_gold_dq_no_critical", assertions.assert_gold_dq_no_critical(spark.read.parquet(quality)))
-        check("assert_reconciliation_clean", assertions.assert_reconciliation_clean(spark.read.parquet(reconciliation)))
+        check("assert_gold_dq_no_critical", assertions.assert_gold_dq_no_critical(read_layer_table(spark, root, "gold_data_quality_report")))
+        check("assert_reconciliation_clean", assertions.assert_reconciliation_clean(read_layer_table(spark, root, "medallion_reconciliation_report")))
     return Build(written, failures)
 
 
-__all__ = ["Build", "build_all", "layer_path"]
+__all__ = ["Build", "build_all"]

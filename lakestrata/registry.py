@@ -18,9 +18,10 @@ from lakestrata.operators.reconcile import medallion_reconciliation_report
 from lakestrata.operators.relationships import fk_orphans_declared, silver_relationship_dq_results
 from lakestrata.operators.silver import dq_summary
 from lakestrata.plans.medallion import Medallion
-from lakestrata.plans.sinks import PARTITIONED_GOLD, read_partitioned, write_layer_table, write_partitioned
+from lakestrata.plans.sinks import PARTITIONED_GOLD, open_partitioned, open_table, read_partitioned, write_layer_table, write_partitioned
 from lakestrata.session import apply_engine_conf, scratch_path
 from lakestrata.sources.fixture_sql import DRIVER_TABLES
+from lakestrata.sources.layers import ParquetBronze
 from lakestrata.sources.testdata import TestdataBronze
 from lakestrata.specs import SPECS
 
@@ -93,15 +94,39 @@ DATES = (dt.date(1996, 3, 15), dt.date(1997, 1, 20))
 
 def _written_layer_table(m: Medallion) -> DataFrame:
     """A silver table, written and read back."""
-    return m.spark.read.parquet(write_layer_table(m.silver("accounts"), scratch_path(m.spark, "sink"), "silver_accounts"))
+    root = scratch_path(m.spark, "sink")
+    write_layer_table(m.silver("accounts"), root, "silver_accounts")
+    return open_table(m.spark, root, "silver_accounts")
+
+
+def _bronze_source(m: Medallion) -> DataFrame:
+    """A bronze table as the production provider reads it, from its layer's folder."""
+    root = scratch_path(m.spark, "sink")
+    write_layer_table(m.bronze("transactions"), root, "transactions", "bronze")
+    return ParquetBronze(m.spark, root).table("transactions")
 
 
-def _written_partitioned(m: Medallion) -> DataFrame:
-    """The partitioned fact table, written, and a range of dates read back."""
-    root, table = scratch_path(m.spark, "sink"), "gold_transaction_360"
+def _partitioned(m: Medallion, table: str) -> str:
+    root = scratch_path(m.spark, "sink")
     date_col, cluster = PARTITIONED_GOLD[table]
     write_partitioned(m.gold(table), root, table, date_col, cluster)
-    return read_partitioned(m.spark, root, table, date_col, *DATES)
+    return root
+
+
+def _written_partitioned(table: str) -> Callable[[Medallion], DataFrame]:
+    """A partitioned table, written and read back whole, rows without a date included."""
+
+    def run(m: Medallion) -> DataFrame:
+        return read_partitioned(m.spark, _partitioned(m, table), table, PARTITIONED_GOLD[table][0])
+
+    return run
+
+
+def _date_range(m: Medallion) -> DataFrame:
+    """A user's own predicate on the date of the partitioned fact table."""
+    table = "gold_transaction_360"
+    rows = open_partitioned(m.spark, _partitioned(m, table), table, PARTITIONED_GOLD[table][0])
+    return rows.where(F.col("transaction_date").between(*DATES))
 
 
 def _routed_tables(m: Medallion) -> DataFrame:
@@ -112,7 +137,7 @@ def _routed_tables(m: Medallion) -> DataFrame:
     for t in ROUTED:
         df = rows.get(t)
         path = write_layer_table(df if df is not None else m.gold(t) if t.startswith("gold_") else m.silver(t), root, t)
-        folder = F.element_at(F.split(F.input_file_name(), "/"), -3)
+        folder = F.element_at(F.split(F.input_file_name(), "/"), -4)  # layer, table, version, file
         found.append(m.spark.read.parquet(path).select(F.lit(t).alias("table_name"), folder.alias("layer")))
     return reduce(DataFrame.unionByName, found).groupBy("table_name", "layer").agg(F.count(F.lit(1)).alias("row_count"))
 
@@ -142,6 +167,9 @@ def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         lambda m: assertions.assert_no_fk_orphans(silver_relationship_dq_results(m)), gold=False
     )
     q["write_layer_table"] = _written_layer_table
-    q["write_partitioned"] = _written_partitioned
+    q["bronze_source"] = _bronze_source
+    q["write_partitioned"] = _written_partitioned("gold_transaction_360")
+    q["write_partitioned_accounts"] = _written_partitioned("gold_account_financial_summary")
+    q["partitioned_date_range"] = _date_range
     q["layer_routing"] = _layers_first(_routed_tables)
     return {k: _on_medallion(v) for k, v in q.items()}

@@ -1,17 +1,21 @@
 import os
 import tempfile
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 
 from lakestrata.context import RunContext
+from lakestrata.operators.silver import dq_summary
 from lakestrata.plans.build import build_all
 from lakestrata.plans.medallion import GOLD_ENTITIES, Medallion
-from lakestrata.plans.sinks import write_layer_table
+from lakestrata.plans.sinks import open_table, write_layer_table
 from lakestrata.sources.fixture_sql import BRONZE
 from lakestrata.sources.frames import bronze_schema
-from lakestrata.sources.layers import ParquetBronze, layer_path
+from lakestrata.sources.layers import ParquetBronze, read_layer_table
 from lakestrata.sources.seeds import RELATIONSHIP_COLUMNS, read_seed_csv
 from lakestrata.sources.testdata import TestdataBronze
+from lakestrata.specs import SPECS
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,15 +39,19 @@ def test_build_all_writes_every_layer(spark):
     bronze = ParquetBronze(spark, root, schemas={t: bronze_schema(t) for t in BRONZE})
     built = build_all(spark, bronze, root, RunContext.fixed(), threads=4)
     written = built.written
-    assert len(written) == 26 + 1 + 6 + 2
+    assert len(written) == 26 + 1 + 1 + 6 + 2
     for name, path in written.items():
         assert os.path.isdir(path) and os.path.exists(os.path.join(path, "_SUCCESS")), name
     assert any(d.startswith("transaction_date_month=") for d in os.listdir(written["gold_transaction_360"]))
     # the written gold equals the lazily planned one
     m = Medallion(spark, TestdataBronze(spark, SF), RunContext.fixed())
     for g in GOLD_ENTITIES:
-        assert spark.read.parquet(layer_path(root, g)).count() == m.gold(g).count(), g
-    recon = spark.read.parquet(written["medallion_reconciliation_report"])
+        assert open_table(spark, root, g).count() == m.gold(g).count(), g
+    # counted while silver was written: the same rows as the query over the written tables
+    summary = read_layer_table(spark, root, "silver_dq_summary")
+    want = reduce(DataFrame.unionByName, [dq_summary(read_layer_table(spark, root, f"silver_{t}"), f"silver_{t}") for t in SPECS])
+    assert sorted(map(tuple, summary.collect())) == sorted(map(tuple, want.collect())) and summary.count() > 26
+    recon = read_layer_table(spark, root, "medallion_reconciliation_report")
     assert recon.count() == 32
     # the planted defects fail their tests, and nothing but tests that fail is reported
     assert not built.ok and all(built.failures.values())
