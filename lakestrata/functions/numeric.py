@@ -19,6 +19,13 @@ def nullif0(c: Column) -> Column:
 WHOLE_FROM = 1e15
 
 
+def round_column(name: str, scale: int) -> Column:
+    """:func:`round_half_up` of a double column, built as one expression: plans
+    with many of them are made faster."""
+    c = f"`{name}`"
+    return F.expr(f"CASE WHEN abs({c}) >= {WHOLE_FROM}D THEN CAST({c} AS DOUBLE) ELSE CAST(round(try_cast({c} AS DECIMAL(38,10)), {scale}) AS DOUBLE) END")
+
+
 def round_half_up(c: Column, scale: int) -> Column:
     """Round a double half away from zero on its decimal value.
 

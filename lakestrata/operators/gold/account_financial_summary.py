@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.functions.numeric import nullif0, round_half_up, safe_divide
+from lakestrata.functions.numeric import nullif0, round_column, round_half_up, safe_divide
 from lakestrata.operators.gold.common import card_bridge, left_join_on_key, with_gold_audit, zero
 from lakestrata.operators.gold.customer_360 import card_totals
 
@@ -92,7 +92,7 @@ def _counts(**conditions: Column) -> dict[str, Part]:
 
 
 def _money(*names: str) -> dict[str, Column]:
-    return {n: round_half_up(F.col(n), 2) for n in names}
+    return {n: round_column(n, 2) for n in names}
 
 
 def _as_is(*names: str) -> dict[str, Column]:

@@ -30,7 +30,7 @@ def with_gold_audit(df: DataFrame, entity: str, ctx, hash_cols: list[str]) -> Da
 
 
 def zero(c: str, default=0) -> Column:
-    return F.coalesce(F.col(c), F.lit(default))
+    return F.expr(f"coalesce(`{c}`, 0)") if default == 0 else F.coalesce(F.col(c), F.lit(default))
 
 
 def card_bridge(m, *cols: str) -> DataFrame:

@@ -10,9 +10,8 @@ first.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.session import scratch_path
@@ -79,16 +78,15 @@ class Use:
 
 
 def _key_rows(m, uses: dict[str, list[Use]]) -> DataFrame:
-    """(group, key, mark) rows of all uses; each table is scanned once."""
+    """(group, key, mark) rows of all uses; each table is scanned once.  One
+    statement, so that the union is analysed once, not once for each table."""
 
-    def entry(u: Use) -> Column:
-        return F.struct(
-            F.lit(u.group).alias("_g"), F.col(u.column).cast("string").alias("_k"),
-            F.lit(u.mark).cast("long").alias("_mark"), F.lit(u.nulls).alias("_nulls"),
-        )
+    def entry(u: Use) -> str:
+        return f"struct({u.group} AS _g, CAST(`{u.column}` AS STRING) AS _k, {u.mark}L AS _mark, {str(u.nulls).lower()} AS _nulls)"
 
-    rows = [m.silver(t).select(F.inline(F.array(*map(entry, of_table)))) for t, of_table in uses.items()]
-    return reduce(DataFrame.unionByName, rows).where("_k IS NOT NULL OR _nulls").drop("_nulls")
+    branches = [f"SELECT inline(array({', '.join(map(entry, of_table))})) FROM {{{t}}}" for t, of_table in uses.items()]
+    text = f"SELECT _g, _k, _mark FROM ({' UNION ALL '.join(branches)}) WHERE _k IS NOT NULL OR _nulls"
+    return m.spark.sql(text, **{t: m.silver(t) for t in uses})
 
 
 def key_groups(checks: list[FkCheck]) -> dict[tuple[str, str], list[int]]:
@@ -130,10 +128,8 @@ def orphan_counts(m, checks: list[FkCheck]) -> DataFrame:
         for s, i in enumerate(members):
             if g in held and held[g]["mask"] & (2 << s):
                 uses.setdefault(checks[i].child, []).append(Use(g, checks[i].fk, i, not checks[i].skip_null))
-    meta = m.spark.createDataFrame(
-        [(i, f"silver_{c.child}", c.fk, f"silver_{c.parent}", c.pk, c.skip_null, c.cardinality) for i, c in enumerate(checks)],
-        "_mark long, child_table string, fk_column string, parent_table string, pk_column string, skip_null boolean, cardinality string",
-    )
+    labels = [f"({i}L, 'silver_{c.child}', '{c.fk}', 'silver_{c.parent}', '{c.pk}', {str(c.skip_null).lower()}, '{c.cardinality}')" for i, c in enumerate(checks)]
+    meta = m.spark.sql(f"SELECT * FROM VALUES {', '.join(labels)} AS t(_mark, child_table, fk_column, parent_table, pk_column, skip_null, cardinality)")
     if uses:
         rows = _key_rows(m, uses)
         keys = orphans.select(F.col("_g").alias("_og"), F.col("_k").alias("_ok"))
