@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import uuid
@@ -44,6 +46,17 @@ def worker_cache() -> dict:
     return held.__dict__.setdefault("kept", {})
 
 
+def drop_worker_cache() -> None:
+    """Frees what a worker keeps, and hands the memory back to the system."""
+    if cache := worker_cache():
+        cache.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library: the memory stays with the worker
+            pass
+
+
 def own_columns_win(df: DataFrame, own: Iterable[str]) -> DataFrame:
     """Drop input columns whose names an operator uses for its own output
     (names compare without case, as Spark's do)."""
@@ -51,11 +64,12 @@ def own_columns_win(df: DataFrame, own: Iterable[str]) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in taken])
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES, keep_cache: bool = False) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches whose texts hold about ``limit`` bytes, with the
     texts as UTF-8 (null: empty).  One longer text makes a slice of its own.
     What another operator left in the worker's cache goes first."""
-    worker_cache().clear()
+    if not keep_cache:
+        drop_worker_cache()
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary())
         start = size = 0

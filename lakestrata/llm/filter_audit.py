@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from lakestrata.llm.common import blocks, materialize
 from lakestrata.llm.csr import count_matrix, one_list, pack, row_sums, unpack, with_shard_columns
 
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 6 << 20
 LEAST_WORDS = 200
 LEAST_DISTINCT = 50  # per cent of the words
 MOST_CAPITALS = 3  # per cent of the code points

@@ -20,7 +20,6 @@ packed each; an empty table gives no pieces; extra columns are ignored.
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -29,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import materialize, worker_cache
+from lakestrata.llm.common import BLOCK_BYTES, blocks, materialize, worker_cache
 
 SEQUENCE = 4096
 END_ID = 2
 GROUP_PIECES = 2048
-CACHED_CHUNKS = 800_000
+CACHED_CHUNKS = 400_000  # kept by a worker across its tasks, and
+CACHED_CHARS = 8_000_000  # their code points
 
 PIECE = pa.schema([(x, pa.int64()) for x in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
 PIECE_DDL = ", ".join(f"{x} long" for x in PIECE.names)
@@ -61,8 +61,9 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
-        self.blank = re.compile(r"[ \t\r\n]+")
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
+        self.once: set[str] = set()  # known chunks that one call has had so far
+        self.held = 0  # code points of the known chunks
         self.marks = {x: self._encode([x])[0] for x in ".,;:!?"}
         vocabulary_ids = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary_ids.values()) + 1, dtype=bool)  # ids that end a word
@@ -80,6 +81,7 @@ class ChunkEncoder:
         return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def _learn(self, fresh: set[str]) -> None:
+        """Adds chunks, and the lower-case words that they hold."""
         known, marks = self.known, self.marks
         plain: dict[str, tuple[str, bytes]] = {}
         other: list[str] = []
@@ -92,17 +94,32 @@ class ChunkEncoder:
                 other.append(chunk)
         words = list({x for x, _ in plain.values() if x not in known})
         known.update(zip(words, self._encode_words(words), strict=True))
+        self.once.update(fresh, words)
+        self.held += sum(map(len, fresh)) + sum(map(len, words))
         known.update(zip(other, self._encode(other), strict=True))
         for chunk, (word, mark) in plain.items():
             known[chunk] = known[word] + mark
 
-    def __call__(self, text: str) -> bytes:
-        chunks = self.blank.split(text) if text else []
-        if len(self.known) > CACHED_CHUNKS:
-            self.known.clear()
-        if fresh := set(chunks).difference(self.known):
-            self._learn(fresh)
-        return b"".join(map(self.known.__getitem__, chunks))
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Ids of the texts; what is not known of their words is learned in one go."""
+        split = [x.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for x in texts]
+        chunks = set().union(*split)
+        self.once -= chunks
+        if len(self.known) > CACHED_CHUNKS or self.held > CACHED_CHARS:
+            self._forget()
+        fresh = chunks.difference(self.known)
+        self._learn(fresh)
+        return [b"".join(map(self.known.__getitem__, x)) for x in split]
+
+    def _forget(self) -> None:
+        """Drops the chunks that only one call had, most of them for good; all, if those are few."""
+        if 2 * len(self.once) < len(self.known):
+            self.known = {"": b""}
+        else:
+            for chunk in self.once:
+                del self.known[chunk]
+        self.once.clear()
+        self.held = sum(map(len, self.known))
 
 
 def cut_documents(docs: DataFrame, vocabulary: str | None = None, sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
@@ -113,10 +130,10 @@ def cut_documents(docs: DataFrame, vocabulary: str | None = None, sequence: int
         cache = worker_cache()
         encode = cache.get(vocabulary) or cache.setdefault(vocabulary, ChunkEncoder(vocabulary))
         end = np.array([end_id], dtype="<u4").tobytes()
-        for batch in batches:
+        for batch, raw in blocks(batches, limit=BLOCK_BYTES, keep_cache=True):
             out: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py() or "") + end
+            for doc, ids in zip(batch.column(0).to_pylist(), encode([x.decode() for x in raw]), strict=True):
+                ids += end
                 for at in range(0, len(ids), 4 * sequence):
                     piece = ids[at : at + 4 * sequence]
                     out.append((doc, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4))
