@@ -20,6 +20,7 @@ packed each; an empty table gives no pieces; extra columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,8 +34,10 @@ from lakestrata.llm.common import BLOCK_BYTES, blocks, materialize, worker_cache
 SEQUENCE = 4096
 END_ID = 2
 GROUP_PIECES = 2048
-CACHED_CHUNKS = 400_000  # kept by a worker across its tasks, and
-CACHED_CHARS = 8_000_000  # their code points
+CACHED_CHUNKS = 700_000  # kept by a worker across its tasks, and
+CACHED_CHARS = 14_000_000  # their code points
+#: Latin letters, which lower case takes one by one, and marks that are one word of the tokenizer's (not ', which may be a contraction's)
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]{0,3})")
 
 PIECE = pa.schema([(x, pa.int64()) for x in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
 PIECE_DDL = ", ".join(f"{x} long" for x in PIECE.names)
@@ -51,7 +54,7 @@ class ChunkEncoder:
     """Token ids of texts, as little-endian 32-bit bytes.  The tokenizer drops
     white space and never joins across it, so ids of the chunks between blanks
     are kept and reused; so are those of words that only differ in case or in
-    one mark at the end, which the tokenizer lower-cases and splits off."""
+    a few marks at the end, which the tokenizer lower-cases and splits off."""
 
     def __init__(self, vocabulary: str):
         import os
@@ -64,7 +67,7 @@ class ChunkEncoder:
         self.known: dict[str, bytes] = {"": b""}
         self.once: set[str] = set()  # known chunks that one call has had so far
         self.held = 0  # code points of the known chunks
-        self.marks = {x: self._encode([x])[0] for x in ".,;:!?"}
+        self.marks = {"": b""}  # ids of runs of marks
         vocabulary_ids = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary_ids.values()) + 1, dtype=bool)  # ids that end a word
         self.ends[[i for x, i in vocabulary_ids.items() if x.endswith("</w>")]] = True
@@ -82,23 +85,23 @@ class ChunkEncoder:
 
     def _learn(self, fresh: set[str]) -> None:
         """Adds chunks, and the lower-case words that they hold."""
-        known, marks = self.known, self.marks
-        plain: dict[str, tuple[str, bytes]] = {}
+        known, marks, match = self.known, self.marks, PLAIN.fullmatch
+        plain: dict[str, tuple[str, str]] = {}
         other: list[str] = []
         for chunk in fresh:
-            mark = marks.get(chunk[-1:], b"")
-            word = chunk[:-1] if mark else chunk
-            if word.isalpha() and max(word) <= "\u00ff":
-                plain[chunk] = word.lower(), mark
+            if found := match(chunk):
+                plain[chunk] = found[1].lower(), found[2]
             else:
                 other.append(chunk)
-        words = list({x for x, _ in plain.values() if x not in known})
+        words = list({x for x, _ in plain.values()}.difference(known))
+        if runs := list({x for _, x in plain.values()}.difference(marks)):
+            marks.update(zip(runs, self._encode(runs), strict=True))
         known.update(zip(words, self._encode_words(words), strict=True))
         self.once.update(fresh, words)
         self.held += sum(map(len, fresh)) + sum(map(len, words))
         known.update(zip(other, self._encode(other), strict=True))
         for chunk, (word, mark) in plain.items():
-            known[chunk] = known[word] + mark
+            known[chunk] = known[word] + marks[mark]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of the texts; what is not known of their words is learned in one go."""
