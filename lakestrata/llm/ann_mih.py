@@ -18,7 +18,9 @@ chunks; every chunk meets every block in a task of bounded size, and only the
 ``k`` best of each go on.  No pair of vectors is ever a row.
 
 Defined cases: rows without an id or a usable vector (see ``vectors.usable``)
-take no part; a query's own id is no candidate; equal scores go by id; rows that
+take no part; vectors of another length than the query's are no candidates (a
+search of its own for each length, of which there are few); a query's own id is
+no candidate; equal scores go by id; rows that
 repeat an id count as one candidate (the first best); with fewer than ``k``
 candidates all are returned; an empty table gives no rows; extra columns are
 ignored.
@@ -26,6 +28,8 @@ ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -127,12 +131,19 @@ def search(embeddings: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     (vec_id, embedding) to each row of ``queries`` (alike)."""
     base = materialize(usable(embeddings).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")), "vectors")
     asked = materialize(usable(queries).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")), "queries")
+    length = F.size("embedding")
+    lengths = base.select(length.alias("n")).distinct().join(asked.select(length.alias("n")).distinct(), "n").orderBy("n").collect()
+    if not lengths:
+        return base.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, [search_length(base.filter(length == r.n), asked.filter(length == r.n), k) for r in lengths])
+
+
+def search_length(base: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """``search`` among usable vectors of one length."""
     squares = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x * x)
     rows, norm = base.agg(F.count("*"), F.sqrt(F.max(squares))).first()
     n_queries = asked.count()
     out = "query_id long, vec_id long, score double"
-    if not rows or not n_queries:
-        return base.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).toArrow()
     sample_x = matrix(sample["embedding"])
     sample_extended = extended(sample_x, norm)

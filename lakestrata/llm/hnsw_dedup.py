@@ -5,19 +5,21 @@ shard gets a graph: layers of ever fewer vectors, in which every vector is
 linked to near ones of its layer.  Vectors are inserted in batches of doubling
 size; a batch searches the graph so far and itself.  Every vector queries every
 shard of its label: greedily down to the lowest layer, then with a beam that is
-as wide as it must be.  A beam full of links is widened for that query, and all
-beams are widened until an audit finds ``RECALL`` of the links of each of its
-queries, on average; the widest beam is the whole shard.  The audit scans queries
-exactly, in random order, until ``AUDIT_QUERIES`` of them have a link besides
-themselves; where fewer have, it has scanned all, and its links are the result.
-Vertices that no path joins to the entry are compared with every query.
+as wide as it must be.  An audit compares a bounded sample of ``AUDIT_QUERIES``
+queries with the whole shard, and beams are widened until they hold ``RECALL`` of
+the sample's ``AUDIT_NEAREST`` nearest vertices: every query has such, so that
+the audit is never empty, however rare links are.  A beam full of links is
+widened further for its query; the widest beam, and the last step of both, is
+the whole shard.  Vertices that no path joins to the entry are compared with
+every query.
 
 Links are verified by cosine in double precision.  A pair of shards meets in one
 task, which queries both graphs and keeps a link that either side found, so
 that links are mutual.  Tasks return the number of links of each vector and a
 spanning forest of them, never the pairs; forests are joined into components.
 
-Equal vectors of a label are one vertex with as many copies.  Shards pair up
+Equal vectors of a label are one vertex with as many copies.  Vectors of one
+label that differ in length don't meet.  Shards pair up
 within a label, so work on a label grows with the square of its shards, as
 querying every shard does; tasks stay bounded.
 
@@ -45,7 +47,7 @@ BUILD_BEAM = 64
 BEAM, WIDEN = 32, 4
 EXPAND = 4  # vertices of each beam that are expanded in one step
 BATCH = 512
-AUDIT_QUERIES = 300  # that have links
+AUDIT_QUERIES, AUDIT_NEAREST = 128, 10
 RECALL = 0.99
 
 
@@ -188,21 +190,40 @@ def spread(x: np.ndarray, near: np.ndarray, sims: np.ndarray, most: int) -> np.n
     return out
 
 
-def audit(exact: np.ndarray, asked: np.ndarray, threshold: float, itself: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Queries scanned exactly and their links (queries x vertices): in random
-    order, until ``AUDIT_QUERIES`` of them have links, or all.  ``itself``: the
-    queries are the vertices, and a vertex's link with itself does not count."""
-    order = np.random.default_rng(11).permutation(len(asked))
-    truth, seen, at = [], 0, 0
-    while at < len(order) and seen < AUDIT_QUERIES:
-        rows = order[at : at + BATCH]
-        found = asked[rows] @ exact.T >= threshold
-        if itself:
-            found[np.arange(len(rows)), rows] = False
-        truth.append(found)
-        seen += int(found.any(axis=1).sum())
-        at += len(rows)
-    return order[:at], np.concatenate(truth) if truth else np.zeros((0, len(exact)), dtype=bool)
+def audit(exact: np.ndarray, asked: np.ndarray, itself: bool) -> tuple[np.ndarray, np.ndarray]:
+    """A bounded random sample of the queries, and their cosines to all vertices.
+    ``itself``: the queries are the vertices, and a vertex is not its own neighbour."""
+    sample = np.random.default_rng(11).permutation(len(asked))[:AUDIT_QUERIES]
+    cosines = asked[sample] @ exact.T
+    if itself:
+        cosines[np.arange(len(sample)), sample] = -np.inf
+    return sample, cosines
+
+
+def wider(width: int, n: int) -> int:
+    """The next width: beams of half a shard cost more than the scan, the last step."""
+    return width * WIDEN if 2 * width * WIDEN <= n else n
+
+
+def audited_width(graph: Graph, asked: np.ndarray, cosines: np.ndarray, nearest: int) -> int:
+    """The first width whose beams hold ``RECALL`` of the ``nearest`` vertices of
+    the sampled queries; the number of vertices if none does."""
+    n, width = cosines.shape[1], BEAM
+    if nearest < 1:
+        return n
+    least = -np.partition(-cosines, nearest - 1, axis=1)[:, nearest - 1 : nearest]
+    while width < n:
+        ids, _ = graph.search(asked, width)
+        found = (np.take_along_axis(cosines, np.maximum(ids, 0), 1) >= least) & (ids >= 0)
+        if np.minimum(found.sum(axis=1), nearest).mean() >= RECALL * nearest:
+            break
+        width = wider(width, n)
+    return min(width, n)
+
+
+def scan(exact: np.ndarray, asked: np.ndarray, threshold: float) -> np.ndarray:
+    """The links of queries that are compared with every vertex."""
+    return asked @ exact.T >= threshold
 
 
 def find_links(graph: Graph, exact: np.ndarray, asked: np.ndarray, threshold: float, itself: bool = False) -> np.ndarray:
@@ -211,24 +232,20 @@ def find_links(graph: Graph, exact: np.ndarray, asked: np.ndarray, threshold: fl
     the queries are the graph's own vertices."""
     n = len(exact)
     out = np.zeros((len(asked), n), dtype=bool)
-    scanned, truth = audit(exact, asked, threshold, itself)
-    if len(scanned) == len(asked):
-        out[scanned] = truth
-        return out
     slack = 1e-4  # the graph's cosines are single precision
     single = asked.astype(np.float32)
+    sample, cosines = audit(exact, asked, itself)
+    width = audited_width(graph, single[sample], cosines, min(AUDIT_NEAREST, n - itself))
     cut_off = graph.unreached()
     if len(cut_off):
         out[:, cut_off] = asked @ exact[cut_off].T >= threshold
-    linked = truth.any(axis=1)
-    links_of = truth[linked].sum(axis=1)
-    width, todo = BEAM, np.arange(len(asked))
+    todo = np.arange(len(asked))
     while len(todo):
-        wider = []
+        full = []
         for at in range(0, len(todo), BATCH):
             rows = todo[at : at + BATCH]
             if width >= n:
-                out[rows] |= asked[rows] @ exact.T >= threshold
+                out[rows] |= scan(exact, asked[rows], threshold)
                 continue
             ids, sims = graph.search(single[rows], width)
             near = sims >= threshold - slack
@@ -236,15 +253,10 @@ def find_links(graph: Graph, exact: np.ndarray, asked: np.ndarray, threshold: fl
             i, j = rows[i], ids[i, j]
             good = np.einsum("pd,pd->p", exact[j], asked[i]) >= threshold
             out[i[good], j[good]] = True
-            wider.append(rows[near.all(axis=1)])
-        if width >= n:
-            break
-        found = (out[scanned[linked]] & truth[linked]).sum(axis=1)
-        todo = np.arange(len(asked)) if (found / links_of).mean() < RECALL else np.concatenate(wider)
-        width *= WIDEN
-        if width * WIDEN * WIDEN > n:
-            width = max(width, n)  # beams of a large part of a shard cost more than a scan
-    out[scanned] |= truth
+            full.append(rows[near.all(axis=1)])
+        todo = np.concatenate(full) if full else todo[:0]
+        width = wider(width, n)
+    out[sample] |= cosines >= threshold
     return out
 
 
@@ -270,7 +282,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93, shard: int =
     """(vec_id, n_links, component_id, kept) of each row of (vec_id, embedding,
     label)."""
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("string").alias("label"))
-    good = usable(rows.filter("label is not null"))
+    kind = F.concat_ws(":", F.size("embedding"), "label")  # vectors of one length and label are compared
+    good = usable(rows.filter("label is not null")).withColumn("label", kind)
     # vertices: distinct vectors of a label, named by their smallest id
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x * x))
     vertices = good.groupBy("label", "embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
@@ -329,6 +342,6 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93, shard: int =
     parts = connected_components(vertices.select("id").distinct(), found.filter("b is not null").select("a", "b"))
     placed = vertices.select("label", "embedding", "id", "copies").join(counts, "id", "left").join(parts, "id")
     placed = materialize(placed.select(F.col("label").alias("__label"), F.col("embedding").alias("__vector"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("component").alias("component_id")), "placed")
-    joined = rows.join(placed, (F.col("label") == F.col("__label")) & (F.col("embedding") == F.col("__vector")) & F.col("vec_id").isNotNull(), "left")
+    joined = rows.join(placed, F.col("label").isNotNull() & (kind == F.col("__label")) & (F.col("embedding") == F.col("__vector")) & F.col("vec_id").isNotNull(), "left")
     out = joined.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

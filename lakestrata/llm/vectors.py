@@ -9,14 +9,12 @@ from pyspark.sql import functions as F
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
-    """The rows with an id and a vector that is neither null nor zero, has no
-    null or non-finite component, and has the most common number of components
-    (of equally common ones, the smallest)."""
+    """The rows with an id and a vector that is neither null nor zero and has no
+    null or non-finite component; vectors may differ in their number of
+    components.  A filter of single rows, without a shuffle."""
     v = F.col("embedding")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = embeddings.filter(F.col("vec_id").isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0))
-    top = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.filter(F.size("embedding") == (top.n if top else 0))
+    return embeddings.filter(F.col("vec_id").isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0))
 
 
 def matrix(column: pa.ChunkedArray | pa.Array, dtype: type = np.float64) -> np.ndarray:

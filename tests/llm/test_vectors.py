@@ -136,7 +136,7 @@ def test_few_links_are_found_where_the_graph_loses_them():
     assert links.sum() == 10 and links[np.arange(700, 710), np.arange(10)].all()
 
 
-def test_groups_that_the_graph_cuts_off_are_found(monkeypatch):
+def test_groups_that_the_graph_cuts_off_are_found():
     x = unit_vectors(3000, 32, 4)
     x[1:2000:2] = near_to(x[:2000:2], 0.1, 5)
     x[2900:2960] = near_to(np.repeat(x[2900:2901], 60, axis=0), 0.1, 6)
@@ -145,7 +145,6 @@ def test_groups_that_the_graph_cuts_off_are_found(monkeypatch):
         others = np.setdiff1d(np.arange(len(layer)), group)
         layer[others] = np.where(np.isin(layer[others], group), len(x), layer[others])
     assert set(group) <= set(graph.unreached()) or graph.top[group].max() == graph.top.max()
-    monkeypatch.setattr(hnsw_dedup, "AUDIT_QUERIES", 20)
     links = hnsw_dedup.find_links(graph, x, x, 0.93, itself=True)
     want = x @ x.T >= 0.93
     assert (links[group] == want[group]).all() and (links & want).sum() >= 0.99 * want.sum() and not (links & ~want).any()
@@ -173,3 +172,64 @@ def test_several_shards_of_a_label_match_brute_force(spark):
     parts = components(list(range(len(x))), [(int(a), int(b)) for a, b in zip(*np.nonzero(close), strict=True)])
     got = {r.vec_id: (r.n_links, r.component_id) for r in hnsw_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), 0.93, 700).collect()}
     assert got == {i: (int(close[i].sum()), parts[i]) for i in parts}
+
+
+@pytest.mark.parametrize("itself", [True, False])
+def test_rare_links_come_through_the_graph(monkeypatch, itself):
+    a = unit_vectors(4000, 24, 12)
+    b = a if itself else unit_vectors(3000, 24, 13)
+    places = np.arange(700, 712)
+    b[places] = near_to(a[:12], 0.1, 14)  # 12 linked pairs: most samples hold none
+    scanned = []
+    whole = hnsw_dedup.scan
+    monkeypatch.setattr(hnsw_dedup, "scan", lambda exact, asked, threshold: scanned.append(len(asked)) or whole(exact, asked, threshold))
+    assert len(hnsw_dedup.audit(a, b, itself)[0]) == hnsw_dedup.AUDIT_QUERIES
+    links = hnsw_dedup.find_links(built(a), a, b, 0.93, itself)
+    want = b @ a.T >= 0.93
+    if itself:
+        np.fill_diagonal(want, False)
+        np.fill_diagonal(links, False)
+    assert not scanned and want.sum() >= 12 and (links == want).all()
+
+
+def two_lengths(n=300):
+    rng = np.random.default_rng(15)
+    rows = []
+    for i in range(n):
+        d = 8 if i % 3 == 0 else 16
+        v = rng.normal(size=d) if i < 30 else np.array(rows[i % 30 if i % 30 % 3 == i % 3 else i - 3][1]) + rng.normal(size=d) * 0.05
+        rows.append((i, [float(np.float32(x)) for x in v], i % 2))
+    return rows
+
+
+def test_two_lengths_of_vectors(spark):
+    rows = two_lengths()
+    df = spark.createDataFrame(rows, SCHEMA)
+    counts, links = {}, []
+    for d in (8, 16):
+        mine = [r for r in rows if len(r[1]) == d]
+        unit = np.array([r[1] for r in mine]) / np.linalg.norm([r[1] for r in mine], axis=1, keepdims=True)
+        close = (unit @ unit.T >= 0.93) & (np.array([r[2] for r in mine])[:, None] == np.array([r[2] for r in mine])[None, :])
+        np.fill_diagonal(close, False)
+        counts |= {mine[a][0]: int(x) for a, x in enumerate(close.sum(axis=1))}
+        links += [(mine[a][0], mine[b][0]) for a, b in zip(*np.nonzero(close), strict=True)]
+    parts = components([r[0] for r in rows], links)
+    assert min(sum(n > 0 for i, n in counts.items() if (i % 3 == 0) is short) for short in (True, False)) > 20
+    assert {r.vec_id: (r.n_links, r.component_id) for r in hnsw_dedup.near_duplicates(df).collect()} == {i: (counts[i], parts[i]) for i in parts}
+
+    asked = [r for r in rows if r[0] % 20 == 0]
+    got = {}
+    for r in ann_mih.search(df, spark.createDataFrame(asked, SCHEMA), 5).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = total = 0
+    for q in asked:
+        mine = [r for r in rows if len(r[1]) == len(q[1])]
+        want = {v for v, _ in brute_search(mine, [q], 5)[q[0]]}
+        hits, total = hits + len(got[q[0]] & want), total + len(want)
+    assert hits >= 0.9 * total
+
+
+def test_queries_of_a_length_that_no_vector_has(spark):
+    df = spark.createDataFrame([(i, [1.0, float(i)], 0) for i in range(5)], SCHEMA)
+    asked = spark.createDataFrame([(1, [1.0, 2.0, 3.0], 0)], SCHEMA)
+    assert ann_mih.search(df, asked).collect() == []
