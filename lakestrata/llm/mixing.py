@@ -17,7 +17,8 @@ Defined cases: a null source is a source of its own; null and empty texts have
 size 1 (the end mark); a source without a target weight, or with weight 0, is
 left out; repeated rows draw the same number and are each repeated; an empty
 table gives an empty mixture.  Input columns named like the operator's own
-(``copy_no``, ``mean_rate``, ``shuffle_key``) are replaced by them.
+(``copy_no``, ``mean_rate``, ``shuffle_key``) are replaced by them where they are
+asked for; all others, whatever their names, come back as they are.
 """
 
 from __future__ import annotations
@@ -69,13 +70,13 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
     the mixture; without, the columns of ``docs`` alone."""
     docs = own_columns_win(docs, OWN) if annotate else docs
     rates = source_rates(docs, weights, temperature, epochs)
-    rates = rates.select(F.col("source").alias("__source"), F.col("mean_rate").alias("__rate"), F.col("cdf").alias("__cdf"))
-    key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("source", F.lit("-")))
-    drawn = docs.join(rates, F.col("source").eqNullSafe(F.col("__source")))
-    drawn = drawn.withColumn("__key", key).withColumn("__u", _uniform(F.col("__key")))
-    copies = F.size(F.filter("__cdf", lambda c: c <= F.col("__u")))
-    drawn = drawn.withColumn("__n", copies).filter("__n > 0").drop("__source", "__cdf", "__u")
-    drawn = drawn.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-    drawn = drawn.withColumn("__order", F.md5(F.concat_ws(":", F.col("__key"), F.col("__copy").cast("string"))))
-    own = [F.col("__copy").alias("copy_no"), F.col("__rate").alias("mean_rate"), F.col("__order").alias("shuffle_key")] if annotate else []
-    return drawn.drop("__key", "__n").repartition("__order").sortWithinPartitions("__order").select(*docs.columns, *own)
+    # the input's columns are one struct, so that none can clash with the operator's own
+    doc = F.col("doc")
+    key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(doc["doc_id"].cast("string"), F.lit("-")), F.coalesce(doc["source"], F.lit("-")))
+    drawn = docs.select(F.struct("*").alias("doc")).join(rates.select("source", "mean_rate", "cdf"), doc["source"].eqNullSafe(F.col("source")))
+    drawn = drawn.select("doc", "mean_rate", "cdf", key.alias("key")).withColumn("u", _uniform(F.col("key")))
+    copies = F.size(F.filter("cdf", lambda c: c <= F.col("u")))
+    drawn = drawn.select("doc", "mean_rate", "key", copies.alias("n")).filter("n > 0")
+    drawn = drawn.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    drawn = drawn.select("doc", "mean_rate", "copy_no", F.md5(F.concat_ws(":", F.col("key"), F.col("copy_no").cast("string"))).alias("shuffle_key"))
+    return drawn.repartition("shuffle_key").sortWithinPartitions("shuffle_key").select("doc.*", *(OWN if annotate else ()))

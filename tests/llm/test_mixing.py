@@ -74,3 +74,13 @@ def test_native_plan(spark):
     rows, _ = table(spark)
     plan = mixing.mix_sources(spark.createDataFrame(rows, SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_columns_named_like_inner_ones_come_back_unchanged(spark):
+    rows, _ = table(spark)
+    names = ("__order", "__n", "__key", "__u", "__source", "doc", "cdf", "key", "n", "u", "size", "weight", "copy_no", "Shuffle_Key")
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", *(f"concat('{x}', doc_id) AS `{x}`" for x in names))
+    out = mixing.mix_sources(df, annotate=False)
+    assert out.columns == df.columns
+    assert Counter((r.doc_id, r.text, r.source) for r in out.collect()) == Counter(k[:3] for k, n in brute(rows).items() for _ in range(n))
+    assert all(r[x] is None if r.doc_id is None else r[x] == f"{x}{r.doc_id}" for r in out.collect() for x in names)
