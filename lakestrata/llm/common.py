@@ -93,10 +93,14 @@ def training_row(modulus: int) -> Column:
 
 def first_by_hash(keyed: DataFrame, n: int, per: str | None = None) -> DataFrame:
     """A bounded sample of (doc_id, ...): the ``n`` rows, of each ``per`` if it
-    is named, whose ids have the smallest hashes (``__order``)."""
+    is named, whose ids have the smallest hashes (``__order``).  With ``per``,
+    ``n`` is at most 1,000: up to there Spark keeps the first of each group
+    before the shuffle, so that a hot group does not meet in one task."""
     keyed = keyed.withColumn("__order", F.xxhash64(F.lit(11), "doc_id"))
     if per is None:
         return keyed.orderBy("__order", "doc_id").limit(n)
+    if n > 1000:
+        raise ValueError("more than 1,000 rows of a group would all be shuffled to one task")
     rank = F.row_number().over(Window.partitionBy(per).orderBy("__order", "doc_id"))
     return keyed.withColumn("__rank", rank).filter(F.col("__rank") <= n).drop("__rank")
 

@@ -25,7 +25,7 @@ named like an output column is replaced.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +38,8 @@ from lakestrata.llm.common import blocks, first_by_hash, materialize, mix64, own
 BITS = 18
 ORDERS = (2, 3)
 CHUNK = 64
-#: Rows of each language that a model learns from, at most.
-SAMPLE_ROWS = 1500
+#: Rows of each language that a model learns from, at most (1,000: see ``first_by_hash``).
+SAMPLE_ROWS = 1000
 MINI_BATCH = 64
 RATE, DECAY = 0.2, 1e-4
 FOLDS = 5
@@ -237,13 +237,13 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, folds: int = FOLDS) -
     return model
 
 
-def label(docs: DataFrame, model: Crf, columns: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """``docs`` with the language of each text and the mean marginal behind it."""
-    docs = own_columns_win(docs, columns)
+def judged(docs: DataFrame, model: Crf) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[pa.RecordBatch, list[str], np.ndarray]]]:
+    """For tasks: slices of batches with the language of each text and the mean
+    marginal behind it."""
     used = np.flatnonzero(model.u.any(axis=1)).astype(np.int32)
     shared = docs.sparkSession.sparkContext.broadcast((model.labels, used, model.u[used], model.t))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str], np.ndarray]]:
         labels, rows, weights, transitions = shared.value
         crf = Crf(labels)
         crf.u[rows], crf.t = weights, transitions
@@ -261,7 +261,18 @@ def label(docs: DataFrame, model: Crf, columns: tuple[str, str] = ("lang_pred",
                 found = np.where(lengths > 0, share.argmax(axis=1), -1)
                 score = np.where(lengths > 0, share.max(axis=1).clip(0, 1), 0.0)
             names = [labels[i] if i >= 0 and any(map(str.isalpha, t)) else UNDETERMINED for i, t in zip(found, texts, strict=True)]
-            score = np.where([x == UNDETERMINED for x in names], 0.0, score)
+            yield batch, names, np.where([x == UNDETERMINED for x in names], 0.0, score)
+
+    return judge
+
+
+def label(docs: DataFrame, model: Crf, columns: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the language of each text and the mean marginal behind it."""
+    docs = own_columns_win(docs, columns)
+    judge = judged(docs, model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, names, score in judge(batches):
             yield batch.append_column(columns[0], pa.array(names, pa.string())).append_column(columns[1], pa.array(score))
 
     schema = T.StructType([*docs.schema.fields, T.StructField(columns[0], T.StringType()), T.StructField(columns[1], T.DoubleType())])
@@ -277,5 +288,10 @@ def identify(docs: DataFrame) -> DataFrame:
 def drop_undetermined(docs: DataFrame, least: float = 1 / 3) -> DataFrame:
     """The rows of ``docs`` with a language that holds a third of the words at
     least: texts that switch between two languages stay."""
-    kept = label(docs, learn(docs), ("__lang", "__share"))
-    return kept.filter((F.col("__lang") != UNDETERMINED) & (F.col("__share") >= least)).select(*docs.columns)
+    judge = judged(docs, learn(docs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, names, score in judge(batches):
+            yield batch.filter(pa.array((score >= least) & np.array([x != UNDETERMINED for x in names], dtype=bool)))
+
+    return docs.mapInArrow(run, docs.schema)

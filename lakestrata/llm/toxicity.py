@@ -19,7 +19,7 @@ column named like an output column is replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -118,12 +118,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, fo
     return [(r.coordinate, r.weight) for r in rows.mapInArrow(train, "coordinate int, weight double").collect()]
 
 
-def score(docs: DataFrame, weights: list[tuple[int, float]], column: str = "score") -> DataFrame:
-    """``docs`` with the probability that a text is toxic."""
-    docs = own_columns_win(docs, [column])
+def judged(docs: DataFrame, weights: list[tuple[int, float]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[pa.RecordBatch, np.ndarray]]]:
+    """For tasks: slices of batches with the probability that each text is toxic."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # sparse: at most 2 ** BITS pairs
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
         dense = np.zeros(2**BITS)
         bias = dict(shared.value).get(-1, START_BIAS)
         for at, w in shared.value:
@@ -134,7 +133,19 @@ def score(docs: DataFrame, weights: list[tuple[int, float]], column: str = "scor
             heavy = dense[coordinates] != 0
             coordinates, owners = distinct(coordinates[heavy], owners[heavy])
             total = bias + np.bincount(owners, weights=dense[coordinates], minlength=len(raw))
-            yield batch.append_column(column, pa.array(1 / (1 + np.exp(-np.clip(total, -30, 30)))))
+            yield batch, 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+
+    return judge
+
+
+def score(docs: DataFrame, weights: list[tuple[int, float]], column: str = "score") -> DataFrame:
+    """``docs`` with the probability that a text is toxic."""
+    docs = own_columns_win(docs, [column])
+    judge = judged(docs, weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, p in judge(batches):
+            yield batch.append_column(column, pa.array(p))
 
     schema = T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())])
     return docs.mapInArrow(run, schema)
@@ -149,5 +160,10 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic."""
-    kept = score(docs, learn(docs, labels), "__toxic")
-    return kept.filter(F.col("__toxic") < 0.5).select(*docs.columns)
+    judge = judged(docs, learn(docs, labels))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, p in judge(batches):
+            yield batch.filter(pa.array(p < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)

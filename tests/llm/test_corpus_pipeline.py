@@ -67,10 +67,10 @@ def test_empty_documents(spark):
 
 def test_clashing_columns_survive(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
-    extra = docs.selectExpr("*", "'e' AS score", "'e' AS predicted", "'e' AS kept", "'e' AS component_id", "'e' AS copy_no", "'e' AS lang_pred", "'e' AS id")
+    extra = docs.selectExpr("*", "'e' AS score", "'e' AS predicted", "'e' AS kept", "'e' AS component_id", "'e' AS copy_no", "'e' AS lang_pred", "'e' AS id", "'e' AS __lang", "'e' AS __share", "'e' AS __toxic", "'e' AS __order", "'e' AS __n", "'e' AS __source", "'e' AS doc")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, extra, SF)
-        assert out.columns == extra.columns and all(r.score == "e" and r.copy_no == "e" for r in out.collect())
+        assert out.columns == extra.columns and all(r.score == r.copy_no == r["__lang"] == r["__toxic"] == r["__order"] == r.doc == "e" for r in out.collect())
 
 
 @pytest.mark.parametrize("gone", ["corpus_pipeline", "lakestrata.llm"])

@@ -82,3 +82,11 @@ def test_words_and_features_of_one_text_do_not_depend_on_others():
         own_found, own_owner = li.features(li.words([t])[0])
         mine = [sorted(found[owner == w].tolist()) for w in range(offsets[i], offsets[i + 1])]
         assert mine == [sorted(own_found[own_owner == w].tolist()) for w in range(offsets[i + 1] - offsets[i])]
+
+
+def test_sample_is_limited_before_the_shuffle(spark):
+    keys = spark.range(5000).selectExpr("id AS doc_id", "'aa' AS lang")
+    plan = li.first_by_hash(keys, li.SAMPLE_ROWS, "lang")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    with pytest.raises(ValueError, match="1,000"):
+        li.first_by_hash(keys, 1001, "lang")
