@@ -16,8 +16,10 @@ after the first character of each control string, also of those that already
 carry backslashes there, so that removing one gives the text back.
 
 Rows: ``format_turns`` works row by row without a shuffle; ``read_back`` deals
-rows by conversation, sorts them and streams, so that memory does not grow
-with the length of a conversation (a digest is sequential by nature).
+rows by conversation, sorts them and joins them to one stream of characters, off
+which the turns are read by their marks alone.  Only a turn that has not ended
+is held, so that memory does not grow with the length of a conversation (a
+digest is sequential by nature).
 
 Defined cases: null role, text or parts are empty; a null part type is
 ``text``, an unknown one is a ``document``; a null conversation id is one
@@ -29,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import deque
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -150,6 +153,67 @@ def parse_turn(formatted: str) -> tuple[str, str]:
     return unescape(head), "".join(unescape(x) for x in _MARKS.split(body))
 
 
+class TurnReader:
+    """Reads the turns off one conversation, given in chunks that may be cut
+    anywhere; only a turn that has not ended yet is held."""
+
+    def __init__(self):
+        self.held: list[str] = []
+        self.at = 0  # where the held text starts in the conversation
+
+    def feed(self, chunk: str) -> Iterator[tuple[int, str]]:
+        """(start in the conversation, formatted turn) of each turn that ends in
+        ``chunk``.  An end mark inside a text is escaped, so the first is the turn's."""
+        tail = ""
+        for piece in reversed(self.held):  # the last code points held: a mark may be cut
+            tail = (piece + tail)[1 - len(END) :]
+            if len(tail) == len(END) - 1:
+                break
+        self.held.append(chunk)
+        if END not in tail + chunk:
+            return
+        *turns, rest = "".join(self.held).split(END)
+        self.held = [rest] if rest else []
+        for turn in turns:
+            if not turn.startswith(TURN) or TEXT not in turn:
+                raise ValueError(f"no turn at {self.at}")
+            yield self.at, turn + END
+            self.at += len(turn) + len(END)
+
+    def close(self) -> None:
+        if self.held:
+            raise ValueError(f"a turn at {self.at} has no end")
+
+
+class Digests:
+    """What one conversation says, read back from its text and loss spans."""
+
+    def __init__(self, conv_id: int | None):
+        self.row = dict.fromkeys(DIGESTS.names, 0) | {"conv_id": conv_id}
+        self.turns, self.learned = hashlib.sha256(), hashlib.sha256()
+        self.reader, self.spans = TurnReader(), deque()
+
+    def add(self, chunk: str, loss: list[dict], attachments: list[dict]) -> None:
+        row = self.row
+        self.spans.extend((row["formatted_chars"] + x["start"], x["length"]) for x in loss)
+        row["formatted_chars"] += len(chunk)
+        row["n_attachments"] += len(attachments)
+        row["attachment_tokens"] += sum(x["tokens"] for x in attachments)
+        for at, turn in self.reader.feed(chunk):
+            role, text = parse_turn(turn)
+            row["n_turns"] += 1
+            self.turns.update(f"{role}\n{text}\n".encode())
+            while self.spans and self.spans[0][0] < at + len(turn):
+                start, length = self.spans.popleft()
+                learned = unescape(turn[start - at : start - at + length])
+                row["loss_chars"] += len(learned)
+                self.learned.update(learned.encode())
+
+    def finish(self) -> dict:
+        self.reader.close()
+        return self.row | {"turns_sha256": self.turns.hexdigest(), "loss_sha256": self.learned.hexdigest()}
+
+
 def as_parts(turns: DataFrame) -> DataFrame:
     """Plain rows (conv_id, turn, role, text) as turns of one text part."""
     part = F.struct(
@@ -178,38 +242,22 @@ def format_turns(turns: DataFrame, learned_role: str = "assistant") -> DataFrame
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of each conversation, parsed from its formatted turns."""
-
-    def digest(x: dict) -> dict:
-        return {k: v.hexdigest() if k.endswith("sha256") else v for k, v in x.items()}
+    """Digests of each conversation, parsed from its turns joined in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict | None = None
+        held: Digests | None = None
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                formatted_text = row["formatted"]
-                if held is None or held["conv_id"] != row["conv_id"]:
+                if held is None or held.row["conv_id"] != row["conv_id"]:
                     if held is not None:
-                        out.append(digest(held))
-                    held = {
-                        "conv_id": row["conv_id"], "n_turns": 0, "turns_sha256": hashlib.sha256(), "loss_chars": 0,
-                        "loss_sha256": hashlib.sha256(), "formatted_chars": 0, "n_attachments": 0, "attachment_tokens": 0,
-                    }
-                role, text = parse_turn(formatted_text)
-                held["n_turns"] += 1
-                held["turns_sha256"].update(f"{role}\n{text}\n".encode())
-                for span in row["loss"]:
-                    learned = unescape(formatted_text[span["start"] : span["start"] + span["length"]])
-                    held["loss_chars"] += len(learned)
-                    held["loss_sha256"].update(learned.encode())
-                held["formatted_chars"] += len(formatted_text)
-                held["n_attachments"] += len(row["attachments"])
-                held["attachment_tokens"] += sum(x["tokens"] for x in row["attachments"])
+                        out.append(held.finish())
+                    held = Digests(row["conv_id"])
+                held.add(row["formatted"], row["loss"], row["attachments"])
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=DIGESTS)
         if held is not None:
-            yield pa.RecordBatch.from_pylist([digest(held)], schema=DIGESTS)
+            yield pa.RecordBatch.from_pylist([held.finish()], schema=DIGESTS)
 
     dealt = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "formatted")
     return dealt.select("conv_id", "formatted", "loss", "attachments").mapInArrow(run, DIGESTS_DDL)

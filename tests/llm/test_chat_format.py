@@ -64,5 +64,24 @@ def test_digests_read_back(spark):
     assert got == expected(rows)
 
 
+@pytest.mark.parametrize("size", [1, 2, 7, 10_000_000])
+def test_turns_are_read_off_the_joined_conversation(size):
+    turns = [cf.format_turn(role, [{"text": text}])["formatted"] for role in ("user", "<|end|>", None) for text in NASTY if len(text) < 100]
+    whole, reader, got = "".join(turns), cf.TurnReader(), []
+    for at in range(0, len(whole), size):
+        got += reader.feed(whole[at : at + size])
+    reader.close()
+    assert [t for _, t in got] == turns and all(whole.startswith(t, at) for at, t in got)
+
+
+def test_a_cut_conversation_is_an_error():
+    reader = cf.TurnReader()
+    assert list(reader.feed(cf.format_turn("user", [])["formatted"] + "<|turn|>user<|text|>and")) and reader.held
+    with pytest.raises(ValueError, match="no end"):
+        reader.close()
+    with pytest.raises(ValueError, match="no turn"):
+        list(cf.TurnReader().feed("user<|text|>x<|end|>"))
+
+
 def test_empty_table(spark):
     assert cf.read_back(cf.format_turns(cf.as_parts(spark.createDataFrame([], SCHEMA)))).collect() == []
