@@ -58,6 +58,7 @@ _TAG_GROUP = {t: i for i, names in enumerate(TAG_GROUPS.values()) for t in names
 _WORD_GROUP = {w: i for i, words in enumerate(WORD_GROUPS.values()) for w in words.split()}
 N_TAGS, N_WORDS = len(TAG_GROUPS), len(WORD_GROUPS)
 OTHER_TAG = N_TAGS
+_NOSCRIPT_END = re.compile(r"</noscript\s*>", re.I)
 
 
 class Page:
@@ -109,6 +110,9 @@ def parse(html: str, marked: bool = True) -> Page:
         return len(parents) - 1
 
     def put(text: str) -> None:
+        nonlocal hidden
+        if hidden and text and not text.isspace():
+            hidden = 0  # text that is no title ends the head, as in a browser
         if not text or hidden or text.isspace() and not texts:
             return
         if not stack:
@@ -159,7 +163,11 @@ def parse(html: str, marked: bool = True) -> Page:
         if tag in ("html", "body") and any(t == tag for t, _ in stack):
             continue
         if hidden:
-            if tag in VOID or tag == "noscript":
+            if tag in VOID:
+                continue
+            if tag == "noscript":
+                end = _NOSCRIPT_END.search(html, at)
+                at = end.end() if end else at
                 continue
             hidden = 0  # a body element ends the head
         if tag in CLOSES_P:

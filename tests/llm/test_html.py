@@ -112,3 +112,21 @@ def test_text_of_embedded_elements_in_paragraphs_is_judged(model, inline):
     words = html_dom.re.sub("<[^>]*>", " ", inline).split()
     assert "".join(words) in "".join(got.split())
     assert TEXT.split()[-1] == got.split()[-1] and "cookies" not in got and "Other stories" not in got
+
+
+def texts_of(html):
+    return " ".join(" ".join(t for _, _, t in html_dom.parse(html).texts).split())
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<head><title>t</title>Words here<p>more</p>", "Words here more"),
+        ("<html><head><meta name=a>\n <title>t</title> \n</head><body><p>more</p></body></html>", "more"),
+        ("<head><noscript>no <img src=x> script</noscript><title>t</title><p>more</p>", "more"),
+        ("<head><title>t</title><noscript>never closed<p>more</p>", "never closed more"),
+        ("<head><script>var x = 'a';</script><style>b {}</style>&amp; then", "&amp; then"),
+    ],
+)
+def test_text_ends_the_head(html, want):
+    assert texts_of(html) == want
