@@ -2,19 +2,16 @@
 
 A text is a sequence of lower-cased words and one end.  A word, with the
 vocabulary's word-start sign before it, is a lattice of all its segmentations
-into pieces of an existing vocabulary, by forward recursion in log space, and
-one arc more for the whole word if it was seen in training.  Its probability is
-the sum over all paths: ``share * P(pieces) + (1 - share) * c / N``, which adds
-up to at most 1 over all words, seen or not.  Paths never cross words, so that a text's marginal probability is the product over
-its words and its end.
+into pieces of an existing vocabulary.  Its probability is the sum over all of
+them, by forward recursion in log space, whether the word was seen in training
+or not.  Paths never cross words, so that a text's marginal probability is the
+product over its words and its end.
 
 The vocabulary is a public tokenizer's and is never changed.  Its own scores
 are ranks; they start the pieces' probabilities (by Zipf's law), and expectation
 maximisation over the counts of all training words (forward-backward, soft
-counts of all segmentations) fits them and ``share`` to the corpus.  There a
-word's own arc counts one use less, as if the word were met anew: so words
-seen once teach the pieces what unseen words look like.  A character that is
-no piece costs one learned pseudo-piece and its bytes at 1/256 each.
+counts of all segmentations) fits them to the corpus.  A character that is no
+piece costs one learned pseudo-piece and its bytes at 1/256 each.
 
 Scale: texts are split twice.  The first pass counts words; the table of
 distinct words carries counts and lattice probabilities from there on, so that
@@ -184,33 +181,23 @@ class Lattice:
             out[np.array(full)[which]] = self.forward(self.edges(points, n)[1])[np.arange(len(which)), n]
         return out
 
-    def soft_counts(self, words: list[str], counts: np.ndarray, share: float, tokens: int) -> tuple[np.ndarray, float]:
-        """Expected number of uses of each piece (and of unknown characters),
-        and of words that go through pieces, leaving each word out once."""
-        total, through = np.zeros(self.none), 0.0
-        arcs = (1 - share) * np.maximum(counts - 1, 0) / tokens
-
-        def weigh(which: np.ndarray, whole: np.ndarray) -> np.ndarray:
-            nonlocal through
-            by_pieces = share * np.exp(whole)
-            weight = counts[which] * np.where(arcs[which] > 0, by_pieces / np.maximum(by_pieces + arcs[which], 1e-300), 1.0)
-            through += weight.sum()
-            return weight
-
-        ends = np.flatnonzero([w == END for w in words])
-        full = np.flatnonzero([w != END for w in words])
-        total[0] = weigh(ends, np.full(len(ends), self.logp[0])).sum()
+    def soft_counts(self, words: list[str], counts: np.ndarray) -> np.ndarray:
+        """Expected number of uses of each piece, and of unknown characters."""
+        total = np.zeros(self.none)
+        ends = np.array([w == END for w in words], dtype=bool)
+        full = np.flatnonzero(~ends)
+        total[0] = counts[ends].sum()
         for which, points, n in self.batches([words[i] for i in full]):
             pieces, scores = self.edges(points, n)
             a, b = self.forward(scores), self.backward(scores, n)
             whole = a[np.arange(len(which)), n]
-            weight = weigh(full[which], whole)[:, None]
+            weight = counts[full[which]][:, None]
             for k, (found, score) in enumerate(zip(pieces, scores, strict=True), 1):
                 width = found.shape[1]
                 live = score > -np.inf
                 used = np.exp(np.where(live, a[:, :width] + score + b[:, k : k + width] - whole[:, None], -np.inf)) * weight
                 total += np.bincount(found[live], weights=used[live], minlength=self.none + 1)[: self.none]
-        return total, through
+        return total
 
 
 def split_words(text: bytes) -> list[bytes]:
@@ -246,44 +233,37 @@ def count_words(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
 
-def fit_pieces(counts: DataFrame, pieces: list[tuple[str, float]], tokens: int, rounds: int = EM_ROUNDS) -> tuple[np.ndarray, float]:
-    """Log probabilities of the pieces and of unknown characters, and the share
-    of words that go through pieces."""
-    names = [p for p, _ in pieces]
-    logp, share = starting_probabilities(pieces), 0.1 if tokens else 1.0
+def fit_pieces(counts: DataFrame, pieces: list[tuple[str, float]], tokens: int, rounds: int = EM_ROUNDS) -> np.ndarray:
+    """Log probabilities of the pieces and of unknown characters."""
+    names, logp = [p for p, _ in pieces], starting_probabilities(pieces)
     trained = counts.filter("c > 0").select("word", "c")
     for _ in range(rounds if tokens else 0):
-        shared = counts.sparkSession.sparkContext.broadcast((names, logp, share))
+        shared = counts.sparkSession.sparkContext.broadcast((names, logp))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            names, logp, share = shared.value
-            lattice = Lattice(names, logp)
-            total = np.zeros(len(logp) + 1)
+            lattice = Lattice(*shared.value)
+            total = np.zeros(lattice.none)
             for batch in batches:
-                uses, through = lattice.soft_counts(batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(float), share, tokens)
-                total += np.append(uses, through)
+                total += lattice.soft_counts(batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(float))
             used = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.float64())], names=["piece", "uses"])
 
         used = trained.mapInArrow(run, "piece int, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).collect()  # at most a row for each piece
-        uses = np.full(len(logp) + 1, PIECE_PSEUDO_COUNT)
+        uses = np.full(len(logp), PIECE_PSEUDO_COUNT)
         for r in used:
             uses[r.piece] += r.uses
-        logp, share = np.log(uses[:-1] / uses[:-1].sum()), float(uses[-1] / (tokens + 2 * PIECE_PSEUDO_COUNT))
-    return logp, share
+        logp = np.log(uses / uses.sum())
+    return logp
 
 
-def with_lattice(counts: DataFrame, pieces: list[tuple[str, float]], logp: np.ndarray, share: float, tokens: int) -> DataFrame:
+def with_lattice(counts: DataFrame, pieces: list[tuple[str, float]], logp: np.ndarray) -> DataFrame:
     """``counts`` with ``lattice``, the log10 probability of each word."""
     shared = counts.sparkSession.sparkContext.broadcast(([p for p, _ in pieces], logp))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(*shared.value)
         for batch in batches:
-            by_pieces = lattice.word_logps(batch.column(0).to_pylist()) + math.log(share)
-            with np.errstate(divide="ignore"):
-                by_arc = np.log((1 - share) * batch.column(1).to_numpy() / max(tokens, 1))
-            yield batch.append_column("lattice", pa.array(np.logaddexp(by_pieces, by_arc) / math.log(10)))
+            yield batch.append_column("lattice", pa.array(lattice.word_logps(batch.column(0).to_pylist()) / math.log(10)))
 
     return counts.mapInArrow(run, "word string, c long, n long, lattice double")
 
@@ -296,8 +276,7 @@ def score_documents(docs: DataFrame, path: str | None = None, folds: int = FOLDS
     counts = materialize(count_words(docs, folds), "word-counts")
     total = counts.agg(F.sum("c").alias("tokens"), F.sum((F.col("c") > 0).cast("long")).alias("distinct"), F.sum("n").alias("all")).first()
     tokens, distinct, everything = (int(x or 0) for x in total)
-    logp, share = fit_pieces(counts, pieces, tokens)
-    known = materialize(with_lattice(counts, pieces, logp, share, tokens), "word-scores")
+    known = materialize(with_lattice(counts, pieces, fit_pieces(counts, pieces, tokens)), "word-scores")
     floor = math.log10(tokens + PSEUDO_COUNT * (distinct + 1))
 
     heavy = known.filter((F.col("n") * HEAVY > everything) & (F.octet_length("word") <= HEAVY_BYTES))

@@ -41,18 +41,15 @@ def test_forward_sums_all_segmentations():
 
 def test_soft_counts_are_expected_uses():
     names, p, lattice = small()
-    words, counts, share, tokens = ["ab", "babé", "", "x"], np.array([3.0, 1.0, 2.0, 1.0]), 0.3, 7
-    got, through = lattice.soft_counts(words, counts, share, tokens)
-    want, expected_through = Counter(), 0.0
+    words, counts = ["ab", "babé", "", "x"], np.array([3.0, 1.0, 2.0, 1.0])
+    got = lattice.soft_counts(words, counts)
+    want = Counter()
     for w, c in zip(words, counts, strict=True):
         ways = [(p[0], [""])] if w == "" else segmentations("▁" + w, dict(zip(names, p, strict=False)), p[-1])
         whole = sum(x for x, _ in ways)
-        weight = c * share * whole / (share * whole + (1 - share) * (c - 1) / tokens)
-        expected_through += weight
         for x, used in ways:
             for piece in used:
-                want[piece] += weight * x / whole
-    assert math.isclose(through, expected_through)
+                want[piece] += c * x / whole
     for i, name in enumerate([*names, "?"]):
         assert math.isclose(got[i], want[name], abs_tol=1e-9), name
 
@@ -102,7 +99,7 @@ def test_nul_is_an_unknown_character():
     words = ["\0", "a\0b", "ab\0", "abab"]
     want = [sum(x for x, _ in segmentations("▁" + w, dict(zip(names, p, strict=False)), p[-1])) for w in words]
     assert np.allclose(np.exp(lattice.word_logps(words)), want, rtol=1e-9, atol=0)
-    assert np.isfinite(lattice.soft_counts(words, np.ones(4), 0.3, 4)[0]).all()
+    assert np.isfinite(lattice.soft_counts(words, np.ones(4))).all()
 
 
 def test_nul_in_training_and_held_out_texts(spark):
@@ -111,3 +108,23 @@ def test_nul_in_training_and_held_out_texts(spark):
     rows = [(held, "so\0me words"), (trained, "other wo\0rds \0")]
     got = lm.score_documents(spark.createDataFrame(rows, SCHEMA)).collect()
     assert len(got) == 2 and all(math.isfinite(r.score) and r.score < 0 for r in got)
+
+
+def test_score_is_the_lattice_whether_a_word_was_seen_or_not(spark):
+    pieces = lm.vocabulary()
+    logp = lm.starting_probabilities(pieces)
+    words = [("abba", 0, 1), ("zqxj", 500, 500), ("the", 9, 9), ("", 3, 3)]
+    got = {r.word: r.lattice for r in lm.with_lattice(spark.createDataFrame(words, "word string, c long, n long"), pieces, logp).collect()}
+    again = {r.word: r.lattice for r in lm.with_lattice(spark.createDataFrame([(w, 7 * n, 7 * n) for w, _, n in words], "word string, c long, n long"), pieces, logp).collect()}
+    table = dict(zip([p for p, _ in pieces], np.exp(logp), strict=False))
+    for w in ("abba", "zqxj", "the"):
+        want = sum(x for x, _ in segmentations("▁" + w, table, math.exp(logp[-1])))
+        assert math.isclose(got[w], math.log10(want), rel_tol=1e-9) and got[w] == again[w]
+
+
+def test_fitted_pieces_say_more_of_the_corpus(spark):
+    counts = spark.createDataFrame([("the", 50, 50), ("theme", 3, 4), ("zqxj", 2, 2), ("", 5, 5)], "word string, c long, n long")
+    pieces = lm.vocabulary()
+    total = lambda logp: sum(r.c * r.lattice for r in lm.with_lattice(counts, pieces, logp).collect())
+    steps = [total(lm.fit_pieces(counts, pieces, 60, rounds)) for rounds in (0, 1, 2)]
+    assert steps[0] < steps[1] < steps[2]
