@@ -85,7 +85,7 @@ def test_words_and_features_of_one_text_do_not_depend_on_others():
 
 
 def test_sample_is_limited_before_the_shuffle(spark):
-    keys = spark.range(5000).selectExpr("id AS doc_id", "'aa' AS lang")
+    keys = spark.range(5000).selectExpr("id AS doc_id", "concat('a', id % 2) AS lang")
     plan = li.first_by_hash(keys, li.SAMPLE_ROWS, "lang")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     with pytest.raises(ValueError, match="1,000"):
