@@ -5,13 +5,14 @@ shard gets a graph: layers of ever fewer vectors, in which every vector is
 linked to near ones of its layer.  Vectors are inserted in batches of doubling
 size; a batch searches the graph so far and itself.  Every vector queries every
 shard of its label: greedily down to the lowest layer, then with a beam that is
-as wide as it must be.  An audit compares a bounded sample of ``AUDIT_QUERIES``
-queries with the whole shard, and beams are widened until they hold ``RECALL`` of
-the sample's ``AUDIT_NEAREST`` nearest vertices: every query has such, so that
-the audit is never empty, however rare links are.  A beam full of links is
-widened further for its query; the widest beam, and the last step of both, is
-the whole shard.  Vertices that no path joins to the entry are compared with
-every query.
+as wide as it must be.  An audit turns a bounded sample of ``AUDIT_PROBES``
+vertices towards queries until they are as far off as a link may be, compares
+these probes with the whole shard, and beams are widened until they hold
+``RECALL`` of the probes' links: every probe has one, so that the audit is never
+empty, however rare links are, and it judges the hardest links.  A beam full of
+links is widened further for its query; the widest beam, and the last step of
+both, is the whole shard.  Vertices that no path joins to the entry are compared
+with every query.
 
 Links are verified by cosine in double precision.  A pair of shards meets in one
 task, which queries both graphs and keeps a link that either side found, so
@@ -47,8 +48,9 @@ BUILD_BEAM = 64
 BEAM, WIDEN = 32, 4
 EXPAND = 4  # vertices of each beam that are expanded in one step
 BATCH = 512
-AUDIT_QUERIES, AUDIT_NEAREST = 128, 10
-RECALL = 0.99
+AUDIT_PROBES = 512
+RECALL = 0.995
+SLACK = 1e-4  # the graph's cosines are single precision
 
 
 def beam_search(x: np.ndarray, links: np.ndarray, asked: np.ndarray, entry: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -190,32 +192,33 @@ def spread(x: np.ndarray, near: np.ndarray, sims: np.ndarray, most: int) -> np.n
     return out
 
 
-def audit(exact: np.ndarray, asked: np.ndarray, itself: bool) -> tuple[np.ndarray, np.ndarray]:
-    """A bounded random sample of the queries, and their cosines to all vertices.
-    ``itself``: the queries are the vertices, and a vertex is not its own neighbour."""
-    sample = np.random.default_rng(11).permutation(len(asked))[:AUDIT_QUERIES]
-    cosines = asked[sample] @ exact.T
-    if itself:
-        cosines[np.arange(len(sample)), sample] = -np.inf
-    return sample, cosines
+def audit(exact: np.ndarray, asked: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """A bounded random sample of the vertices, and a probe for each: the vertex
+    turned towards a random query until their cosine is ``threshold``."""
+    rng = np.random.default_rng(11)
+    places = rng.permutation(len(exact))[:AUDIT_PROBES]
+    held, towards = exact[places], asked[rng.integers(len(asked), size=len(places))]
+    aside = towards - (towards * held).sum(axis=1, keepdims=True) * held
+    size = np.linalg.norm(aside, axis=1, keepdims=True)
+    probes = threshold * held + np.sqrt(max(0.0, 1 - threshold**2)) * aside / np.maximum(size, 1e-300)
+    return places, np.where(size > 1e-6, probes, held)  # a query along the vertex turns it nowhere
 
 
 def wider(width: int, n: int) -> int:
-    """The next width: beams of half a shard cost more than the scan, the last step."""
-    return width * WIDEN if 2 * width * WIDEN <= n else n
+    """The next width: beams over a sixteenth of a shard cost more than the scan, the last step."""
+    return width * WIDEN if 16 * width * WIDEN <= n else n
 
 
-def audited_width(graph: Graph, asked: np.ndarray, cosines: np.ndarray, nearest: int) -> int:
-    """The first width whose beams hold ``RECALL`` of the ``nearest`` vertices of
-    the sampled queries; the number of vertices if none does."""
-    n, width = cosines.shape[1], BEAM
-    if nearest < 1:
-        return n
-    least = -np.partition(-cosines, nearest - 1, axis=1)[:, nearest - 1 : nearest]
+def audited_width(graph: Graph, exact: np.ndarray, probes: np.ndarray, threshold: float) -> int:
+    """The first width whose beams hold ``RECALL`` of the probes' links, or are
+    full of links (they are widened later); the number of vertices if none does."""
+    n, width = len(exact), BEAM
+    true = probes @ exact.T >= threshold - 1e-9
     while width < n:
-        ids, _ = graph.search(asked, width)
-        found = (np.take_along_axis(cosines, np.maximum(ids, 0), 1) >= least) & (ids >= 0)
-        if np.minimum(found.sum(axis=1), nearest).mean() >= RECALL * nearest:
+        ids, sims = graph.search(probes.astype(np.float32), width)
+        found = (np.take_along_axis(true, np.maximum(ids, 0), 1) & (ids >= 0)).sum(axis=1)
+        held = np.where((sims >= threshold - SLACK).all(axis=1), 1.0, found / np.maximum(true.sum(axis=1), 1))
+        if held.mean() >= RECALL:
             break
         width = wider(width, n)
     return min(width, n)
@@ -226,16 +229,13 @@ def scan(exact: np.ndarray, asked: np.ndarray, threshold: float) -> np.ndarray:
     return asked @ exact.T >= threshold
 
 
-def find_links(graph: Graph, exact: np.ndarray, asked: np.ndarray, threshold: float, itself: bool = False) -> np.ndarray:
+def find_links(graph: Graph, exact: np.ndarray, asked: np.ndarray, threshold: float) -> np.ndarray:
     """Boolean matrix (queries x vertices) of pairs with cosine >= threshold;
-    ``exact`` and ``asked`` hold unit vectors in double precision.  ``itself``:
-    the queries are the graph's own vertices."""
+    ``exact`` and ``asked`` hold unit vectors in double precision."""
     n = len(exact)
     out = np.zeros((len(asked), n), dtype=bool)
-    slack = 1e-4  # the graph's cosines are single precision
     single = asked.astype(np.float32)
-    sample, cosines = audit(exact, asked, itself)
-    width = audited_width(graph, single[sample], cosines, min(AUDIT_NEAREST, n - itself))
+    width = audited_width(graph, exact, audit(exact, asked, threshold)[1], threshold)
     cut_off = graph.unreached()
     if len(cut_off):
         out[:, cut_off] = asked @ exact[cut_off].T >= threshold
@@ -248,7 +248,7 @@ def find_links(graph: Graph, exact: np.ndarray, asked: np.ndarray, threshold: fl
                 out[rows] |= scan(exact, asked[rows], threshold)
                 continue
             ids, sims = graph.search(single[rows], width)
-            near = sims >= threshold - slack
+            near = sims >= threshold - SLACK
             i, j = np.nonzero(near)
             i, j = rows[i], ids[i, j]
             good = np.einsum("pd,pd->p", exact[j], asked[i]) >= threshold
@@ -256,7 +256,6 @@ def find_links(graph: Graph, exact: np.ndarray, asked: np.ndarray, threshold: fl
             full.append(rows[near.all(axis=1)])
         todo = np.concatenate(full) if full else todo[:0]
         width = wider(width, n)
-    out[sample] |= cosines >= threshold
     return out
 
 
@@ -321,7 +320,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93, shard: int =
         shard_of = group["shard"].to_numpy()
         graph_a, a, ids_a, copies_a = load(group.filter(pa.array(shard_of == one)))
         if one == two:
-            links = find_links(graph_a, a, a, threshold, itself=True)
+            links = find_links(graph_a, a, a, threshold)
             links |= links.T
             np.fill_diagonal(links, False)
             counts = [(ids_a, links.astype(np.float32) @ copies_a)]

@@ -145,7 +145,7 @@ def test_groups_that_the_graph_cuts_off_are_found():
         others = np.setdiff1d(np.arange(len(layer)), group)
         layer[others] = np.where(np.isin(layer[others], group), len(x), layer[others])
     assert set(group) <= set(graph.unreached()) or graph.top[group].max() == graph.top.max()
-    links = hnsw_dedup.find_links(graph, x, x, 0.93, itself=True)
+    links = hnsw_dedup.find_links(graph, x, x, 0.93)
     want = x @ x.T >= 0.93
     assert (links[group] == want[group]).all() and (links & want).sum() >= 0.99 * want.sum() and not (links & ~want).any()
 
@@ -157,7 +157,7 @@ def test_own_vertices_are_no_evidence_of_recall():
     lowest = graph.layers[0]
     for i in range(1200):  # the links of each pair go
         lowest[i][lowest[i] == i ^ 1] = len(x)
-    links = hnsw_dedup.find_links(graph, x, x, 0.93, itself=True)
+    links = hnsw_dedup.find_links(graph, x, x, 0.93)
     assert (links & (x @ x.T >= 0.93)).sum() >= 0.98 * (x @ x.T >= 0.93).sum()
 
 
@@ -183,8 +183,10 @@ def test_rare_links_come_through_the_graph(monkeypatch, itself):
     scanned = []
     whole = hnsw_dedup.scan
     monkeypatch.setattr(hnsw_dedup, "scan", lambda exact, asked, threshold: scanned.append(len(asked)) or whole(exact, asked, threshold))
-    assert len(hnsw_dedup.audit(a, b, itself)[0]) == hnsw_dedup.AUDIT_QUERIES
-    links = hnsw_dedup.find_links(built(a), a, b, 0.93, itself)
+    places, probes = hnsw_dedup.audit(a, b, 0.93)
+    assert len(places) == hnsw_dedup.AUDIT_PROBES  # each has a link: the audit is never empty
+    assert np.allclose((probes * a[places]).sum(axis=1), 0.93) and np.allclose(np.linalg.norm(probes, axis=1), 1)
+    links = hnsw_dedup.find_links(built(a), a, b, 0.93)
     want = b @ a.T >= 0.93
     if itself:
         np.fill_diagonal(want, False)
@@ -192,6 +194,18 @@ def test_rare_links_come_through_the_graph(monkeypatch, itself):
     assert not scanned and want.sum() >= 12 and (links == want).all()
 
 
+def test_audit_widens_until_links_at_the_threshold_are_found():
+    x = unit_vectors(4000, 24, 16)
+    graph = built(x)
+    assert hnsw_dedup.audited_width(graph, x, hnsw_dedup.audit(x, x, 0.93)[1], 0.93) == hnsw_dedup.BEAM
+    for layer in graph.layers:  # most links go
+        layer[:, 2:] = len(x)
+    width = hnsw_dedup.audited_width(graph, x, hnsw_dedup.audit(x, x, 0.93)[1], 0.93)
+    assert width > hnsw_dedup.BEAM
+    alike = np.repeat(x[:1], 40, axis=0)  # a query along a vertex turns it nowhere
+    assert np.allclose(hnsw_dedup.audit(alike, alike, 0.93)[1], alike)
+
+
 def two_lengths(n=300):
     rng = np.random.default_rng(15)
     rows = []
