@@ -93,14 +93,19 @@ def training_row(modulus: int) -> Column:
 
 def first_by_hash(keyed: DataFrame, n: int, per: str | None = None) -> DataFrame:
     """A bounded sample of (doc_id, ...): the ``n`` rows, of each ``per`` if it
-    is named, whose ids have the smallest hashes (``__order``).  With ``per``,
-    ``n`` is at most 1,000: up to there Spark keeps the first of each group
-    before the shuffle, so that a hot group does not meet in one task."""
+    is named, whose ids have the smallest hashes (``__order``); with ``per``, rows
+    that repeat count once.  A group's (estimated) size then bounds the hashes that can
+    be among its first, so that about ``2 * n`` rows of each are shuffled, however
+    large it is; ``n`` is at most 1,000, up to which Spark also limits the rest."""
     keyed = keyed.withColumn("__order", F.xxhash64(F.lit(11), "doc_id"))
     if per is None:
         return keyed.orderBy("__order", "doc_id").limit(n)
     if n > 1000:
         raise ValueError("more than 1,000 rows of a group would all be shuffled to one task")
+    # sizes are written first, so that Spark broadcasts them where the file is small
+    sizes = materialize(keyed.groupBy(per).agg(F.greatest(F.approx_count_distinct("doc_id"), F.lit(1)).alias("__size")), "group-sizes")
+    share = F.col("__order") / F.lit(2.0**64) + 0.5  # uniform in [0, 1]
+    keyed = keyed.join(sizes, per).filter(share * F.col("__size") <= 2 * n).drop("__size").distinct()
     rank = F.row_number().over(Window.partitionBy(per).orderBy("__order", "doc_id"))
     return keyed.withColumn("__rank", rank).filter(F.col("__rank") <= n).drop("__rank")
 

@@ -210,7 +210,7 @@ class Learner:
 
 def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, folds: int = FOLDS) -> Crf:
     known = docs.filter("lang is not null and text is not null").filter(training_row(folds))
-    keys = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).distinct()
+    keys = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     sample = materialize(first_by_hash(keys, sample_rows, "lang"), "language-sample")
     languages = sorted(r.lang for r in sample.select("lang").distinct().collect())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "lang")

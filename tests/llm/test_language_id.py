@@ -90,3 +90,11 @@ def test_sample_is_limited_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
     with pytest.raises(ValueError, match="1,000"):
         li.first_by_hash(keys, 1001, "lang")
+
+
+def test_sample_is_the_first_of_each_group_whatever_its_size(spark):
+    keys = spark.range(30_000).selectExpr("id DIV 2 AS doc_id", "if(id % 200 < 2, 'rare', 'hot') AS lang")  # every id twice
+    found = li.first_by_hash(keys, 200, "lang")
+    want = keys.distinct().selectExpr("*", "row_number() over (partition by lang order by xxhash64(11, doc_id), doc_id) AS r").filter("r <= 200")
+    assert {(r.doc_id, r.lang) for r in found.collect()} == {(r.doc_id, r.lang) for r in want.collect()}
+    assert {r["lang"]: r["count"] for r in found.groupBy("lang").count().collect()} == {"hot": 200, "rare": 150}
