@@ -50,6 +50,8 @@ END = ""  # words are never empty
 START_SIGN = "▁"
 FLUSH_WORDS = 200_000
 CELLS = 1 << 16
+TOGETHER = 60_000  # words whose lattices are run together, and
+TOGETHER_BYTES = 4 << 20  # their bytes
 
 
 def vocabulary(path: str | None = None) -> list[tuple[str, float]]:
@@ -98,15 +100,24 @@ class Lattice:
                 self.slots[at + free[0]] = i
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
-        at = (keys >> np.uint64(64 - self.SLOT_BITS)).astype(np.int64)
-        found = np.full(keys.shape, self.none, dtype=np.int32)
-        for probe in range(self.PROBES):
-            got = self.slots[at + probe]
-            if probe and (got == self.none).all():
+        """Piece of each key.  Most places are no piece, which an empty slot
+        tells at once; only those that meet another piece look further."""
+        sought = keys.ravel()
+        at = (sought >> np.uint64(64 - self.SLOT_BITS)).astype(np.int64)
+        found = self.slots[at]
+        left = np.flatnonzero(found != self.none)
+        left = left[self.keys[found[left]] != sought[left]]
+        found[left] = self.none
+        for probe in range(1, self.PROBES):
+            if not len(left):
                 break
-            hit = (self.keys[got] == keys) & (got != self.none)
-            found[hit] = got[hit]
-        return found
+            got = self.slots[at[left] + probe]
+            taken = got != self.none
+            left, got = left[taken], got[taken]
+            hit = self.keys[got] == sought[left]
+            found[left[hit]] = got[hit]
+            left = left[~hit]
+        return found.reshape(keys.shape)
 
     def edges(self, points: np.ndarray, lengths: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Piece and log score of the pieces of each length at each place of
@@ -132,27 +143,29 @@ class Lattice:
 
     def forward(self, scores: list[np.ndarray]) -> np.ndarray:
         rows, width = scores[0].shape
-        a = np.full((rows, width + 1), -np.inf)
-        a[:, 0] = 0
+        a = np.full((width + 1, rows), -np.inf)
+        a[0] = 0
+        steps = [np.ascontiguousarray(x.T) for x in scores]
         for j in range(1, width + 1):
-            for n in range(1, min(j, len(scores)) + 1):
-                step = scores[n - 1][:, j - n]
-                live = step > -np.inf
-                if live.any():
-                    a[live, j] = np.logaddexp(a[live, j], a[live, j - n] + step[live])
-        return a
+            for n in range(1, min(j, len(steps)) + 1):
+                step = steps[n - 1][j - n]
+                live = np.flatnonzero(step > -np.inf)
+                if len(live):
+                    a[j, live] = np.logaddexp(a[j, live], a[j - n, live] + step[live])
+        return a.T
 
     def backward(self, scores: list[np.ndarray], lengths: np.ndarray) -> np.ndarray:
         rows, width = scores[0].shape
-        b = np.full((rows, width + 1), -np.inf)
-        b[np.arange(rows), lengths] = 0
+        b = np.full((width + 1, rows), -np.inf)
+        b[lengths, np.arange(rows)] = 0
+        steps = [np.ascontiguousarray(x.T) for x in scores]
         for i in range(width - 1, -1, -1):
-            for n in range(1, min(width - i, len(scores)) + 1):
-                step = scores[n - 1][:, i]
-                live = step > -np.inf
-                if live.any():
-                    b[live, i] = np.logaddexp(b[live, i], step[live] + b[live, i + n])
-        return b
+            for n in range(1, min(width - i, len(steps)) + 1):
+                step = steps[n - 1][i]
+                live = np.flatnonzero(step > -np.inf)
+                if len(live):
+                    b[i, live] = np.logaddexp(b[i, live], step[live] + b[i + n, live])
+        return b.T
 
     @staticmethod
     def batches(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -191,12 +204,12 @@ class Lattice:
             pieces, scores = self.edges(points, n)
             a, b = self.forward(scores), self.backward(scores, n)
             whole = a[np.arange(len(which)), n]
-            weight = counts[full[which]][:, None]
+            weight = counts[full[which]]
             for k, (found, score) in enumerate(zip(pieces, scores, strict=True), 1):
-                width = found.shape[1]
-                live = score > -np.inf
-                used = np.exp(np.where(live, a[:, :width] + score + b[:, k : k + width] - whole[:, None], -np.inf)) * weight
-                total += np.bincount(found[live], weights=used[live], minlength=self.none + 1)[: self.none]
+                row, at = np.nonzero(score > -np.inf)
+                live = score[row, at]
+                used = np.exp(a[row, at] + live + b[row, at + k] - whole[row]) * weight[row]
+                total += np.bincount(found[row, at], weights=used, minlength=self.none + 1)[: self.none]
         return total
 
 
@@ -233,6 +246,18 @@ def count_words(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
 
+def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of ``batches`` in fewer and larger parts."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(x.num_rows for x in held) >= TOGETHER or sum(x.nbytes for x in held) >= TOGETHER_BYTES:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def fit_pieces(counts: DataFrame, pieces: list[tuple[str, float]], tokens: int, rounds: int = EM_ROUNDS) -> np.ndarray:
     """Log probabilities of the pieces and of unknown characters."""
     names, logp = [p for p, _ in pieces], starting_probabilities(pieces)
@@ -243,7 +268,7 @@ def fit_pieces(counts: DataFrame, pieces: list[tuple[str, float]], tokens: int,
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             lattice = Lattice(*shared.value)
             total = np.zeros(lattice.none)
-            for batch in batches:
+            for batch in joined(batches):
                 total += lattice.soft_counts(batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(float))
             used = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.float64())], names=["piece", "uses"])
@@ -262,8 +287,8 @@ def with_lattice(counts: DataFrame, pieces: list[tuple[str, float]], logp: np.nd
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(*shared.value)
-        for batch in batches:
-            yield batch.append_column("lattice", pa.array(lattice.word_logps(batch.column(0).to_pylist()) / math.log(10)))
+        for batch in joined(batches):
+            yield from batch.append_column("lattice", pa.array(lattice.word_logps(batch.column(0).to_pylist()) / math.log(10))).to_batches()
 
     return counts.mapInArrow(run, "word string, c long, n long, lattice double")
 

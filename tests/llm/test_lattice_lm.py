@@ -128,3 +128,40 @@ def test_fitted_pieces_say_more_of_the_corpus(spark):
     total = lambda logp: sum(r.c * r.lattice for r in lm.with_lattice(counts, pieces, logp).collect())
     steps = [total(lm.fit_pieces(counts, pieces, 60, rounds)) for rounds in (0, 1, 2)]
     assert steps[0] < steps[1] < steps[2]
+
+
+def test_places_without_a_piece_are_looked_up_once():
+    class Counted(np.ndarray):
+        seen = 0
+
+        def __getitem__(self, at):
+            Counted.seen += np.size(at)
+            return np.asarray(self).__getitem__(at)
+
+    pieces = [lm.END, *(a + b for a in "abcdefgh" for b in "abcdefgh")]
+    lattice = lm.Lattice(pieces, np.full(len(pieces) + 1, -1.0))
+    keys = np.append(lattice.keys[1:-2], np.arange(1, 3997, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(-1, 7)
+    at = {int(k): i for i, k in enumerate(lattice.keys[1:-2], 1)}
+    want = [[at.get(int(k), lattice.none) for k in row] for row in keys]
+    lattice.slots = lattice.slots.view(Counted)
+    assert lattice._find(keys).tolist() == want
+    assert Counted.seen < 1.1 * keys.size
+
+
+def test_a_slot_that_others_hold_is_passed_over():
+    lattice = lm.Lattice([lm.END, "a", "b"], np.full(4, -1.0))
+    base = np.uint64(5 << (64 - lattice.SLOT_BITS))
+    lattice.keys[1:3] = base + np.uint64(1), base + np.uint64(2)
+    lattice.slots[:] = lattice.none
+    lattice.slots[5:7] = 1, 2
+    keys = np.array([[base + np.uint64(2), base + np.uint64(1), base + np.uint64(3)]], dtype=np.uint64)
+    assert lattice._find(keys).tolist() == [[2, 1, lattice.none]]
+
+
+def test_batches_are_joined_whole_and_in_order():
+    import pyarrow as pa
+
+    parts = [pa.RecordBatch.from_arrays([pa.array(range(a, a + 25_000))], names=["x"]) for a in range(0, 200_000, 25_000)]
+    out = list(lm.joined(iter(parts)))
+    assert [x.num_rows for x in out] == [75_000, 75_000, 50_000] and list(lm.joined(iter([]))) == []
+    assert [x for t in out for x in t["x"].to_pylist()] == list(range(200_000))
