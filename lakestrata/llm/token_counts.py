@@ -49,7 +49,9 @@ BLOCK_CHARS = 4 << 20
 KEPT_WORDS = 900_000
 KEPT_LENGTH = 64  # code points of a word that is kept
 KEPT_PAIRS = 1_500_000
+KEPT_TAILS = 200_000
 WINDOW = 4096  # positions of a word that are held before the oldest go
+TAIL = 4  # symbols by which the tokens that may end somewhere are looked up
 
 END = "</w>"
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")  # fixed values of the tokenizer's pattern
@@ -58,8 +60,9 @@ OUT_DDL = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fitting
 
 _PIECES = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
 _CUT = re.compile(r"(?<=[^ \t\r\n])(?=[ \t\r\n])")
-# blanks, Latin letters that composition and lower case take one by one, and a mark
-_PLAIN = re.compile(r"([ \t\r\n]{0,4})([A-Za-zÀ-ÖØ-öø-ÿ]{1,50})([.,;:!?]?)")
+# blanks, Latin letters that composition and lower case take one by one, and marks;
+# none that a contraction begins with
+_PLAIN = re.compile(r"([ \t\r\n]{0,4})([A-Za-zÀ-ÖØ-öø-ÿ]{1,50})([!-&(-/:-@\[-`{-~]{0,10})")
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -79,6 +82,12 @@ class Merges:
         self.longest = max(map(len, [*self.inner, *self.final]))
         #: text -> (token that goes on, token that ends the word), None where there is none
         self.tokens = {x: (x if x in self.inner else None, self.final.get(x)) for x in self.inner | self.final.keys()}
+        #: last symbols of a text -> lengths of the tokens that may end it, the longest first
+        self.sizes: dict[str, tuple[int, ...]] = {}
+        self.longer: dict[str, set[int]] = {}  # the same, of tokens from ``TAIL`` symbols on
+        for x in self.tokens:
+            if len(x) >= TAIL:
+                self.longer.setdefault(x[-TAIL:], set()).add(len(x))
         self.made: dict[str, tuple[int, str, str] | None] = {}
         self.known: dict[tuple[str, str], bool] = {}
 
@@ -94,6 +103,17 @@ class Merges:
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols
 
+    def sizes_of(self, tail: str) -> tuple[int, ...]:
+        """Lengths of the tokens that may end a text with these last ``TAIL``
+        symbols (or this whole text, if shorter), the longest first."""
+        found = self.sizes.get(tail)
+        if found is None:
+            if len(self.sizes) > KEPT_TAILS:
+                self.sizes.clear()
+            short = [n for n in range(1, min(len(tail) + 1, TAIL)) if tail[-n:] in self.tokens]
+            found = self.sizes[tail] = tuple(sorted([*self.longer.get(tail, ()), *short], reverse=True))
+        return found
+
     def making(self, token: str) -> tuple[int, str, str] | None:
         """The merge that makes a token, as (rank, left, right); rank -1 for a
         single symbol; None where merging its symbols gives something else."""
@@ -270,24 +290,31 @@ class PrefixCounter:
         return self.tokenizer.normalizer.normalize_str(raw)
 
     def learn_plain(self, words: set[str]) -> None:
-        """Keeps the steps of words of lower-case Latin letters.  In order, so
-        that what a word shares with the one before it is not done again."""
-        tokens, known, follows, longest = self.merges.tokens, self.merges.known, self.merges.follows, self.merges.longest
+        """Keeps the steps of words of lower-case Latin letters, or of marks.  In
+        order, so that what a word shares with the one before it is not done again."""
+        tokens, known, follows = self.merges.tokens, self.merges.known, self.merges.follows
+        sizes, sizes_of, symbols = self.merges.sizes, self.merges.sizes_of, self.symbols
         text, counts, last = "", [0], [""]  # by symbol
         ends, steps, count = [0], [0], [0]  # by letter: symbols up to it, step to its count, its count
         before = ""
         for word in sorted(words):
-            same = len(os.path.commonprefix((before, word)))
+            same = 0
+            for a, b in zip(before, word, strict=False):
+                if a != b:
+                    break
+                same += 1
             text = text[: ends[same]]
             del counts[len(text) + 1 :], last[len(text) + 1 :], ends[same + 1 :], steps[same + 1 :], count[same + 1 :]
             for letter in word[same:]:
-                for symbol in self.symbols(letter):
+                for symbol in symbols(letter):
                     text += symbol
                     end = len(text)
                     inner = final = 0
+                    tail = text[-TAIL:]
                     # the longest tokens that end here come first; one can go on, one can end the word
-                    for at in range(end - longest if end > longest else 0, end):
-                        found = tokens.get(text[at:])
+                    for size in sizes.get(tail) or sizes_of(tail):
+                        at = end - size
+                        found = tokens.get(text[at:]) if at >= 0 else None
                         if found is None:
                             continue
                         go_on, stop = found
@@ -349,16 +376,18 @@ class PrefixCounter:
         large: dict[str, bytes] = {}
         simple: dict[str, tuple[int, str, str]] = {}
         for piece in set(pieces).difference(known):
-            if found := _PLAIN.fullmatch(piece):
+            found = _PLAIN.fullmatch(piece)
+            if found and not self.specials.search(piece):
                 simple[piece] = len(found[1]), found[2].lower(), found[3]
                 continue
             word = piece.lstrip(" \t\r\n")
             counts = self.counts(word) if word else np.zeros(0, dtype=np.int64)
             steps = bytes(4 * (len(piece) - len(word))) + np.diff(counts, prepend=0).astype("<i4").tobytes()
             (known if len(piece) <= KEPT_LENGTH else large)[piece] = steps
-        self.learn_plain({x for _, x, _ in simple.values()}.difference(self.plain))
-        for piece, (blanks, word, mark) in simple.items():
-            known[piece] = bytes(4 * blanks) + self.plain[word] + (self.alone(mark).to_bytes(4, "little") if mark else b"")
+        self.learn_plain({x for _, *both in simple.values() for x in both if x}.difference(self.plain))
+        plain = self.plain
+        for piece, (blanks, word, marks) in simple.items():
+            known[piece] = bytes(4 * blanks) + plain[word] + (plain[marks] if marks else b"")
         found = [known.get(x) or large[x] for x in pieces] if large else list(map(known.__getitem__, pieces))
         return np.frombuffer(b"".join(found), dtype="<i4")
 

@@ -65,6 +65,29 @@ def test_tokens_that_stay_apart(word):
             assert m.apart(left, right) == (m.merge(list(word)) == [left, right])
 
 
+def test_words_with_marks_are_learnt_together(monkeypatch):
+    marks = [*(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"), "***", ",%%%", "!!", ".&&&", "),", "<|", "...!?", "a_b"]
+    texts = [f"{blank}{word}{x}" for x in marks for blank, word in (("", "And"), (" \n", "çpaleÉ"))]
+    slow = token_counts.PrefixCounter.counts
+    taken = []
+    monkeypatch.setattr(token_counts.PrefixCounter, "counts", lambda self, chunk: taken.append(chunk) or slow(self, chunk))
+    counter = token_counts.PrefixCounter(PATH)
+    for text in [*texts, "And<|endoftext|>", "it's,", "'s!!"]:
+        got = [0, *(int(x) for _, counts in counter.prefix_counts([text]) for x in counts)]
+        assert got == [count(text[:i]) for i in range(len(text) + 1)], text
+    assert taken == ["Anda_b", "çpaleÉa_b", "And<|endoftext|>", "it's,", "'s!!"]  # all others without a step for each code point
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(st.sampled_from("aeinorstlhcdÃ§!%,"), min_size=1, max_size=20))
+def test_lengths_of_tokens_that_end_a_text(text):
+    m = COUNTER.merges
+    ends = [n for n in range(len(text), 0, -1) if text[-n:] in m.tokens]
+    sizes = m.sizes_of(text[-token_counts.TAIL :])
+    assert [n for n in sizes if text[-n:] in m.tokens and n <= len(text)] == ends
+    assert set(sizes) <= {n for x in m.tokens if x.endswith(text[-token_counts.TAIL :]) for n in [len(x)]} | set(range(1, token_counts.TAIL))
+
+
 def test_long_word_in_a_window(monkeypatch):
     monkeypatch.setattr(token_counts, "WINDOW", 100)
     rng = np.random.default_rng(3)
